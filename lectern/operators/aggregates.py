@@ -145,7 +145,7 @@ def course_analytics(courses: DataFrame, enrollments: DataFrame, activity: DataF
     medians = (
         enrollments.where(F.col("final_score").isNotNull())
         .groupBy("course_id", "final_score").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("course_id").agg(F.percentile("final_score", 0.5, "n").alias("median"))
+        .groupBy("course_id").agg(F.percentile("final_score", 0.5, F.col("n")).alias("median"))
     )
     return (
         courses.select("course_id", "term").join(per_course, "course_id").join(medians, "course_id", "left")

@@ -38,7 +38,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     bound = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-    return 0 <= int(size.toString()) <= bound
+    return 0 <= int(str(size)) <= bound
 
 
 def upsert(target: DataFrame, source: DataFrame, *, keys: Iterable[str], update_cols: Iterable[str],
@@ -158,8 +158,12 @@ def assign_keys(df: DataFrame, column: str, existing: DataFrame | None = None) -
 
 def merge_entity(spec: Entity, target: DataFrame, source: DataFrame, *, now: datetime,
                  profile: str = "full", on_duplicate: str = "last") -> DataFrame:
-    """The upsert of one entity with its own key, update columns and defaults."""
-    source = latest_per_key(source, [spec.key], on_duplicate=on_duplicate)
+    """The upsert of one entity with its own key, update columns and defaults.
+
+    A source without batch columns already holds one row per key.
+    """
+    if set(BATCH_ORDER) <= set(source.columns):
+        source = latest_per_key(source, [spec.key], on_duplicate=on_duplicate)
     if not spec.updates:
         return insert_new(target, source, keys=[spec.key], now=now)
     skipped = spec.narrow_skips if profile == "sql" else ()

@@ -8,7 +8,6 @@ and in DuckDB alike, so the oracle builds the same inputs from them.
 
 from __future__ import annotations
 
-import os
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -127,12 +126,12 @@ SUBMISSION = {
 EVENT_ORDER = "CAST(floor(event_id / 2) AS BIGINT)"
 ACTIVITY = {
     "activity_id": "concat('ACT', lpad(CAST(event_id AS STRING), 14, '0'))",
-    "student_id": "concat('U', lpad(CAST(o_custkey AS STRING), 12, '0'))",
-    "course_id": "concat('CRS', lpad(CAST(first_part AS STRING), 12, '0'))",
+    "student_id": "'U' || lpad(CAST(o_custkey AS STRING), 12, '0')",
+    "course_id": "'CRS' || lpad(CAST(first_part AS STRING), 12, '0')",
     "activity_type": "CASE event_type WHEN 'click' THEN 'Assignment' WHEN 'error' THEN 'Quiz' WHEN 'purchase' THEN 'FileDownload' WHEN 'signup' THEN 'Discussion' ELSE 'PageView' END",
     "activity_timestamp": "ts",
     "duration_seconds": "CAST(floor(value) AS BIGINT) + 10",
-    "page_url": "CASE WHEN event_id % 19 = 0 THEN NULL ELSE concat('/courses/', CAST(first_part AS STRING), '/', lower(event_type), '/', CAST(event_id % 100 AS STRING)) END",
+    "page_url": "CASE WHEN event_id % 19 = 0 THEN NULL ELSE '/courses/' || CAST(first_part AS STRING) || '/' || lower(event_type) || '/' || CAST(event_id % 100 AS STRING) END",
     "device_type": "CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 3 = 0 THEN 'Desktop' WHEN event_id % 3 = 1 THEN 'Mobile' ELSE 'Tablet' END",
     "browser": "CASE WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 4 = 0 THEN 'Chrome' WHEN event_id % 4 = 1 THEN 'Safari' WHEN event_id % 4 = 2 THEN 'Firefox' ELSE 'Edge' END",
     "ip_address": "concat('10.0.', CAST(event_id % 256 AS STRING), '.', CAST(1 + event_id % 254 AS STRING))",
@@ -329,6 +328,10 @@ class Testbed:
             return df.select(*cols)
         return _select(df, cols)
 
+    @staticmethod
+    def metering_columns(name: str) -> dict[str, str]:
+        return METERING[name][2]
+
     def rules(self) -> DataFrame:
         return self.spark.createDataFrame(RULES, RULES_SCHEMA)
 

@@ -39,21 +39,23 @@ def stream_upsert(raw: DataFrame, entity: str, lake: Lake, *, checkpoint: str, n
     return raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_insert_once(rows: DataFrame, lake: Lake, table: str, schema: str, *, key: str, time: str, checkpoint: str,
-                       delay: str = "1 day") -> StreamingQuery:
-    """Append rows whose key was not seen before.
+def stream_insert_once(rows: DataFrame, lake: Lake, table: str, schema: str, *, key: str, checkpoint: str,
+                       time: str | None = None, delay: str | None = None) -> StreamingQuery:
+    """Append rows whose key was not seen before, however late they come.
 
-    Copies within ``delay`` are dropped by the stream's own state, older ones by an anti join with
-    the stored table. Each micro-batch owns one partition, which a rerun overwrites.
+    Copies are dropped inside the micro-batch and against the stored table. With ``time`` and
+    ``delay`` the stream's own state drops copies first, at the price of ignoring rows later than
+    ``delay``. Each micro-batch owns one partition, which a rerun overwrites.
     """
-    unique = rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    if delay is not None:
+        rows = rows.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         stored = lake.read(table, f"{schema}, batch bigint").where(F.col("batch") != batch_id)
-        fresh = upsert.not_in(batch, stored, [key]).withColumn("batch", F.lit(batch_id).cast("bigint"))
-        lake.replace_partitions(table, fresh, "batch")
+        fresh = upsert.not_in(batch.dropDuplicates([key]), stored, [key])
+        lake.replace_partitions(table, fresh.withColumn("batch", F.lit(batch_id).cast("bigint")), "batch")
 
-    return unique.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return rows.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def hourly_spend(metering: DataFrame, *, delay: str = "1 hour", like: str = NAME_PATTERN,
