@@ -44,10 +44,11 @@ def extract(raw: DataFrame, entity: str, *, status: str | None = PENDING, keep:
     spec = ENTITIES[entity]
     if status is not None:
         raw = raw.where(F.col("processing_status") == status)
-    fields = ", ".join(f"{c} string" for c in spec.fields)
-    parsed = raw.select(F.from_json("payload", fields).alias("p"), *keep)
-    typed = [_typed(F.col(f"p.{c}"), t).alias(c) for c, t in spec.fields.items()]
-    return parsed.select(*typed, *keep).where(F.col(spec.key).isNotNull())
+    # A generator is evaluated once; the filter on its output cannot repeat the parsing.
+    text = {c: f"text_{c}" for c in spec.fields}
+    parsed = raw.select(F.json_tuple("payload", *text).alias(*text.values()), *keep)
+    typed = [_typed(F.col(text[c]), t).alias(c) for c, t in spec.fields.items()]
+    return parsed.where(F.col(text[spec.key]).isNotNull()).select(*typed, *keep)
 
 
 def rejected(raw: DataFrame, entity: str, *, status: str | None = PENDING) -> DataFrame:
@@ -55,10 +56,10 @@ def rejected(raw: DataFrame, entity: str, *, status: str | None = PENDING) -> Da
     spec = ENTITIES[entity]
     if status is not None:
         raw = raw.where(F.col("processing_status") == status)
-    key = F.get_json_object("payload", f"$.{spec.key}")
     reason = F.when(F.try_parse_json("payload").isNull(), "MALFORMED_JSON").otherwise("MISSING_KEY")
-    unreadable = F.from_json("payload", f"{spec.key} string")[spec.key].isNull()
-    return raw.where(unreadable | key.isNull()).select("raw_id", "file_name", "ingested_at", reason.alias("reason"))
+    found = raw.select("raw_id", "file_name", "ingested_at", "payload",
+                       F.json_tuple("payload", spec.key).alias("natural_id"))
+    return found.where(F.col("natural_id").isNull()).select("raw_id", "file_name", "ingested_at", reason.alias("reason"))
 
 
 def validate_raw_json(raws: dict[str, DataFrame]) -> DataFrame:

@@ -107,25 +107,32 @@ def linkage_check(enrollments: DataFrame) -> DataFrame:
 
 
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Violations of the declared keys of each entity: not null, unique, and known dimension ids."""
+    """Violations of the declared keys of each entity.
+
+    NOT_NULL and FOREIGN_KEY count rows, UNIQUE counts key values held by several rows. Every check
+    first counts the rows per value, so a hot value is one row by the time it is shuffled.
+    """
     parts = []
     for name, df in tables.items():
         spec = ENTITIES[name]
-
-        def violations(kind: str, column: str, bad: DataFrame) -> DataFrame:
-            return bad.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(spec.table).alias("table_name"), F.lit(column).alias("column_name"),
-                F.lit(kind).alias("constraint_type"), "violations",
-            )
-
-        key = F.col(spec.key)
-        parts.append(violations("NOT_NULL", spec.key, df.where(key.isNull())))
-        parts.append(violations("UNIQUE", spec.key, df.where(key.isNotNull()).groupBy(spec.key).count().where("count > 1")))
+        key, n = F.col(spec.key), F.col("n")
+        per_key = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
+        found = per_key.agg(
+            F.coalesce(F.sum(F.when(key.isNull(), n)), F.lit(0)).alias("NOT_NULL"),
+            F.count_if(key.isNotNull() & (n > 1)).alias("UNIQUE"),
+        )
+        parts.append(found.select(F.lit(spec.key).alias("column_name"), F.explode(F.create_map(
+            F.lit("NOT_NULL"), "NOT_NULL", F.lit("UNIQUE"), "UNIQUE")).alias("constraint_type", "violations")
+        ).withColumn("table_name", F.lit(spec.table)))
         for fk, (dim, natural) in spec.lookups.items():
             if dim in tables:
-                orphans = df.where(F.col(natural).isNotNull()).join(tables[dim].select(natural), natural, "left_anti")
-                parts.append(violations("FOREIGN_KEY", fk, orphans))
-    return reduce(DataFrame.unionByName, parts)
+                used = df.where(F.col(natural).isNotNull()).groupBy(natural).agg(F.count(F.lit(1)).alias("n"))
+                orphans = used.join(tables[dim].select(natural), natural, "left_anti")
+                parts.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
+                    F.lit(fk).alias("column_name"), F.lit("FOREIGN_KEY").alias("constraint_type"), "violations",
+                    F.lit(spec.table).alias("table_name"),
+                ))
+    return reduce(DataFrame.unionByName, parts).select("table_name", "column_name", "constraint_type", "violations")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -106,6 +106,18 @@ def build_index(source: DataFrame, corpus: Corpus, *, text: str = "search_text")
     return Index(words.select("doc_id", "title", "doc_len"), postings, corpus.attributes)
 
 
+def save_index(index: Index, path: str) -> None:
+    """Store an index. Postings are laid out by term, and a common term may span many files."""
+    index.docs.write.parquet(f"{path}/docs")
+    index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.parquet(
+        f"{path}/postings"
+    )
+
+
+def load_index(spark: SparkSession, path: str, corpus: Corpus) -> Index:
+    return Index(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings"), corpus.attributes)
+
+
 def refresh_index(index: Index, changed: Index) -> Index:
     """Replace the changed documents and keep the others."""
     ids = changed.docs.select("doc_id")

@@ -35,10 +35,9 @@ def latest_per_key(source: DataFrame, keys: Iterable[str], order: Iterable[str]
 
 def fits_broadcast(df: DataFrame) -> bool:
     """True only where the optimizer's own size estimate is under the session's broadcast limit."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    bound = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-    return 0 <= int(str(size)) <= bound
+    return int(str(size)) <= limit
 
 
 def upsert(target: DataFrame, source: DataFrame, *, keys: Iterable[str], update_cols: Iterable[str],

@@ -165,9 +165,8 @@ def stored_target(tb: Testbed, entity: str) -> DataFrame:
 
 def resent_raw(tb: Testbed, entity: str) -> DataFrame:
     """The feed: changed rows, and before them a stale copy of each that the later one replaces."""
-    options = dict(where=RESENT[entity], helpers=HELPERS.get(entity, ()))
-    fresh = tb.raw(entity, changes=CHANGES[entity], ingested_at=LATER, feed="second", **options)
-    return tb.raw(entity, ingested_at=NOW, feed="first", **options).unionByName(fresh)
+    return tb.raw(entity, changes=CHANGES[entity], where=RESENT[entity], helpers=HELPERS.get(entity, ()),
+                  feed="second", ingested_at=LATER, stale=("first", NOW))
 
 
 def resent(tb: Testbed, entity: str) -> DataFrame:
@@ -491,24 +490,31 @@ def _questions(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(text.alias("query_id"), text.alias("query")).distinct()
 
 
+def _stored(tb: Testbed, index: search.Index, corpus: search.Corpus) -> search.Index:
+    """The index as a search job finds it: written once and read back."""
+    path = scratch_dir(tb.spark, "index")
+    search.save_index(index, path)
+    return search.load_index(tb.spark, path, corpus)
+
+
 @register("search_students")
 def _(tb):
-    source = search.student_search_source(tb.students())
-    return search.search(search.build_index(source, search.STUDENT_CORPUS),
-                         _questions(source, "major", "classification", "last_name"))
+    source, corpus = search.student_search_source(tb.students()), search.STUDENT_CORPUS
+    return search.search(_stored(tb, search.build_index(source, corpus), corpus),
+                         _questions(source, "major", "classification"))
 
 
 @register("search_courses")
 def _(tb):
-    source = search.course_search_source(tb.courses())
-    return search.search(search.build_index(source, search.COURSE_CORPUS),
+    source, corpus = search.course_search_source(tb.courses()), search.COURSE_CORPUS
+    return search.search(_stored(tb, search.build_index(source, corpus), corpus),
                          _questions(source, "department", "delivery_mode"), where={"term": ["Fall 2024"]})
 
 
 @register("search_activity")
 def _(tb):
-    source = search.activity_search_source(tb.activity())
-    return search.search(search.build_index(source, search.ACTIVITY_CORPUS),
+    source, corpus = search.activity_search_source(tb.activity()), search.ACTIVITY_CORPUS
+    return search.search(_stored(tb, search.build_index(source, corpus), corpus),
                          _questions(source, "activity_type", "device_type"))
 
 
@@ -518,7 +524,8 @@ def _(tb):
     old = search.build_index(search.course_search_source(tb.courses().where(STORED["courses"])), corpus)
     changed = tb.courses().where(RESENT["courses"]).withColumn("course_name", F.concat("course_name", F.lit(" advanced")))
     new = search.build_index(search.course_search_source(changed), corpus)
-    return search.search(search.refresh_index(old, new), _questions(tb.courses(), "department", "course_name"))
+    refreshed = search.refresh_index(_stored(tb, old, corpus), _stored(tb, new, corpus))
+    return search.search(refreshed, _questions(tb.courses(), "department", "course_name"))
 
 
 # --- generators over the tables' own ids ----------------------------------------------------------

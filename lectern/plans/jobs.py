@@ -34,6 +34,11 @@ def month_of(column: str):
     return F.coalesce(F.date_format(column, "yyyy-MM"), F.lit("none"))
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """Few files per month: small months share a task, and a month too big for one task is split."""
+    return df.hint("rebalance", "part")
+
+
 def merge_table(lake: Lake, spec: Entity, source: DataFrame, *, now: datetime, profile: str = "full") -> None:
     """Upsert ``source`` (one row per key, stored) into the curated table.
 
@@ -50,7 +55,7 @@ def merge_table(lake: Lake, spec: Entity, source: DataFrame, *, now: datetime, p
     if not spec.updates:
         empty = target.limit(0)
         added = upsert.insert_new(empty, upsert.not_in(source, target, [spec.key]), keys=[spec.key], now=now)
-        lake.append(name, upsert.assign_keys(added, spec.surrogate, target), "part")
+        lake.append(name, upsert.assign_keys(_by_month(added), spec.surrogate, target), "part")
         return
     matched = target.select(spec.key, "part").join(source.select(spec.key), spec.key, "left_semi").select("part")
     # One entry per month that the batch touches.
@@ -58,7 +63,7 @@ def merge_table(lake: Lake, spec: Entity, source: DataFrame, *, now: datetime, p
     held = set(lake.partitions(name, "part"))
     slice_ = lake.read(name, table_schema(spec), [p for p in touched if p in held])
     merged = upsert.merge_entity(spec, slice_, source, now=now, profile=profile)
-    lake.replace_partitions(name, upsert.assign_keys(merged, spec.surrogate, target), "part")
+    lake.replace_partitions(name, upsert.assign_keys(_by_month(merged), spec.surrogate, target), "part")
 
 
 def stage(lake: Lake, entity: str, rows: DataFrame, batch: str) -> DataFrame:
@@ -117,7 +122,7 @@ def backfill_table(lake: Lake, entity: str) -> None:
     if months:
         dims = {dim: curated(lake, dim) for dim, _ in spec.lookups.values()}
         filled = upsert.backfill_keys(lake.read(name, table_schema(spec), months), entity, dims)
-        lake.replace_partitions(name, filled, "part")
+        lake.replace_partitions(name, _by_month(filled), "part")
 
 
 def transform_students(lake: Lake, *, now: datetime) -> int:
@@ -241,17 +246,17 @@ def run_status(lake: Lake) -> DataFrame:
 
 
 def reset(lake: Lake) -> None:
-    """Replace every landing, curated and batch-log table with an empty version."""
-    empty = lambda schema: lake.spark.createDataFrame([], schema)
-    for entity in RAW_TABLES:
-        lake.replace(f"raw/{entity}", empty(landing.BATCH_SCHEMA), "batch")
+    """Give every existing landing, curated and batch-log table an empty version."""
+    tables = {f"raw/{e}": (landing.BATCH_SCHEMA, ("batch",)) for e in RAW_TABLES}
     for spec in ENTITIES.values():
-        parts = ("part",) if spec.partition_time else ()
-        lake.replace(f"curated/{spec.table}", empty(table_schema(spec)), *parts)
-    lake.replace(f"curated/{PERFORMANCE}", empty(PERFORMANCE_SCHEMA))
-    lake.replace(f"curated/{ANALYTICS}", empty(COURSE_ANALYTICS_SCHEMA))
-    lake.replace("audit/batch_log", empty(landing.BATCH_LOG_SCHEMA))
-    lake.replace("audit/rejected", empty(landing.REJECTED_SCHEMA))
+        tables[f"curated/{spec.table}"] = (table_schema(spec), ("part",) if spec.partition_time else ())
+    tables[f"curated/{PERFORMANCE}"] = (PERFORMANCE_SCHEMA, ())
+    tables[f"curated/{ANALYTICS}"] = (COURSE_ANALYTICS_SCHEMA, ())
+    tables["audit/batch_log"] = (landing.BATCH_LOG_SCHEMA, ())
+    tables["audit/rejected"] = (landing.REJECTED_SCHEMA, ())
+    for name, (schema, parts) in tables.items():
+        if lake.versions(name):
+            lake.replace(name, lake.spark.createDataFrame([], schema), *parts)
 
 
 def summary(lake: Lake) -> DataFrame:

@@ -711,7 +711,7 @@ def oracle_sql() -> dict[str, str]:
     asked = "SELECT DISTINCT {0} AS q FROM {1}"
     sql["search_students"] = _bm25(
         f"SELECT student_id AS doc_id, first_name || ' ' || last_name AS title, {TEXTS['students']} AS txt FROM students",
-        asked.format(_words("major", "classification", "last_name"), "students"), "students")
+        asked.format(_words("major", "classification"), "students"), "students")
     sql["search_courses"] = _bm25(
         f"SELECT course_id AS doc_id, course_name AS title, term AS a_term, {TEXTS['courses']} AS txt FROM courses",
         asked.format(_words("department", "delivery_mode"), "courses"), "courses", where="WHERE a_term = 'Fall 2024'")

@@ -293,27 +293,33 @@ class Testbed:
 
     def raw(self, entity: str, *, changes: dict[str, str] | None = None, status: str = f"'{PENDING}'",
             feed: str = "feed", ingested_at: datetime = NOW, where: str | None = None,
-            helpers: tuple[str, ...] = ()) -> DataFrame:
+            helpers: tuple[str, ...] = (), stale: tuple[str, datetime] | None = None) -> DataFrame:
         """The landing envelope of one entity: every payload column of every row as a JSON string.
 
-        ``changes`` replaces payload columns, ``where`` picks the part of the table a feed re-sends.
+        ``changes`` replaces payload columns, ``where`` picks the part of the table a feed re-sends,
+        and ``stale`` names an earlier feed that sent the same rows unchanged.
         """
         spec = ENTITIES[entity]
         df = self.curated(entity, *helpers)
         if where:
             df = df.where(where)
-        df = df.withColumns({c: F.expr(e).cast(spec.fields[c]) for c, e in (changes or {}).items()})
-        payload = F.to_json(F.struct(*[
-            F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(c) if t == "timestamp_ntz" else F.col(c)
-            for c, t in spec.fields.items()
-        ]))
-        return df.select(
-            F.concat(F.lit(f"{feed}-"), F.col(spec.key)).alias("raw_id"),
-            payload.alias("payload"),
-            F.lit("CANVAS_LMS").alias("source_system"),
-            F.lit(f"{feed}.json").alias("file_name"),
-            F.lit(ingested_at).cast("timestamp_ntz").alias("ingested_at"),
-            F.expr(status).alias("processing_status"),
+
+        def copy(name: str, at: datetime, edits: dict[str, str]):
+            values = {c: F.expr(edits[c]).cast(t) if c in edits else F.col(c) for c, t in spec.fields.items()}
+            payload = F.to_json(F.struct(*[
+                (F.date_format(values[c], "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'") if t == "timestamp_ntz" else values[c]).alias(c)
+                for c, t in spec.fields.items()
+            ]))
+            return F.struct(
+                F.concat(F.lit(f"{name}-"), F.col(spec.key)).alias("raw_id"), payload.alias("payload"),
+                F.lit(f"{name}.json").alias("file_name"), F.lit(at).cast("timestamp_ntz").alias("ingested_at"),
+            )
+
+        copies = [copy(feed, ingested_at, changes or {})] + ([copy(*stale, {})] if stale else [])
+        sent = F.explode(F.array(*copies)) if stale else copies[0]
+        return df.select(sent.alias("r"), F.expr(status).alias("processing_status")).select(
+            "r.raw_id", "r.payload", F.lit("CANVAS_LMS").alias("source_system"), "r.file_name", "r.ingested_at",
+            "processing_status",
         )
 
     def metering(self, name: str) -> DataFrame:
