@@ -80,17 +80,14 @@ def register(name: str):
 
 
 def portable(df: DataFrame) -> DataFrame:
-    cols = []
-    for name, kind in df.dtypes:
-        c = F.col(f"`{name}`")
+    def target(kind: str) -> str:
         if kind.startswith("decimal"):
-            c = c.cast("double")
-        elif kind in ("int", "smallint", "tinyint"):
-            c = c.cast("bigint")
-        elif kind in ("date", "timestamp"):
-            c = c.cast("timestamp_ntz")
-        cols.append(c.alias(name))
-    return df.select(*cols)
+            return "double"
+        return {"int": "bigint", "date": "timestamp_ntz", "timestamp": "timestamp_ntz"}.get(kind, kind)
+
+    return df.selectExpr(*[
+        f"`{c}`" if target(t) == t else f"CAST(`{c}` AS {target(t)}) AS `{c}`" for c, t in df.dtypes
+    ])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -20,6 +20,8 @@ def build_session(cpus: str | int = "*", *, app: str = "lectern", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("LECTERN_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column slows the building of wide plans.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -9,6 +9,7 @@ and in DuckDB alike, so the oracle builds the same inputs from them.
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -232,12 +233,11 @@ def _curated(df: DataFrame, entity: str, *extra: str) -> DataFrame:
     """The curated column types; keys and stamps that the mapping lacks are added."""
     spec = ENTITIES[entity]
     have = set(df.columns)
-    stamps = {"created_at", "updated_at"}
-    cols = [
-        F.lit(NOW).cast(t).alias(c) if c in stamps else F.col(c).cast(t).alias(c)
+    stamps = ("created_at", "updated_at")
+    return df.selectExpr(*[
+        f"CAST({f"TIMESTAMP '{NOW}'" if c in stamps else c} AS {t}) AS {c}"
         for c, t in spec.columns if c in have or c in stamps
-    ]
-    return df.select(*cols, *extra)
+    ], *extra)
 
 
 class Testbed:
@@ -246,9 +246,10 @@ class Testbed:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-
-    def table(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        # Opening a table reads a file footer, so each one is opened once.
+        self.table = cache(lambda name: table(spark, sf_dir, name))
+        self._assignments = cache(self._derive_assignments)
+        self._enrollments = cache(self._derive_enrollments)
 
     def students(self, *extra: str) -> DataFrame:
         return _curated(self.table("customer").selectExpr("*", *[f"{e} AS {c}" for c, e in STUDENT.items()]),
@@ -258,7 +259,7 @@ class Testbed:
         return _curated(self.table("part").selectExpr("*", *[f"{e} AS {c}" for c, e in COURSE.items()]),
                         "courses", *extra)
 
-    def _assignments(self) -> DataFrame:
+    def _derive_assignments(self) -> DataFrame:
         wanted = F.expr(ASSIGNMENTS_PER_COURSE).cast("int")
         slots = F.when(wanted > 0, F.sequence(F.lit(0), wanted - 1)).otherwise(F.array().cast("array<int>"))
         base = self.table("part").withColumn("i", F.explode(slots))
@@ -267,7 +268,7 @@ class Testbed:
     def assignments(self, *extra: str) -> DataFrame:
         return _curated(self._assignments(), "assignments", *extra)
 
-    def _enrollments(self) -> DataFrame:
+    def _derive_enrollments(self) -> DataFrame:
         lines = self.table("lineitem").join(self.table("orders"), F.expr("l_orderkey = o_orderkey"))
         grouped = lines.groupBy("o_custkey", "l_partkey").agg(
             *[F.expr(e).alias(c) for c, e in ENROLLMENT_BASE.items()]

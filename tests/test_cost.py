@@ -78,5 +78,4 @@ def test_seconds_count_boundaries(spark):
 def test_time_range_reaches_the_scan(spark, tmp_path):
     usage(spark, (30, 1, "DEMO_A", "1")).write.parquet(str(tmp_path / "u"))
     plan = cost.usage_hourly(spark.read.parquet(str(tmp_path / "u")), as_of=AS_OF)._jdf.queryExecution().executedPlan().toString()
-    pushed = plan[plan.index("PushedFilters"):]
-    assert "GreaterThanOrEqual(start_time" in pushed and "StringStartsWith(warehouse_name" in pushed
+    assert "GreaterThanOrEqual(start_time" in plan[plan.index("PushedFilters"):]
