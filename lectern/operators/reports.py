@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.scalars import full_name, ratio
@@ -175,6 +176,15 @@ def term_trend(enrollments: DataFrame, last_terms: int = 3) -> DataFrame:
     ).orderBy(F.desc("first_enrolled"), F.desc("term")).limit(last_terms)
 
 
+def top_students_by_department(enrollments: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` students with the highest mean final score in each department's courses."""
+    means = enrollments.where(F.col("final_score").isNotNull() & F.col("department").isNotNull()).groupBy(
+        "department", "student_id"
+    ).agg(_mean("final_score", 2).alias("avg_final_score"), F.count("final_score").alias("graded_courses"))
+    order = W.partitionBy("department").orderBy(F.desc("avg_final_score"), F.desc("graded_courses"), "student_id")
+    return means.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+
+
 def pass_rate(enrollments: DataFrame, passing_score: int = 60) -> DataFrame:
     """Share of graded enrollments at or above the passing score, per department."""
     score = F.col("final_score")

@@ -7,7 +7,7 @@ another engine's answer can be compared with them value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -472,6 +472,7 @@ register("completion_by_department")(lambda tb: reports.completion_by_department
 register("enrollment_by_classification")(lambda tb: reports.enrollment_by_classification(_enrolled(tb)))
 register("term_trend")(lambda tb: reports.term_trend(_enrolled(tb)))
 register("dropout_rate")(lambda tb: reports.dropout_rate(_enrolled(tb)))
+register("top_students_by_department")(lambda tb: reports.top_students_by_department(_enrolled(tb)))
 register("pass_rate")(lambda tb: reports.pass_rate(_enrolled(tb)))
 
 # --- search -----------------------------------------------------------------------------------------
@@ -566,6 +567,32 @@ def _(tb):
         "percentage", "late_flag", "updated_at")
 
 
+@register("job_quality_checks")
+def _(tb):
+    lake = _lake(tb, "quality")
+    lake.replace("curated/dim_students", stored_target(tb, "students"))
+    for entity in ("courses", "enrollments"):
+        landing.land_envelopes(lake, entity, tb.raw(entity), "first")
+        jobs.process_entity(lake, entity, now=NOW)
+    return jobs.check_quality(lake, now=NOW)
+
+
+@register("job_cost_alerts")
+def _(tb):
+    lake, usage = _lake(tb, "alerts"), tb.metering("warehouse_metering")
+    jobs.log_cost_alerts(lake, usage, now=ALERT_NOW)
+    return jobs.log_cost_alerts(lake, usage, now=ALERT_NOW).select(_ALERT_COLS)
+
+
+@register("job_daily_snapshot")
+def _(tb):
+    lake = _lake(tb, "snapshot")
+    inputs = tb.metering("warehouse_metering"), tb.metering("container_history"), tb.rules()
+    for day in (SNAPSHOT_DAY - timedelta(days=1), SNAPSHOT_DAY, SNAPSHOT_DAY):
+        stored = jobs.capture_snapshot(lake, *inputs, day=day)
+    return stored
+
+
 @register("stream_upsert_students")
 def _(tb):
     lake, landed = _lake(tb, "stream"), scratch_dir(tb.spark, "landing")

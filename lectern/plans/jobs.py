@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.operators import aggregates, extract, generate, quality, runlog, upsert
+from lectern.operators import aggregates, cost, extract, generate, quality, runlog, upsert
 from lectern.schemas import (
-    COURSE_ANALYTICS_SCHEMA, ENTITIES, PERFORMANCE_SCHEMA, RAW_TABLES, RUN_EVENT_SCHEMA, Entity,
+    ALERT_SCHEMA, COURSE_ANALYTICS_SCHEMA, DQ_ISSUES_SCHEMA, DQ_LOG_SCHEMA, ENTITIES, PERFORMANCE_SCHEMA, RAW_TABLES,
+    RUN_EVENT_SCHEMA, SNAPSHOT_SCHEMA, Entity,
 )
 from lectern.sources import landing
 from lectern.sources.store import Lake
@@ -66,6 +67,10 @@ def merge_table(lake: Lake, spec: Entity, source: DataFrame, *, now: datetime, p
     lake.replace_partitions(name, upsert.assign_keys(_by_month(merged), spec.surrogate, target), "part")
 
 
+def staging_path(lake: Lake, entity: str, batch: str) -> str:
+    return f"{lake.root}/staging/{entity}/{batch}"
+
+
 def stage(lake: Lake, entity: str, rows: DataFrame, batch: str) -> DataFrame:
     """Extracted rows with looked-up keys, the last per key, stored once and read back.
 
@@ -75,7 +80,7 @@ def stage(lake: Lake, entity: str, rows: DataFrame, batch: str) -> DataFrame:
     typed = extract.extract(rows, entity, status=None, keep=upsert.BATCH_ORDER)
     last = upsert.latest_per_key(typed, [spec.key])
     dims = {dim: curated(lake, dim) for dim, _ in spec.lookups.values()}
-    path = f"{lake.root}/staging/{entity}/{batch}"
+    path = staging_path(lake, entity, batch)
     upsert.lookup_keys(last, entity, dims).drop(*upsert.BATCH_ORDER).write.mode("overwrite").parquet(path)
     return lake.spark.read.parquet(path)
 
@@ -86,7 +91,8 @@ def process_entity(lake: Lake, entity: str, *, now: datetime, profile: str = "fu
     if not batches:
         return 0
     raw = landing.read_batches(lake, entity, batches)
-    merge_table(lake, ENTITIES[entity], stage(lake, entity, raw, uuid.uuid4().hex), now=now, profile=profile)
+    run = uuid.uuid4().hex
+    merge_table(lake, ENTITIES[entity], stage(lake, entity, raw, run), now=now, profile=profile)
     bad = extract.rejected(raw.withColumn("file_name", F.col("batch")), entity, status=None).select(
         F.lit(entity).alias("entity"), F.col("file_name").alias("batch"), "raw_id", "reason"
     )
@@ -99,6 +105,7 @@ def process_entity(lake: Lake, entity: str, *, now: datetime, profile: str = "fu
         F.lit(now).cast("timestamp_ntz").alias("processed_at"),
     )
     lake.append("audit/batch_log", log)
+    lake.remove(staging_path(lake, entity, run))
     done = lake.read("audit/batch_log", landing.BATCH_LOG_SCHEMA).where(
         (F.col("entity") == entity) & F.col("batch").isin(batches)
     )
@@ -169,6 +176,36 @@ def count_students_at_risk(lake: Lake, *, now: datetime) -> int:
     return aggregates.student_risk(lake.read(f"curated/{PERFORMANCE}", PERFORMANCE_SCHEMA)).count()
 
 
+def check_quality(lake: Lake, *, now: datetime) -> DataFrame:
+    """Run the three checks, store their findings and counts, and return the counts of this run."""
+    found = quality.dq_issues(curated(lake, "enrollments"), curated(lake, "students"))
+    stamp = F.lit(now).cast("timestamp_ntz")
+    lake.append("audit/dq_issues", found.withColumn("check_timestamp", stamp))
+    stored = lake.read("audit/dq_issues", DQ_ISSUES_SCHEMA).where(F.col("check_timestamp") == stamp)
+    lake.append("audit/dq_log", quality.dq_report(stored, now=now))
+    return lake.read("audit/dq_log", DQ_LOG_SCHEMA).where(F.col("check_timestamp") == stamp)
+
+
+def log_cost_alerts(lake: Lake, metering: DataFrame, *, now: datetime) -> DataFrame:
+    """Store the alerts that are new for their resource and period, and return all open ones."""
+    logged = lake.read("audit/cost_alerts", ALERT_SCHEMA)
+    lake.append("audit/cost_alerts", cost.new_alerts(cost.cost_alerts(metering, now=now), logged))
+    return cost.open_alerts(lake.read("audit/cost_alerts", ALERT_SCHEMA))
+
+
+def capture_snapshot(lake: Lake, metering: DataFrame, pools: DataFrame, rules: DataFrame, *, day: date) -> DataFrame:
+    """Store one day's cost; a second run replaces that day. Returns all days."""
+    snapshot = cost.daily_snapshot(metering, pools, rules, day=day)
+    lake.replace_partitions("audit/daily_cost_snapshot", snapshot, "snapshot_date")
+    return lake.read("audit/daily_cost_snapshot", SNAPSHOT_SCHEMA)
+
+
+def log_trigger(lake: Lake, *, now: datetime, run_type: str = "CONTAINER_ETL") -> None:
+    """Note that a run was asked for elsewhere."""
+    event = runlog.run_event(lake.spark, uuid.uuid4().hex, run_type, "TRIGGERED", now=now)
+    lake.append("audit/run_events", event)
+
+
 def _nothing(lake: Lake, *, now: datetime) -> int:
     """Enrollments, submissions and activity are complete once loaded."""
     return 0

@@ -695,6 +695,11 @@ def oracle_sql() -> dict[str, str]:
     sql["term_trend"] = with_ctes(
         f"SELECT term, min(enrollment_date) AS first_enrolled, {n} AS total_enrollments, {big('count(DISTINCT student_id)')} AS unique_students "
         "FROM v_enrollments WHERE term IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 DESC LIMIT 3", "v_enrollments")
+    sql["top_students_by_department"] = with_ctes(
+        f"SELECT department, student_id, avg_final_score, graded_courses, {big('rk')} AS rank FROM (SELECT *, row_number() OVER (PARTITION BY department "
+        "ORDER BY avg_final_score DESC, graded_courses DESC, student_id) AS rk FROM ("
+        f"SELECT department, student_id, {_means('final_score', 2)} AS avg_final_score, {n} AS graded_courses FROM v_enrollments "
+        "WHERE final_score IS NOT NULL AND department IS NOT NULL GROUP BY 1, 2)) WHERE rk <= 10", "v_enrollments")
     sql["pass_rate"] = with_ctes(
         f"SELECT department, {big('count(final_score)')} AS graded, {big('count(*) FILTER (final_score >= 60)')} AS passed, "
         f"{half_up('count(*) FILTER (final_score >= 60) * 100', 'count(final_score)', 2)} AS pass_rate_pct FROM v_enrollments GROUP BY 1", "v_enrollments")
@@ -735,6 +740,15 @@ def oracle_sql() -> dict[str, str]:
     sql["job_merge_submissions"] = _merge("submissions", columns=[
         "submission_id", "student_id", "assignment_id", "submitted_at", "graded_at", "score", "points_possible", "percentage", "late_flag",
         "updated_at"])
+    early = f"(SELECT * FROM students WHERE {STORED['students']})"
+    sql["job_quality_checks"] = with_ctes(
+        f"SELECT 'ORPHANED_ENROLLMENTS' AS check_name, {NOW_SQL} AS check_timestamp, {big('count(*)')} AS issues_found FROM enrollments e "
+        f"WHERE NOT EXISTS (SELECT 1 FROM {early} s WHERE s.student_id = e.student_id) UNION ALL SELECT 'DUPLICATE_STUDENT_IDS', {NOW_SQL}, "
+        f"{big('count(*)')} FROM (SELECT student_id FROM {early} GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'INVALID_GPA_VALUES', {NOW_SQL}, "
+        f"{big('count(*)')} FROM {early} WHERE gpa < 0 OR gpa > 4.0", "enrollments", "students")
+    sql["job_cost_alerts"] = with_ctes(f"{DAILY} UNION ALL {HOURLY}", "warehouse_metering")
+    two_days = snap.split(" WHERE ")[0] + " WHERE snapshot_date IN (DATE '2024-01-29', DATE '2024-01-30')"
+    sql["job_daily_snapshot"] = with_ctes(f"WITH {SNAPSHOTS} {two_days}", *SNAPSHOT_INPUTS)
     sql["stream_upsert_students"] = _merge("students", columns=[c for c, _ in ENTITIES["students"].columns if c != "student_key"])
     sql["stream_activity_dedup"] = with_ctes(f"SELECT {fields} FROM activity_logs", "activity_logs")
     sql["stream_hourly_spike"] = with_ctes(

@@ -32,13 +32,13 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def land(lake: Lake, entity: str, payloads: DataFrame, batch: str, *, now: datetime) -> None:
-    """Append one batch of payloads to the entity's landing table."""
+    """Add one batch of payloads to the entity's landing table; landing it again replaces it."""
     name = F.col("file_name") if "file_name" in payloads.columns else None
     land_envelopes(lake, entity, land_raw(payloads, now=now, file_name=name), batch)
 
 
 def land_envelopes(lake: Lake, entity: str, raw: DataFrame, batch: str) -> None:
-    lake.append(f"raw/{entity}", raw.withColumn("batch", F.lit(batch)), "batch")
+    lake.replace_partitions(f"raw/{entity}", raw.withColumn("batch", F.lit(batch)), "batch")
 
 
 def pending_batches(lake: Lake, entity: str) -> list[str]:

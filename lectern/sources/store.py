@@ -27,6 +27,23 @@ class Lake:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p)
 
+    def remove(self, path: str) -> None:
+        """Delete a folder that nothing reads any more."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def drop_old_versions(self, table: str, keep: int = 2) -> list[int]:
+        """Delete all but the newest ``keep`` versions, and return those deleted.
+
+        Keep as many as the longest-running reader may still hold.
+        """
+        if keep < 1:
+            raise ValueError("the current version must be kept")
+        old = self.versions(table)[:-keep]
+        for n in old:
+            self.remove(self.path(table, n))
+        return old
+
     def versions(self, table: str) -> list[int]:
         """Finished versions, oldest first."""
         base = f"{self.root}/{table}"

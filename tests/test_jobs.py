@@ -117,3 +117,34 @@ def test_failed_write_keeps_the_old_version(lake):
     assert lake.read("t", "id bigint").count() == 3
     lake.replace("t", lake.read("t", "id bigint").where("id > 0"))
     assert lake.read("t", "id bigint").count() == 2
+
+
+def test_old_versions_are_dropped_on_request(lake):
+    for n in range(4):
+        lake.replace("t", lake.spark.range(n))
+    assert lake.versions("t") == [1, 2, 3, 4]
+    assert lake.drop_old_versions("t", keep=2) == [1, 2] and lake.versions("t") == [3, 4]
+    assert lake.read("t", "id bigint").count() == 3
+    with pytest.raises(ValueError):
+        lake.drop_old_versions("t", keep=0)
+
+
+def test_landing_a_batch_again_replaces_it(lake):
+    for _ in range(2):
+        land(lake, "students", "b1", {"student_id": "U1"})
+    assert jobs.process_entity(lake, "students", now=NOW) == 1
+    assert lake._children(f"{lake.root}/staging/students") == []
+
+
+def test_quality_log_grows_by_run(lake):
+    land(lake, "enrollments", "b1", {"enrollment_id": "E1", "student_id": "U9"})
+    jobs.process_entity(lake, "enrollments", now=NOW)
+    for now in (NOW, LATER):
+        got = {r.check_name: r.issues_found for r in jobs.check_quality(lake, now=now).collect()}
+        assert got == {"ORPHANED_ENROLLMENTS": 1, "DUPLICATE_STUDENT_IDS": 0, "INVALID_GPA_VALUES": 0}
+    assert lake.read("audit/dq_issues", "record_id string").count() == 2
+
+
+def test_trigger_is_noted(lake):
+    jobs.log_trigger(lake, now=NOW)
+    assert lake.read("audit/run_events", RUN_EVENT_SCHEMA).first().status == "TRIGGERED"
