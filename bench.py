@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,7 +31,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(cpus, app="bench")
+    spark = build_session(cpus, app="bench", scratch=tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     known, times = queries(), {}
 

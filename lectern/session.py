@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(cpus: str | int = "*", *, app: str = "lectern", shuffle_partitions: int = 8) -> SparkSession:
+def build_session(
+    cpus: str | int = "*", *, app: str = "lectern", shuffle_partitions: int = 8, scratch: str | None = None
+) -> SparkSession:
     """Local session for tests and the bench; on a cluster the caller brings its own session."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -22,8 +23,8 @@ def build_session(cpus: str | int = "*", *, app: str = "lectern", shuffle_partit
         .config("spark.ui.enabled", "false")
         # Recording the Python call site of every column slows the building of wide plans.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .getOrCreate()
     )
+    return (builder.config("spark.checkpoint.dir", scratch) if scratch else builder).getOrCreate()
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -33,13 +34,6 @@ def use_utc(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to the machine's own temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="lectern-")
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or in the warehouse where that is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -14,8 +14,9 @@ SF_DIR = os.environ.get("LECTERN_TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(os.environ.get("LECTERN_TEST_CPUS", "8"), app="tests", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    session = build_session(os.environ.get("LECTERN_TEST_CPUS", "8"), app="tests", shuffle_partitions=4, scratch=scratch)
     session.sparkContext.setLogLevel("ERROR")
     return session
 
