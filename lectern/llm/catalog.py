@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, mix, token_counts, url_filter
+from lectern.llm import bpe, chat, embedding_dedup, mix, token_counts, topk, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -31,6 +31,14 @@ def tokenizer(spark: SparkSession, path: str = VOCABULARY, pattern: str = public
     return bpe.Tokenizer(spark, path, pattern)
 
 
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_embeddings(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(
@@ -67,6 +75,8 @@ def token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_top_k": exact_top_k,
+        "op2_embedding_near_dedup": embedding_near_dedup,
         "op3_chat_format": chat_format,
         "op5_source_mix": source_mix,
         "op6_url_filter": url_verdicts,
@@ -75,6 +85,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_TOP_K = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND c.vec_id != q.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+_NEAR = """
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id != b.vec_id
+   AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach(a, b) AS (
+  SELECT vec_id, vec_id FROM vectors UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), parts AS (
+  SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a
+), degree AS (
+  SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT p.vec_id, coalesce(n_links, 0) AS n_links, component_id, p.vec_id = component_id AS kept
+FROM parts p LEFT JOIN degree d ON p.vec_id = d.vec_id
+"""
+
 _CHAT = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
@@ -155,4 +196,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat_format": _CHAT, "op5_source_mix": _MIX, "op6_url_filter": _URLS}
+    return {
+        "op1_exact_top_k": _TOP_K, "op2_embedding_near_dedup": _NEAR, "op3_chat_format": _CHAT, "op5_source_mix": _MIX,
+        "op6_url_filter": _URLS,
+    }
