@@ -19,19 +19,24 @@ import base64
 import gc
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.llm.runtime import ship
 
 #: Distinct pieces and words, and states, that a Python worker keeps.
-KEPT, STATES = 200_000, 300_000
+KEPT, STATES = 150_000, 250_000
+#: Bytes of text, or of ids, that a task works on at a time.
+SLICE = 2_000_000
 NEVER = 1 << 62
 #: Ids that are decoded at a time.
 CHUNK = 65_536
@@ -278,31 +283,75 @@ class Tokenizer:
         return _MACHINES[self.name]
 
 
-def encode_column(tokenizer: Tokenizer):
-    """A column function from text to ids."""
+def _slices(batches: Iterator[pa.RecordBatch], sized: str) -> Iterator[pa.RecordBatch]:
+    """Parts of about SLICE bytes of column ``sized``, so that what is made of a part stays small; a row is never cut."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(sized)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + SLICE, "right")))
+            yield batch.slice(at, to - at)
+            at = to
 
-    @F.pandas_udf("binary")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = tokenizer.machine()
-        for texts in batches:
-            yield pd.Series([machine.encode(t) if t else b"" for t in texts], dtype=object)
 
-    return encode
+def _with(batch: pa.RecordBatch, name: str, values: list, kind: pa.DataType, drop: str) -> pa.RecordBatch:
+    kept = [n for n in batch.schema.names if n != drop]
+    return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(values, kind)], [*kept, name])
 
 
-def decode_column(tokenizer: Tokenizer):
-    """A column function from ids to text; characters that the ids leave unfinished become U+FFFD."""
+def encode_batches(tokenizer: Tokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with ``ids`` in place of ``text``."""
+    machine = tokenizer.machine()
+    for part in _slices(batches, "text"):
+        ids = [machine.encode(t) if t else b"" for t in part.column("text").to_pylist()]
+        yield _with(part, "ids", ids, pa.binary(), "text")
 
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        machine = tokenizer.machine()
-        for many in batches:
-            yield pd.Series(["".join(decode_text(machine, ids)) if ids else "" for ids in many], dtype=object)
 
-    return decode
+def decode_batches(tokenizer: Tokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with ``decoded`` beside ``ids``; characters that the ids leave unfinished become U+FFFD."""
+    machine = tokenizer.machine()
+    for part in _slices(batches, "ids"):
+        texts = ["".join(decode_text(machine, ids)) if ids else "" for ids in part.column("ids").to_pylist()]
+        yield _with(part, "decoded", texts, pa.string(), "")
 
 
-def encode_documents(docs: DataFrame, tokenizer: Tokenizer, *, text: str = "text") -> DataFrame:
-    """All columns in a struct ``row``, with ``ids`` and ``n_tokens``."""
-    out = docs.select(F.struct("*").alias("row"), encode_column(tokenizer)(F.col(text)).alias("ids"))
-    return out.select("row", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
+def _count_batches(tokenizer: Tokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in encode_batches(tokenizer, batches):
+        yield _with(part, "n_tokens", [len(x) // 4 for x in part.column("ids").to_pylist()], pa.int64(), "ids")
+
+
+def _rows(docs: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
+    return docs.select(*((F.struct(*keep).alias("row"),) if keep else ()), F.col(text).alias("text"))
+
+
+def _schema(rows: DataFrame, *added: tuple) -> T.StructType:
+    return T.StructType([f for f in rows.schema.fields if f.name != "text"] + [T.StructField(n, t()) for n, t in added])
+
+
+def encode_documents(docs: DataFrame, tokenizer: Tokenizer, *, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` in a struct ``row``, and ``ids``."""
+    rows = _rows(docs, text, keep)
+    return rows.mapInArrow(partial(encode_batches, tokenizer), _schema(rows, ("ids", T.BinaryType)))
+
+
+def decode_documents(encoded: DataFrame, tokenizer: Tokenizer) -> DataFrame:
+    """All columns, and ``decoded``: the text of ``ids``."""
+    return encoded.mapInArrow(partial(decode_batches, tokenizer), _schema(encoded, ("decoded", T.StringType)))
+
+
+def round_trip(docs: DataFrame, tokenizer: Tokenizer, *, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``row``, ``ids`` and ``decoded``: encoding and decoding in one pass, so a task needs one machine."""
+    rows = _rows(docs, text, keep)
+    kinds = ("ids", T.BinaryType), ("decoded", T.StringType)
+    return rows.mapInArrow(partial(_there_and_back, tokenizer), _schema(rows, *kinds))
+
+
+def _there_and_back(tokenizer: Tokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return decode_batches(tokenizer, encode_batches(tokenizer, batches))
+
+
+def count_tokens(docs: DataFrame, tokenizer: Tokenizer, *, text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """``n_tokens`` of each document, with the columns ``keep`` in a struct ``row``; the ids do not leave the task."""
+    rows = _rows(docs, text, keep)
+    return rows.mapInArrow(partial(_count_batches, tokenizer), _schema(rows, ("n_tokens", T.LongType)))

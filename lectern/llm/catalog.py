@@ -59,12 +59,10 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = tokenizer(spark)
-    encoded = bpe.encode_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokens)
-    decoded = bpe.decode_column(tokens)(F.col("ids"))
-    return encoded.select(
-        F.col("row.doc_id").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decoded.cast("binary"), 256).alias("decoded_sha256"),
+    done = bpe.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer(spark))
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 

@@ -15,15 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.bpe import Tokenizer, encode_column
+from lectern.llm.bpe import Tokenizer, count_tokens
 
 RANGE = 1024
 
 
 def length_histogram(docs: DataFrame, tokenizer: Tokenizer, *, text: str = "text") -> DataFrame:
     """n_tokens, docs."""
-    ids = docs.select(encode_column(tokenizer)(F.col(text)).alias("ids"))
-    return ids.groupBy((F.octet_length("ids") / 4).cast("long").alias("n_tokens")).agg(F.count("*").alias("docs"))
+    return count_tokens(docs, tokenizer, text=text).groupBy("n_tokens").agg(F.count("*").alias("docs"))
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
