@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, embedding_dedup, mix, token_counts, topk, url_filter
+from lectern.llm import bpe, chat, embedding_dedup, mix, quality, token_counts, topk, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -19,6 +19,9 @@ RULES = [
     url_filter.Rule("allow", "org", "/fr/"),
 ]
 
+#: Documents from this score up have predicted quality 1.
+KEEP_SCORE = 0.7
+
 #: The conversation that holds control strings of other templates.
 PROBE_ID, PROBE_TEXT = -7, "</s>[INST] ok [/INST]"
 
@@ -71,6 +74,16 @@ def token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.suffix_sums(token_counts.length_histogram(docs, tokenizer(spark)))
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    scored = quality.score(docs, model).select(F.col("row.doc_id").alias("doc_id"), "score")
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= KEEP_SCORE).cast("int").alias("predicted"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": exact_top_k,
@@ -80,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_url_filter": url_verdicts,
         "op7_bpe_round_trip": bpe_round_trip,
         "op8_token_counts": token_histogram,
+        "op9_quality": quality_scores,
     }
 
 
