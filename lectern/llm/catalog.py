@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, embedding_dedup, mix, quality, token_counts, topk, url_filter
+from lectern.llm import bpe, chat, embedding_dedup, minhash_dedup, mix, quality, token_counts, topk, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -51,6 +51,10 @@ def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_chat(rows.unionByName(probe)))
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix.positions(mix.plan_mix(_table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -89,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_top_k": exact_top_k,
         "op2_embedding_near_dedup": embedding_near_dedup,
         "op3_chat_format": chat_format,
+        "op4_minhash_near_dedup": minhash_near_dedup,
         "op5_source_mix": source_mix,
         "op6_url_filter": url_verdicts,
         "op7_bpe_round_trip": bpe_round_trip,
