@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import bpe, chat, embedding_dedup, minhash_dedup, mix, quality, token_counts, topk, url_filter
+from lectern.llm.runtime import stored
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
@@ -75,7 +76,8 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("text")
-    return token_counts.suffix_sums(token_counts.length_histogram(docs, tokenizer(spark)))
+    # The sums read the histogram more than once; the documents are to be encoded once.
+    return token_counts.suffix_sums(stored(token_counts.length_histogram(docs, tokenizer(spark)), "lengths"))
 
 
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
