@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, embedding_dedup, minhash_dedup, mix, quality, token_counts, topk, url_filter
+from lectern.llm import bpe, chat, embedding_dedup, licenses, minhash_dedup, mix, quality, token_counts, topk, url_filter
 from lectern.llm.runtime import stored
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -90,6 +90,15 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a repository with directories for each 1000 and 100 ids; each tenth document is a licence file."""
+    name = F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE-"), F.col("doc_id"))).otherwise(F.concat(F.col("doc_id"), F.lit(".txt")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100), name)
+    files = _table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    found = licenses.scan_licences(files)
+    return found.select(F.col("row.doc_id").alias("doc_id"), "path", "own", "similarity", "licence", "declared_in")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": exact_top_k,
@@ -101,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_bpe_round_trip": bpe_round_trip,
         "op8_token_counts": token_histogram,
         "op9_quality": quality_scores,
+        "op10_licence_scan": licence_scan,
     }
 
 
