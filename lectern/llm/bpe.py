@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from lectern.llm.runtime import ship
 
 #: Distinct pieces and words, and states, that a Python worker keeps.
-KEPT, STATES = 150_000, 250_000
+KEPT, STATES = 250_000, 400_000
 #: Bytes of text, or of ids, that a task works on at a time.
 SLICE = 2_000_000
 NEVER = 1 << 62
@@ -97,7 +97,7 @@ class Transducer:
                 self.token[node] = token
         self.spines: dict[tuple[bytes, int], list[tuple[bytes, float]]] = {}
         self.pairs: dict[int, bool] = {}
-        self.pieces = _Kept(lambda piece: array("I", self.run(piece.encode())).tobytes())
+        self.pieces = _Kept(self._piece)
         self.words = _Kept(self._word)
         self._forget()
 
@@ -199,7 +199,11 @@ class Transducer:
         return self._pieces_of(first) + b"".join(map(self.words.__getitem__, words))
 
     def _word(self, word: str) -> bytes:
-        return self._pieces_of(" " + word)
+        # A space and letters are one piece; most words that come once are of this kind.
+        return self._piece(" " + word) if word.isalpha() else self._pieces_of(" " + word)
+
+    def _piece(self, piece: str) -> bytes:
+        return array("I", self.run(piece.encode())).tobytes()
 
     def _pieces_of(self, text: str) -> bytes:
         return b"".join(map(self.pieces.__getitem__, self.find(text)))
