@@ -21,7 +21,7 @@ no component and is kept; an empty table gives no rows; other columns are ignore
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -77,8 +77,8 @@ def _place(threshold: float):
     return place
 
 
-def _tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Consecutive vectors of one length, TILE at a time."""
+def _tile(tile: int, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Consecutive vectors of one length, ``tile`` at a time."""
     held: list[tuple] = []
     made = 0
 
@@ -101,7 +101,7 @@ def _tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for rows in batches:
         for one in zip(rows["vec_id"], rows["copies"], rows["vector"], strict=True):
-            if held and (len(held) == TILE or len(held[0][2]) != len(one[2])):
+            if held and (len(held) == tile or len(held[0][2]) != len(one[2])):
                 yield flush()
             held.append(one)
     if held:
@@ -109,7 +109,8 @@ def _tile(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 class _Side:
-    def __init__(self, row, threshold: float):
+    def __init__(self, row, threshold: float, sub: int):
+        self.sub = sub
         self.ids, self.copies = np.frombuffer(row.ids, np.int64), np.frombuffer(row.copies, np.int64)
         kind = np.float32 if len(row.cells) == 4 * row.n * row.dims else np.float64
         self.unit = unit(np.frombuffer(row.cells, kind).reshape(row.n, row.dims))
@@ -121,7 +122,7 @@ class _Side:
             half = np.einsum("nd,nd->n", x, x)[:, None] / 2
             one = np.ones_like(half)
             # left @ right.T is minus half the squared distance.
-            boxes = [(x[i : i + SUB].min(0), x[i : i + SUB].max(0)) for i in range(0, row.n, SUB)]
+            boxes = [(x[i : i + sub].min(0), x[i : i + sub].max(0)) for i in range(0, row.n, sub)]
             self.parts.append((np.hstack([x, -half, one]).astype(np.float32), np.hstack([x, one, -half]).astype(np.float32),
                                boxes, radius(row.dims, threshold, b)))
 
@@ -149,7 +150,7 @@ def _apart(a: tuple, b: tuple) -> float:
 
 def _links(a: _Side, b: _Side, i: int, j: int) -> np.ndarray:
     """Which vectors of the i-th box of ``a`` and the j-th of ``b`` link: candidates of any block, then the exact cosine."""
-    rows, cols = slice(i * SUB, min((i + 1) * SUB, a.n)), slice(j * SUB, min((j + 1) * SUB, b.n))
+    rows, cols = slice(i * a.sub, min((i + 1) * a.sub, a.n)), slice(j * b.sub, min((j + 1) * b.sub, b.n))
     near = np.zeros((rows.stop - rows.start, cols.stop - cols.start), bool)
     for (left, _, boxes, r), (_, right, others, _) in zip(a.parts, b.parts, strict=True):
         if _apart(boxes[i], others[j]) <= r * r + SLACK:
@@ -162,24 +163,24 @@ def _links(a: _Side, b: _Side, i: int, j: int) -> np.ndarray:
     return near
 
 
-def _meet(threshold: float):
+def _meet(threshold: float, sub: int):
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame([], columns=["node", "links", "root"])
         one = left["tile"].iloc[0] == right["tile"].iloc[0]
-        a = _Side(next(left.itertuples()), threshold)
-        b = a if one else _Side(next(right.itertuples()), threshold)
+        a = _Side(next(left.itertuples()), threshold, sub)
+        b = a if one else _Side(next(right.itertuples()), threshold, sub)
         shift = 0 if one else a.n
         ids = a.ids if one else np.concatenate([a.ids, b.ids])
         links, forest = np.zeros(len(ids), np.int64), _Forest(len(ids))
-        for i in range(-(-a.n // SUB)):
-            for j in range(i if one else 0, -(-b.n // SUB)):
+        for i in range(-(-a.n // sub)):
+            for j in range(i if one else 0, -(-b.n // sub)):
                 near = _links(a, b, i, j)
                 if one and i == j:
                     np.fill_diagonal(near, False)
                 if not near.any():
                     continue
-                x0, y0 = i * SUB, j * SUB
+                x0, y0 = i * sub, j * sub
                 links[x0 : x0 + near.shape[0]] += near @ b.copies[y0 : y0 + near.shape[1]]
                 if not (one and i == j):
                     links[shift + y0 : shift + y0 + near.shape[1]] += near.T @ a.copies[x0 : x0 + near.shape[0]]
@@ -226,17 +227,17 @@ def _tile_pairs(tiles: DataFrame, threshold: float) -> DataFrame:
     return met.select("a", "b").distinct()
 
 
-def near_links(vectors: DataFrame, threshold: float) -> DataFrame:
+def near_links(vectors: DataFrame, threshold: float, tile: int = TILE, sub: int = SUB) -> DataFrame:
     """node, links, root: per pair of tiles and vector of (vec_id, copies, vector), for vectors that have links there."""
     placed = stored(vectors.select("vec_id", "copies", "vector").mapInPandas(_place(threshold), f"{_ddl(vectors)}, key array<int>"), "placed")
-    parts = max(1, -(-placed.count() // (4 * TILE)))
+    parts = max(1, -(-placed.count() // (4 * tile)))
     order = ["key", "vec_id"]
-    tiles = stored(placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(_tile, TILES), "tiles")
+    tiles = stored(placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInPandas(partial(_tile, tile), TILES), "tiles")
     pairs = stored(_tile_pairs(tiles, threshold), "tile-pairs")
     slim = tiles.select("tile", "dims", "n", "ids", "copies", "cells")
     left = pairs.join(slim, F.col("a") == F.col("tile"))
     right = pairs.toDF(*pairs.columns).join(slim.toDF(*slim.columns), F.col("b") == F.col("tile"))
-    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(_meet(threshold), FOUND)
+    return left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(_meet(threshold, sub), FOUND)
 
 
 def _ddl(vectors: DataFrame) -> str:
@@ -244,7 +245,7 @@ def _ddl(vectors: DataFrame) -> str:
     return f"vec_id long, copies long, vector {kind}"
 
 
-def near_duplicates(embeddings: DataFrame, *, threshold: float = 0.9) -> DataFrame:
+def near_duplicates(embeddings: DataFrame, *, threshold: float = 0.9, tile: int = TILE, sub: int = SUB) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per vector."""
     ship(embeddings.sparkSession)
     rows = stored(
@@ -256,7 +257,7 @@ def near_duplicates(embeddings: DataFrame, *, threshold: float = 0.9) -> DataFra
     classes = stored(
         linkable.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies")), "vector-classes"
     )
-    found = stored(near_links(classes, threshold), "links")
+    found = stored(near_links(classes, threshold, tile, sub), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")), "vector-components")
     several = classes.where("copies > 1").select("vector", F.col("vec_id").alias("first"), "copies")
