@@ -37,13 +37,13 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 20, 4
 #: Bits of a shingle's hash.
 BITS = 48
 #: Bytes of text in a chunk, and of the texts whose shingles fall into one range; documents in a chunk.
-CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 8_000_000, 16_000_000, 20_000
+CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 8_000_000, 8_000_000, 20_000
 #: Sets that meet in one task, at most two tiles of them.
-TILE = 1024
+TILE = 512
 #: Shingles whose samples are drawn at a time.
 DRAW = 4096
 #: Distinct words that a Python worker keeps.
-KEPT = 300_000
+KEPT = 200_000
 
 PARTIAL = "range long, chunk long, hashes binary, counts binary"
 SHARED = "chunk long, range long, hashes binary, df binary"
@@ -65,26 +65,39 @@ _HASHES = _Hashes()
 
 def shingle_table(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """hash, text number, tf of each distinct shingle of each text, sorted by hash and then text number."""
-    per = [t.split() for t in texts]
-    n = np.array([len(w) for w in per], np.int64)
-    words = np.fromiter((_HASHES[w] for ws in per for w in ws), np.uint64, int(n.sum()))
-    ends = np.cumsum(n)
-    # Pad with zeros, so that a text of fewer words has its one shingle; starts past a text's last shingle are left out.
-    wide = np.concatenate([words, np.zeros(SHINGLE - 1, np.uint64)])
-    owner = np.repeat(np.arange(len(per)), n)
-    left = ends[owner] - np.arange(len(words))
-    mixed = np.zeros(len(words), np.uint64)
-    for k, c in enumerate(_C):
-        mixed += np.where(left > k, mix64(wide[k : k + len(words)], k), np.uint64(0)) * c
-    start = (left >= SHINGLE) | ((n[owner] < SHINGLE) & (left == n[owner]))
-    hashes, owner = mix64(mixed[start]) >> np.uint64(64 - BITS), owner[start]
-    if len(per) < 1 << (64 - BITS):
-        keys, tf = np.unique(hashes << np.uint64(64 - BITS) | owner.astype(np.uint64), return_counts=True)
-        return keys >> np.uint64(64 - BITS), (keys & np.uint64((1 << (64 - BITS)) - 1)).astype(np.int64), tf
-    order = np.lexsort((owner, hashes))
-    hashes, owner = hashes[order], owner[order]
-    first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])]) if len(order) else order
-    return hashes[first], owner[first], np.diff(np.r_[first, len(order)])
+    hashes, owners = [], []
+    for i, text in enumerate(texts):
+        words = text.split()
+        n = len(words)
+        if n:
+            hashes.append(_shingles(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n)))
+            owners.append(np.full(len(hashes[-1]), i, np.uint32))
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    low = np.uint64(64 - BITS)
+    keys, owner = np.concatenate(hashes), np.concatenate(owners)
+    del hashes, owners
+    if len(texts) < 1 << int(low):
+        keys <<= low
+        keys |= owner
+        keys.sort()
+        at = _runs(keys)
+        tf = np.diff(np.r_[at, len(keys)])
+        keys = keys[at]
+        return keys >> low, (keys & np.uint64((1 << int(low)) - 1)).astype(np.uint32), tf
+    order = np.lexsort((owner, keys))
+    keys, owner = keys[order], owner[order]
+    at = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])])
+    return keys[at], owner[at], np.diff(np.r_[at, len(keys)])
+
+
+def _shingles(words: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of SHINGLE words, or of all words if there are fewer."""
+    n = max(1, len(words) - SHINGLE + 1)
+    mixed = np.zeros(n, np.uint64)
+    for k, c in enumerate(_C[: len(words)]):
+        mixed += mix64(words[k : k + n], k) * c
+    return mix64(mixed) >> np.uint64(64 - BITS)
 
 
 def _narrow(x: np.ndarray, *kinds) -> bytes:
@@ -153,12 +166,13 @@ def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     """df of the shingles of one range that more than one document has, to each chunk that has them."""
     sizes = _sizes(rows)
     hashes = np.concatenate([_read_hashes(h, n) for h, n in zip(rows["hashes"], sizes, strict=True)])
-    counts = np.concatenate([_wide(c, n, *_COUNTS) for c, n in zip(rows["counts"], sizes, strict=True)]).astype(np.int64)
-    chunk = np.repeat(np.arange(len(rows)), sizes)
+    counts = np.concatenate([_wide(c, n, *_COUNTS) for c, n in zip(rows["counts"], sizes, strict=True)]).astype(np.uint32)
+    chunk = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
     order = np.argsort(hashes, kind="stable")
-    hashes, chunk = hashes[order], chunk[order]
+    hashes, chunk, counts = hashes[order], chunk[order], counts[order]
+    del order
     at = _runs(hashes)
-    df = np.repeat(np.add.reduceat(counts[order], at), np.diff(np.r_[at, len(hashes)]))
+    df = np.repeat(np.add.reduceat(counts, at), np.diff(np.r_[at, len(hashes)]))
     shared = np.flatnonzero(df > 1)
     shared = shared[np.argsort(chunk[shared], kind="stable")]
     cuts = np.searchsorted(chunk[shared], np.arange(len(rows) + 1))
