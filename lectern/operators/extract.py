@@ -51,15 +51,29 @@ def extract(raw: DataFrame, entity: str, *, status: str | None = PENDING, keep:
     return parsed.where(F.col(text[spec.key]).isNotNull()).select(*typed, *keep)
 
 
+def parsed(raw: DataFrame, entity: str, *, keep: Iterable[str] = ()) -> DataFrame:
+    """Typed payload columns of all rows, and the ``reason`` where a row cannot be loaded; one parse per row."""
+    spec = ENTITIES[entity]
+    text = {c: f"text_{c}" for c in spec.fields}
+    found = raw.select(F.json_tuple("payload", *text).alias(*text.values()), "payload", *keep)
+    typed = [_typed(F.col(text[c]), t).alias(c) for c, t in spec.fields.items()]
+    return found.select(*typed, _reason(F.col(text[spec.key])).alias("reason"), *keep)
+
+
+def _reason(natural_id: Column) -> Column:
+    malformed = F.when(F.try_parse_json("payload").isNull(), "MALFORMED_JSON").otherwise("MISSING_KEY")
+    return F.when(natural_id.isNull(), malformed)
+
+
 def rejected(raw: DataFrame, entity: str, *, status: str | None = PENDING) -> DataFrame:
     """The rows :func:`extract` leaves out, with the reason."""
     spec = ENTITIES[entity]
     if status is not None:
         raw = raw.where(F.col("processing_status") == status)
-    reason = F.when(F.try_parse_json("payload").isNull(), "MALFORMED_JSON").otherwise("MISSING_KEY")
     found = raw.select("raw_id", "file_name", "ingested_at", "payload",
                        F.json_tuple("payload", spec.key).alias("natural_id"))
-    return found.where(F.col("natural_id").isNull()).select("raw_id", "file_name", "ingested_at", reason.alias("reason"))
+    return found.where(F.col("natural_id").isNull()).select(
+        "raw_id", "file_name", "ingested_at", _reason(F.col("natural_id")).alias("reason"))
 
 
 def validate_raw_json(raws: dict[str, DataFrame]) -> DataFrame:

@@ -63,14 +63,20 @@ LAST_NAMES = ["Adler", "Brandt", "Costa", "Diaz", "Evans", "Fischer", "Gupta", "
               "Lopez", "Meyer", "Novak", "Okoye", "Patel", "Quinn", "Rossi", "Silva", "Tanaka"]
 
 
+def padded(n: Column, digits: int) -> Column:
+    """A number with at least that many digits."""
+    text = n.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
+
+
 def student_code(n: Column, digits: int = 12) -> Column:
     """``U`` and a zero-padded number."""
-    return F.concat(F.lit("U"), F.lpad(n.cast("string"), digits, "0"))
+    return F.concat(F.lit("U"), padded(n, digits))
 
 
 def course_code(dept: Column, number: Column) -> Column:
     """``DEPT-1234``."""
-    return F.concat(dept, F.lit("-"), F.lpad(number.cast("string"), 4, "0"))
+    return F.concat(dept, F.lit("-"), padded(number, 4))
 
 
 def _code(prefix: str, low: int, high: int, salt: str, seed: int, *ids) -> Column:
@@ -116,7 +122,7 @@ def generate_courses(ids: DataFrame, *, seed: int = 42) -> DataFrame:
     fall = F.col("term").startswith("Fall")
     day = lambda a, b: F.when(fall, F.to_date(F.lit(a))).otherwise(F.to_date(F.lit(b)))
     return _payload(df.withColumns({
-        "course_id": F.concat(F.lit("CRS"), F.lpad(F.col("id").cast("string"), 12, "0")),
+        "course_id": F.concat(F.lit("CRS"), padded(F.col("id"), 12)),
         "canvas_course_id": between(10000, 99999, "canvas", seed, "id"),
         "course_code": course_code(F.col("dept"), F.col("number")),
         "course_name": title,
@@ -190,17 +196,11 @@ def generate_assignments(courses: DataFrame, per_course: int = 15, *, seed: int
     }), "assignments")
 
 
-def generate_submissions(enrollments: DataFrame, assignments: DataFrame, *, keep: float = 0.9, seed: int = 42,
-                         max_pairs: int | None = None) -> DataFrame:
-    """A submission for about ``keep`` of all student and assignment pairs.
-
-    ``max_pairs`` optionally limits the pairs considered; by default all of them are.
-    """
+def generate_submissions(enrollments: DataFrame, assignments: DataFrame, *, keep: float = 0.9, seed: int = 42) -> DataFrame:
+    """A submission for about ``keep`` of all student and assignment pairs."""
     pairs = enrollments.select("student_id", "course_id").distinct().join(
         assignments.select("assignment_id", "course_id", "points_possible"), "course_id"
     )
-    if max_pairs is not None:
-        pairs = pairs.limit(max_pairs)
     ids = ("student_id", "assignment_id")
     share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 0.78 + 0.15 * normal("mark", seed, *ids)))
     points = F.coalesce(F.col("points_possible"), F.lit(100)).cast("double")
@@ -228,11 +228,8 @@ def generate_submissions(enrollments: DataFrame, assignments: DataFrame, *, keep
     }), "submissions")
 
 
-def generate_activity(enrollments: DataFrame, per_enrollment: int = 25, *, seed: int = 42,
-                      max_enrollments: int | None = None) -> DataFrame:
+def generate_activity(enrollments: DataFrame, per_enrollment: int = 25, *, seed: int = 42) -> DataFrame:
     df = enrollments.select("enrollment_id", "student_id", "course_id")
-    if max_enrollments is not None:
-        df = df.limit(max_enrollments)
     df = df.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(per_enrollment))))
     ids = ("enrollment_id", "i")
     minutes = (

@@ -77,7 +77,7 @@ def dq_thresholds(df: DataFrame, checks: Iterable[Check]) -> DataFrame:
             df.agg(F.expr(check.value))
             good.append(check)
         except AnalysisException as e:
-            bad.append((check.name, None, float(check.threshold), False, str(e).splitlines()[0]))
+            bad.append((check.name, None, float(check.threshold), False, str(e)))
     schema = "name string, value double, threshold double, passed boolean, error string"
     out = df.sparkSession.createDataFrame(bad, schema) if bad else None
     if good:
@@ -109,30 +109,39 @@ def linkage_check(enrollments: DataFrame) -> DataFrame:
 def constraint_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Violations of the declared keys of each entity.
 
-    NOT_NULL and FOREIGN_KEY count rows, UNIQUE counts key values held by several rows. Every check
-    first counts the rows per value, so a hot value is one row by the time it is shuffled.
+    NOT_NULL and FOREIGN_KEY count rows, UNIQUE counts key values held by several rows. Each table is read once:
+    a row becomes the values of its key and of the keys it refers to, each in the domain of the key. Counting
+    roles per domain and value is one shuffle for all checks, behind a partial count, so a hot value is one row there.
     """
+    roles = [(name, ENTITIES[name].key, name) for name in tables]
+    roles += [(name, natural, dim) for name in tables for dim, natural in ENTITIES[name].lookups.values() if dim in tables]
     parts = []
     for name, df in tables.items():
-        spec = ENTITIES[name]
-        key, n = F.col(spec.key), F.col("n")
-        per_key = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("n"))
-        found = per_key.agg(
-            F.coalesce(F.sum(F.when(key.isNull(), n)), F.lit(0)).alias("NOT_NULL"),
-            F.count_if(key.isNotNull() & (n > 1)).alias("UNIQUE"),
-        )
-        parts.append(found.select(F.lit(spec.key).alias("column_name"), F.explode(F.create_map(
-            F.lit("NOT_NULL"), "NOT_NULL", F.lit("UNIQUE"), "UNIQUE")).alias("constraint_type", "violations")
-        ).withColumn("table_name", F.lit(spec.table)))
-        for fk, (dim, natural) in spec.lookups.items():
-            if dim in tables:
-                used = df.where(F.col(natural).isNotNull()).groupBy(natural).agg(F.count(F.lit(1)).alias("n"))
-                orphans = used.join(tables[dim].select(natural), natural, "left_anti")
-                parts.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violations")).select(
-                    F.lit(fk).alias("column_name"), F.lit("FOREIGN_KEY").alias("constraint_type"), "violations",
-                    F.lit(spec.table).alias("table_name"),
-                ))
-    return reduce(DataFrame.unionByName, parts).select("table_name", "column_name", "constraint_type", "violations")
+        held = [
+            F.struct(F.lit(i).alias("role"), F.lit(domain).alias("domain"), F.col(column).cast("string").alias("value"))
+            for i, (table, column, domain) in enumerate(roles) if table == name
+        ]
+        parts.append(df.select(F.explode(F.array(*held)).alias("v")).select("v.*"))
+    per_value = reduce(DataFrame.unionByName, parts).groupBy("domain", "value").agg(
+        *[F.count_if(F.col("role") == i).alias(f"n{i}") for i in range(len(roles))]
+    )
+    given, checks = F.col("value").isNotNull(), []
+    for i, (name, column, domain) in enumerate(roles):
+        spec, n = ENTITIES[name], F.col(f"n{i}")
+        if i < len(tables):
+            checks.append((spec.table, column, "NOT_NULL", F.sum(F.when(~given, n))))
+            checks.append((spec.table, column, "UNIQUE", F.count_if(given & (n > 1))))
+        else:
+            key = next(k for k, (table, _, _) in enumerate(roles) if table == domain)
+            fk = next(f for f, (dim, natural) in spec.lookups.items() if (dim, natural) == (domain, column))
+            checks.append((spec.table, fk, "FOREIGN_KEY", F.sum(F.when(given & (F.col(f"n{key}") == 0), n))))
+    counts = per_value.agg(*[F.coalesce(v, F.lit(0)).alias(f"c{i}") for i, (_, _, _, v) in enumerate(checks)])
+    found = F.explode(F.array(*[
+        F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.lit(k).alias("constraint_type"),
+                 F.col(f"c{i}").alias("violations"))
+        for i, (t, c, k, _) in enumerate(checks)
+    ]))
+    return counts.select(found.alias("r")).select("r.*")
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

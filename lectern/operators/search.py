@@ -80,11 +80,15 @@ STUDENT_CORPUS = Corpus("student_id", "full_name", ("major", "classification", "
 
 @dataclass(frozen=True)
 class Index:
-    """``docs``: doc_id, title, doc_len. ``postings``: term, doc_id, tf, doc_len and the attributes."""
+    """``docs``: doc_id, title, doc_len. ``postings``: term, doc_id, tf, doc_len and the attributes.
+
+    A stored index also has ``terms``: term and df, its number of documents.
+    """
 
     docs: DataFrame
     postings: DataFrame
     attributes: tuple[str, ...]
+    terms: DataFrame | None = None
 
 
 def tokens(text: Column) -> Column:
@@ -99,23 +103,29 @@ def build_index(source: DataFrame, corpus: Corpus, *, text: str = "search_text")
         *[F.col(a).alias(f"attr_{a}") for a in corpus.attributes], tokens(F.col(text)).alias("words"),
     ).withColumn("doc_len", F.size("words"))
     attrs = [f"attr_{a}" for a in corpus.attributes]
-    # The terms of a document are all in its own row, so each map task counts them before the shuffle.
-    postings = words.select(F.explode("words").alias("term"), "doc_id", "doc_len", *attrs).groupBy(
-        "term", "doc_id", "doc_len", *attrs
-    ).agg(F.count(F.lit(1)).alias("tf"))
+    # One shuffle: laid out by term and document, the words are counted where they are and stored as they lie.
+    postings = (
+        words.select(F.explode("words").alias("term"), "doc_id", "doc_len", *attrs).repartitionByRange("term", "doc_id")
+        .groupBy("term", "doc_id", "doc_len", *attrs).agg(F.count(F.lit(1)).alias("tf"))
+    )
     return Index(words.select("doc_id", "title", "doc_len"), postings, corpus.attributes)
 
 
 def save_index(index: Index, path: str) -> None:
-    """Store an index. Postings are laid out by term, and a common term may span many files."""
+    """Store an index and its document frequencies. Postings are laid out by term, and a common term may span many files."""
     index.docs.write.parquet(f"{path}/docs")
-    index.postings.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id").write.parquet(
-        f"{path}/postings"
-    )
+    index.postings.sortWithinPartitions("term", "doc_id").write.parquet(f"{path}/postings")
+    stored = index.postings.sparkSession.read.schema(index.postings.schema).parquet(f"{path}/postings")
+    document_frequency(stored).write.parquet(f"{path}/terms")
+
+
+def document_frequency(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def load_index(spark: SparkSession, path: str, corpus: Corpus) -> Index:
-    return Index(spark.read.parquet(f"{path}/docs"), spark.read.parquet(f"{path}/postings"), corpus.attributes)
+    docs, postings, terms = (spark.read.parquet(f"{path}/{part}") for part in ("docs", "postings", "terms"))
+    return Index(docs, postings, corpus.attributes, terms)
 
 
 def refresh_index(index: Index, changed: Index) -> Index:
@@ -138,9 +148,9 @@ def search(index: Index, queries: DataFrame, *, k: int = 10, where: dict[str, It
         if a not in index.attributes:
             raise KeyError(f"{a} is not an attribute of this index")
     asked = queries.select("query_id", F.explode(tokens(F.col("query"))).alias("term")).distinct()
-    wanted = asked.select("term").distinct()
-    hits = index.postings.join(wanted, "term", "left_semi")
-    doc_freq = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    terms = index.terms if index.terms is not None else document_frequency(
+        index.postings.join(asked.select("term").distinct(), "term", "left_semi"))
+    hits = index.postings
     size = index.docs.agg(F.count(F.lit(1)).cast("double")).scalar()
     avg_len = index.docs.agg(F.sum("doc_len").cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
     for a, values in (where or {}).items():
@@ -148,9 +158,12 @@ def search(index: Index, queries: DataFrame, *, k: int = 10, where: dict[str, It
     idf = F.log(1 + (size - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")
     part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
+    # The postings are partitioned for this join alone, so adaptive execution can split a term that most documents have.
+    # Parts are summed as decimals: the score does not depend on their order.
+    total = F.sum(part.cast("decimal(38,12)"))
     scores = (
-        hits.join(asked.join(doc_freq, "term"), "term")
-        .groupBy("query_id", "doc_id").agg(F.round(F.sum(part), SCORE_DIGITS).alias("score"))
+        hits.join(asked.join(terms, "term"), "term")
+        .groupBy("query_id", "doc_id").agg(F.round(total, SCORE_DIGITS).cast("double").alias("score"))
     )
     # A rank filter is cut to k rows per query on the map side, so a hot query never meets in one task.
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")

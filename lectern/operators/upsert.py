@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.schemas import ENTITIES, ERROR, PENDING, PROCESSED, Entity
@@ -33,29 +33,21 @@ def latest_per_key(source: DataFrame, keys: Iterable[str], order: Iterable[str]
     return found.withColumn(keys[0], checked).select(*keys, "r.*")
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True only where the optimizer's own size estimate is under the session's broadcast limit."""
-    limit = df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def upsert(target: DataFrame, source: DataFrame, *, keys: Iterable[str], update_cols: Iterable[str],
            now: datetime, insert_cols: Iterable[str] | None = None, defaults: Mapping[str, str] | None = None,
-           small_source: bool | None = None) -> DataFrame:
+           stored_source: bool = False) -> DataFrame:
     """MERGE as a rewrite: matched rows take ``update_cols``, unmatched source rows are inserted.
 
     ``source`` holds one row per key. Columns of ``target`` that the source lacks start as their
-    default or NULL. A source under the broadcast limit is joined to the target without shuffling
-    the target; a larger one goes through one full outer join.
+    default or NULL. The merge is one full outer join, which reads the source once. A caller whose
+    source is a stored table says so; it is then read twice, by a left join to the target and by an
+    anti join, and Spark need not shuffle the target where the stored source is small.
     """
     keys, update_cols = list(keys), list(update_cols)
     defaults = dict(defaults or {})
     insertable = set(insert_cols) if insert_cols is not None else set(source.columns)
     stamp = F.lit(now).cast("timestamp_ntz")
     types = dict(target.dtypes)
-    if small_source is None:
-        small_source = fits_broadcast(source)
 
     def fresh(c: str, prefix: str):
         if c in insertable and c in source.columns:
@@ -73,7 +65,7 @@ def upsert(target: DataFrame, source: DataFrame, *, keys: Iterable[str], update_
 
     s = source.withColumn("in_source", F.lit(True)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    if small_source:
+    if stored_source:
         merged = target.alias("t").join(s, on, "left").select(
             *[kept(c).cast(types[c]).alias(c) for c in target.columns]
         )
@@ -143,20 +135,24 @@ def backfill_keys(fact: DataFrame, entity: str, dims: Mapping[str, DataFrame]) -
     return fact.where(complete).unionByName(filled)
 
 
-def assign_keys(df: DataFrame, column: str, existing: DataFrame | None = None) -> DataFrame:
-    """Number the rows whose ``column`` is NULL above the greatest key of ``existing``.
+def number_rows(df: DataFrame, column: str, top: int | Column) -> DataFrame:
+    """Number the rows whose ``column`` is NULL above ``top``.
 
     Numbers are unique and grow, with gaps between partitions; write the result once and read the
     keys back, since a second run may number the rows differently.
     """
+    fresh = (F.lit(top) if isinstance(top, int) else top) + F.monotonically_increasing_id() + 1
+    return df.withColumn(column, F.coalesce(F.col(column), fresh).cast("bigint"))
+
+
+def assign_keys(df: DataFrame, column: str, existing: DataFrame | None = None) -> DataFrame:
+    """Number the rows whose ``column`` is NULL above the greatest key of ``existing``, which is read for it."""
     top = (existing if existing is not None else df).agg(F.coalesce(F.max(column), F.lit(0))).scalar()
-    return df.withColumn(
-        column, F.coalesce(F.col(column), top + F.monotonically_increasing_id() + 1).cast("bigint")
-    )
+    return number_rows(df, column, top)
 
 
 def merge_entity(spec: Entity, target: DataFrame, source: DataFrame, *, now: datetime,
-                 profile: str = "full", on_duplicate: str = "last") -> DataFrame:
+                 profile: str = "full", on_duplicate: str = "last", stored_source: bool = False) -> DataFrame:
     """The upsert of one entity with its own key, update columns and defaults.
 
     A source without batch columns already holds one row per key.
@@ -167,7 +163,8 @@ def merge_entity(spec: Entity, target: DataFrame, source: DataFrame, *, now: dat
         return insert_new(target, source, keys=[spec.key], now=now)
     skipped = spec.narrow_skips if profile == "sql" else ()
     return upsert(target, source, keys=[spec.key], update_cols=spec.update_cols(profile), now=now,
-                  insert_cols=[c for c in source.columns if c not in skipped], defaults=spec.defaults)
+                  insert_cols=[c for c in source.columns if c not in skipped], defaults=spec.defaults,
+                  stored_source=stored_source)
 
 
 def pending_counts(raws: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators import (
-    aggregates, cost, extract, generate, metrics, quality, reports, runlog, search, upsert, views,
+    aggregates, cost, extract, metrics, quality, reports, runlog, search, upsert, views,
 )
 from lectern.plans import jobs
-from lectern.schemas import ENTITIES, GRADE_BANDS
+from lectern.schemas import DQ_ISSUES_SCHEMA, ENTITIES, GRADE_BANDS, RUN_EVENT_SCHEMA
 from lectern.session import scratch_dir, use_utc
 from lectern.sources import landing
 from lectern.sources.store import Lake
@@ -57,6 +58,12 @@ CHANGES = {
                     "graded_at": "graded_at + INTERVAL '1' DAY", "points_possible": "points_possible + 5"},
     "activity_logs": {"duration_seconds": "duration_seconds + 1"},
 }
+# Which documents a search feed sends again, and which of them changed or lost their text.
+AGAIN = {"sent": "activity_type <> 'PageView'", "changed": "device_type = 'Mobile'", "emptied": "coalesce(device_type = 'Tablet', false)"}
+DEFAULT_NAMES = (
+    "CASE warehouse_name WHEN 'DEMO_CLICK_WH' THEN 'DEMO_INGESTION_WH' WHEN 'DEMO_VIEW_WH' THEN 'DEMO_TRANSFORM_WH' "
+    "ELSE 'DEMO_TASK_WH' END"
+)
 HELPERS = {"assignments": ("p_size",), "submissions": ("enrolled_at",)}
 RAW_STATUS = {
     "students": "CASE major WHEN 'HOUSEHOLD' THEN 'PROCESSED' WHEN 'FURNITURE' THEN 'ERROR' ELSE 'PENDING' END",
@@ -343,6 +350,13 @@ register("table_storage")(lambda tb: cost.table_storage(tb.metering("table_stora
 register("top_tables")(lambda tb: cost.top_tables(tb.metering("table_storage")))
 
 
+@register("cost_default_rules")
+def _(tb):
+    """Daily cost of the resources that the default rules name, a part of all metered use each."""
+    named = tb.metering("warehouse_metering").withColumn("warehouse_name", F.expr(DEFAULT_NAMES))
+    return cost.warehouse_daily_costs(named, cost.default_rules(tb.spark), as_of=AS_OF)
+
+
 @register("cost_dashboard")
 def _(tb):
     return cost.cost_dashboard(tb.metering("warehouse_metering"), tb.metering("container_history"),
@@ -526,15 +540,6 @@ def _(tb):
     return search.search(refreshed, _questions(tb.courses(), "department", "course_name"))
 
 
-# --- generators over the tables' own ids ----------------------------------------------------------
-
-register("generate_students")(lambda tb: generate.generate_students(tb.table("customer").selectExpr("c_custkey AS id")))
-register("generate_courses")(lambda tb: generate.generate_courses(tb.table("part").selectExpr("p_partkey AS id")))
-register("generate_enrollments")(lambda tb: generate.generate_enrollments(tb.students(), tb.courses()))
-register("generate_assignments")(lambda tb: generate.generate_assignments(tb.courses()))
-register("generate_submissions")(lambda tb: generate.generate_submissions(tb.enrollments(), tb.assignments()))
-register("generate_activity")(lambda tb: generate.generate_activity(tb.enrollments(), 5))
-
 # --- jobs and streams -------------------------------------------------------------------------------
 
 def _lake(tb: Testbed, name: str) -> Lake:
@@ -570,11 +575,79 @@ def _(tb):
 @register("job_quality_checks")
 def _(tb):
     lake = _lake(tb, "quality")
-    lake.replace("curated/dim_students", stored_target(tb, "students"))
-    for entity in ("courses", "enrollments"):
+    for entity in ("students", "enrollments"):
+        landing.land_envelopes(lake, entity, tb.raw(entity), "first")
+        jobs.process_entity(lake, entity, now=NOW)
+    jobs.check_quality(lake, now=NOW)
+    # The run again, as after a failure: its counts and findings are there once.
+    counts = jobs.check_quality(lake, now=NOW)
+    found = lake.read("audit/dq_issues", DQ_ISSUES_SCHEMA).groupBy("check_name", "run").agg(F.count(F.lit(1)).alias("details"))
+    return counts.join(found, ["check_name", "run"], "left").select(
+        "check_name", "check_timestamp", "issues_found", F.coalesce("details", F.lit(0)).alias("details"))
+
+
+@register("job_relanded_batch")
+def _(tb):
+    """A batch that was processed and lands again, changed: its new rows are loaded."""
+    lake = _lake(tb, "relanded")
+    landing.land_envelopes(lake, "students", tb.raw("students", where=STORED["students"]), "first")
+    jobs.process_entity(lake, "students", now=NOW)
+    landing.land_envelopes(lake, "students", resent_raw(tb, "students"), "first")
+    jobs.process_entity(lake, "students", now=LATER)
+    return jobs.curated(lake, "students").drop("student_key")
+
+
+@register("job_transformations")
+def _(tb):
+    """Every named transformation over a loaded lake, and one that does not exist."""
+    lake = _lake(tb, "transformations")
+    for entity in ENTITIES:
         landing.land_envelopes(lake, entity, tb.raw(entity), "first")
         jobs.process_entity(lake, entity, now=NOW)
-    return jobs.check_quality(lake, now=NOW)
+    names = [*jobs.TRANSFORMATIONS, "no_such_step"]
+    done = [jobs.run_transformation(tb.spark, n, root=lake.root, now=LATER) for n in names]
+    return reduce(DataFrame.unionByName, done).select("name", "status", "records_processed")
+
+
+@register("job_triggered")
+def _(tb):
+    """For each customer segment a run is asked for; the log says so."""
+    lake = _lake(tb, "triggered")
+    for segment in [r[0] for r in tb.students().select("major").distinct().collect()]:
+        jobs.log_trigger(lake, now=NOW, run_type=segment)
+    return lake.read("audit/run_events", RUN_EVENT_SCHEMA).select("run_type", "status", "event_at", "records_processed")
+
+
+@register("job_reset_reload")
+def _(tb):
+    """A lake that holds data is emptied, then loaded from newly landed rows and refreshed."""
+    lake = _lake(tb, "reload")
+    for batch in ("first", "second"):
+        jobs.reset(lake)
+        for entity in ENTITIES:
+            landing.land_envelopes(lake, entity, tb.raw(entity), batch)
+        if batch == "first":
+            jobs.process_entity(lake, "students", now=NOW)
+    jobs.process_all(lake, now=LATER)
+    jobs.refresh_aggregates(lake, now=LATER)
+    return jobs.summary(lake)
+
+
+@register("land_files")
+def _(tb):
+    """JSON and CSV files become enveloped rows; a torn line lands as it is."""
+    lake, path = _lake(tb, "files"), scratch_dir(tb.spark, "files")
+    torn = tb.raw("activity_logs").select(F.expr(TORN).alias("payload"))
+    torn.write.text(f"{path}/json")
+    tb.students().select("student_id", "major", "gpa").write.option("header", True).csv(f"{path}/csv")
+    landing.land(lake, "activity_logs", landing.read_json_lines(tb.spark, f"{path}/json"), "json", now=NOW)
+    landing.land(lake, "students", landing.read_csv(
+        tb.spark, f"{path}/csv", "student_id string, major string, gpa decimal(3,2)"), "csv", now=NOW)
+    for entity in ("students", "activity_logs"):
+        jobs.process_entity(lake, entity, now=NOW)
+    parts = [landing.raw_table(lake, e).select(F.lit(e).alias("entity"), "source_system", "processing_status")
+             for e in ("students", "activity_logs")]
+    return reduce(DataFrame.unionByName, parts).groupBy("entity", "source_system", "processing_status").count()
 
 
 @register("job_cost_alerts")
@@ -603,6 +676,16 @@ def _(tb):
     return jobs.curated(lake, "students").drop("student_key")
 
 
+@register("stream_rejected_rows")
+def _(tb):
+    """Rows of a stream that cannot be read, with the reason."""
+    lake, landed = _lake(tb, "stream"), scratch_dir(tb.spark, "landing")
+    tb.raw("activity_logs").withColumn("payload", F.expr(TORN)).write.json(landed)
+    raw = streams.read_landing(tb.spark, landed)
+    streams.stream_upsert(raw, "activity_logs", lake, checkpoint=f"{lake.root}/checkpoint", now=NOW).awaitTermination()
+    return lake.read("audit/rejected", landing.REJECTED_SCHEMA).select("raw_id", "reason", "entity")
+
+
 @register("stream_activity_dedup")
 def _(tb):
     lake, landed = _lake(tb, "stream"), scratch_dir(tb.spark, "landing")
@@ -634,10 +717,17 @@ def _(tb):
 
 @register("stream_search_refresh")
 def _(tb):
+    """Documents that come again, changed or as they were, replace what the index had of them."""
     lake, landed = _lake(tb, "stream"), scratch_dir(tb.spark, "landing")
     source = search.activity_search_source(tb.activity())
-    source.write.parquet(landed)
-    stream = tb.spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+    text = F.when(F.expr(AGAIN["changed"]), F.concat("search_text", F.lit(" again"))).otherwise(F.col("search_text"))
+    again = source.where(AGAIN["sent"]).withColumn("search_text", F.when(~F.expr(AGAIN["emptied"]), text))
+    source.withColumn("version", F.lit(1)).coalesce(2).write.parquet(landed)
+    # In its own micro-batch the newer of two copies counts.
+    both = again.withColumn("version", F.lit(3)).unionByName(source.where(AGAIN["sent"]).withColumn("version", F.lit(2)))
+    both.coalesce(1).write.mode("append").parquet(landed)
+    schema = source.withColumn("version", F.lit(1)).schema
+    stream = tb.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
     corpus = search.ACTIVITY_CORPUS
-    streams.stream_index(stream, corpus, lake, "activity", checkpoint=f"{lake.root}/checkpoint").awaitTermination()
+    streams.stream_index(stream, corpus, lake, "activity", checkpoint=f"{lake.root}/checkpoint", order=["version"]).awaitTermination()
     return search.search(streams.stored_index(lake, "activity", corpus), _questions(source, "activity_type", "device_type"))

@@ -17,6 +17,7 @@ from lectern.schemas import (
 from lectern.sources import landing
 from lectern.sources.store import Lake
 
+TOP_KEY_SCHEMA = "top bigint, writing boolean, table string"
 PERFORMANCE, ANALYTICS = "agg_student_course_performance", "agg_course_analytics"
 
 
@@ -49,67 +50,100 @@ def merge_table(lake: Lake, spec: Entity, source: DataFrame, *, now: datetime, p
     name = f"curated/{spec.table}"
     target = lake.read(name, table_schema(spec))
     if spec.partition_time is None:
-        merged = upsert.merge_entity(spec, target, source, now=now, profile=profile)
-        lake.replace(name, upsert.assign_keys(merged, spec.surrogate, target))
+        merged = upsert.merge_entity(spec, target, source, now=now, profile=profile, stored_source=True)
+        _number(lake, spec, merged, lambda df: lake.replace(name, df))
         return
     source = source.withColumn("part", month_of(spec.partition_time))
     if not spec.updates:
         empty = target.limit(0)
         added = upsert.insert_new(empty, upsert.not_in(source, target, [spec.key]), keys=[spec.key], now=now)
-        lake.append(name, upsert.assign_keys(_by_month(added), spec.surrogate, target), "part")
+        months = [r.part for r in source.select("part").distinct().collect()]
+        _number(lake, spec, _by_month(added), lambda df: lake.append(name, df, "part"), months)
         return
     matched = target.select(spec.key, "part").join(source.select(spec.key), spec.key, "left_semi").select("part")
     # One entry per month that the batch touches.
     touched = [r.part for r in matched.union(source.select("part")).distinct().collect()]
     held = set(lake.partitions(name, "part"))
     slice_ = lake.read(name, table_schema(spec), [p for p in touched if p in held])
-    merged = upsert.merge_entity(spec, slice_, source, now=now, profile=profile)
-    lake.replace_partitions(name, upsert.assign_keys(_by_month(merged), spec.surrogate, target), "part")
+    merged = upsert.merge_entity(spec, slice_, source, now=now, profile=profile, stored_source=True)
+    _number(lake, spec, _by_month(merged), lambda df: lake.replace_partitions(name, df, "part"), touched)
+
+
+def _top_key(lake: Lake, spec: Entity) -> int | None:
+    state = lake.read("audit/top_keys", TOP_KEY_SCHEMA).where((F.col("table") == spec.table) & ~F.col("writing"))
+    return state.agg(F.max("top")).first()[0]
+
+
+def _number(lake: Lake, spec: Entity, rows: DataFrame, write: Callable[[DataFrame], None], months: list[str] | None = None) -> None:
+    """Give new rows surrogate keys above all that were given before, and write them.
+
+    The greatest key is kept in a table with one row per entity, so a batch reads no stored fact for it. The row is
+    marked while a batch writes; after a crash the mark is still there, and the greatest key is looked up once.
+    """
+    def note(top: int, writing: bool) -> None:
+        lake.replace_partitions("audit/top_keys", lake.spark.createDataFrame([(top, writing, spec.table)], TOP_KEY_SCHEMA), "table")
+
+    def greatest(parts: list[str] | None) -> int:
+        held = lake.read(f"curated/{spec.table}", table_schema(spec), parts)
+        return held.agg(F.coalesce(F.max(spec.surrogate), F.lit(0))).first()[0]
+
+    top = _top_key(lake, spec)
+    top = greatest(None) if top is None else top
+    note(top, True)
+    write(upsert.number_rows(rows, spec.surrogate, top))
+    if months is not None:
+        held = set(lake.partitions(f"curated/{spec.table}", "part"))
+        months = [m for m in months if m in held]
+    note(max(top, greatest(months)), False)
 
 
 def staging_path(lake: Lake, entity: str, batch: str) -> str:
     return f"{lake.root}/staging/{entity}/{batch}"
 
 
-def stage(lake: Lake, entity: str, rows: DataFrame, batch: str) -> DataFrame:
-    """Extracted rows with looked-up keys, the last per key, stored once and read back.
+def parse(lake: Lake, entity: str, rows: DataFrame, path: str) -> DataFrame:
+    """Landed rows with their payload columns and, where they cannot be loaded, the reason; parsed once, stored and read back."""
+    extract.parsed(rows, entity, keep=("batch", *upsert.BATCH_ORDER)).write.mode("overwrite").parquet(path)
+    return lake.spark.read.parquet(path)
+
 
-    Every later step reads the stored rows, so the JSON is parsed once and the optimizer knows their size.
-    """
+def stage(lake: Lake, entity: str, parsed: DataFrame, path: str) -> DataFrame:
+    """The readable rows, the last per key, with looked-up keys; stored, so that the optimizer knows their size."""
     spec = ENTITIES[entity]
-    typed = extract.extract(rows, entity, status=None, keep=upsert.BATCH_ORDER)
+    typed = parsed.where("reason IS NULL").select(*spec.fields, *upsert.BATCH_ORDER)
     last = upsert.latest_per_key(typed, [spec.key])
     dims = {dim: curated(lake, dim) for dim, _ in spec.lookups.values()}
-    path = staging_path(lake, entity, batch)
     upsert.lookup_keys(last, entity, dims).drop(*upsert.BATCH_ORDER).write.mode("overwrite").parquet(path)
     return lake.spark.read.parquet(path)
 
 
+def load_rows(lake: Lake, entity: str, rows: DataFrame, run: str, *, now: datetime, profile: str = "full") -> DataFrame:
+    """Merge landed rows (with their ``batch``) and note what cannot be read; returns row counts per batch.
+
+    Rejected rows have one folder per entity and batch, so loading a batch again leaves them once.
+    """
+    folder = staging_path(lake, entity, run)
+    parsed = parse(lake, entity, rows, f"{folder}/parsed")
+    merge_table(lake, ENTITIES[entity], stage(lake, entity, parsed, f"{folder}/rows"), now=now, profile=profile)
+    name = F.lit(entity).alias("entity")
+    bad = parsed.where("reason IS NOT NULL").select("raw_id", "reason", name, "batch")
+    lake.replace_partitions("audit/rejected", bad, "entity", "batch")
+    return parsed.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("reason").isNotNull()).alias("rejected_count")
+    ).select("row_count", "rejected_count", F.lit(now).cast("timestamp_ntz").alias("processed_at"), name, "batch")
+
+
 def process_entity(lake: Lake, entity: str, *, now: datetime, profile: str = "full") -> int:
     """Load all pending batches of an entity; returns the number of landed rows."""
     batches = landing.pending_batches(lake, entity)
     if not batches:
         return 0
-    raw = landing.read_batches(lake, entity, batches)
     run = uuid.uuid4().hex
-    merge_table(lake, ENTITIES[entity], stage(lake, entity, raw, run), now=now, profile=profile)
-    bad = extract.rejected(raw.withColumn("file_name", F.col("batch")), entity, status=None).select(
-        F.lit(entity).alias("entity"), F.col("file_name").alias("batch"), "raw_id", "reason"
-    )
-    lake.append("audit/rejected", bad)
-    rejected = lake.read("audit/rejected", landing.REJECTED_SCHEMA).where(F.col("entity") == entity)
-    log = raw.groupBy("batch").agg(F.count(F.lit(1)).alias("row_count")).join(
-        rejected.groupBy("batch").agg(F.countDistinct("raw_id").alias("rejected_count")), "batch", "left"
-    ).select(
-        F.lit(entity).alias("entity"), "batch", "row_count", F.coalesce("rejected_count", F.lit(0)).alias("rejected_count"),
-        F.lit(now).cast("timestamp_ntz").alias("processed_at"),
-    )
-    lake.append("audit/batch_log", log)
+    log = load_rows(lake, entity, landing.read_batches(lake, entity, batches), run, now=now, profile=profile)
+    lake.replace_partitions("audit/batch_log", log, "entity", "batch")
+    records = log.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
     lake.remove(staging_path(lake, entity, run))
-    done = lake.read("audit/batch_log", landing.BATCH_LOG_SCHEMA).where(
-        (F.col("entity") == entity) & F.col("batch").isin(batches)
-    )
-    return done.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
+    return records
 
 
 def process_all(lake: Lake, *, now: datetime, profile: str = "full") -> int:
@@ -177,13 +211,18 @@ def count_students_at_risk(lake: Lake, *, now: datetime) -> int:
 
 
 def check_quality(lake: Lake, *, now: datetime) -> DataFrame:
-    """Run the three checks, store their findings and counts, and return the counts of this run."""
+    """Run the three checks, store their findings and counts under the run's id, and return the counts.
+
+    A run is named by its time; running it again replaces what it found. ``run`` leads from a count to its findings.
+    """
+    run = now.strftime("%Y%m%dT%H%M%S%f")
+    stamp, name = F.lit(now).cast("timestamp_ntz"), F.lit(run).alias("run")
     found = quality.dq_issues(curated(lake, "enrollments"), curated(lake, "students"))
-    stamp = F.lit(now).cast("timestamp_ntz")
-    lake.append("audit/dq_issues", found.withColumn("check_timestamp", stamp))
-    stored = lake.read("audit/dq_issues", DQ_ISSUES_SCHEMA).where(F.col("check_timestamp") == stamp)
-    lake.append("audit/dq_log", quality.dq_report(stored, now=now))
-    return lake.read("audit/dq_log", DQ_LOG_SCHEMA).where(F.col("check_timestamp") == stamp)
+    lake.drop_partition("audit/dq_issues", f"run={run}")
+    lake.replace_partitions("audit/dq_issues", found.select("*", stamp.alias("check_timestamp"), name), "run")
+    stored = lake.read("audit/dq_issues", DQ_ISSUES_SCHEMA).where(F.col("run") == run)
+    lake.replace_partitions("audit/dq_log", quality.dq_report(stored, now=now).select("*", name), "run")
+    return lake.read("audit/dq_log", DQ_LOG_SCHEMA).where(F.col("run") == run)
 
 
 def log_cost_alerts(lake: Lake, metering: DataFrame, *, now: datetime) -> DataFrame:
@@ -260,8 +299,9 @@ def _run(spark: SparkSession, name: str, known: dict, root: str, now: datetime,
     log("STARTED")
     try:
         records = known[name](lake, now=now)
+        lake.drop_all_old_versions()
     except Exception as e:
-        log("FAILED", error_message=str(e)[:5000])
+        log("FAILED", error_message=str(e))
         return spark.createDataFrame([(name, "FAILED", 0, f"Error: {e}")], result)
     log("COMPLETED", records_processed=records)
     return spark.createDataFrame([(name, "COMPLETED", records, finished.format(name, records))], result)
@@ -289,8 +329,8 @@ def reset(lake: Lake) -> None:
         tables[f"curated/{spec.table}"] = (table_schema(spec), ("part",) if spec.partition_time else ())
     tables[f"curated/{PERFORMANCE}"] = (PERFORMANCE_SCHEMA, ())
     tables[f"curated/{ANALYTICS}"] = (COURSE_ANALYTICS_SCHEMA, ())
-    tables["audit/batch_log"] = (landing.BATCH_LOG_SCHEMA, ())
-    tables["audit/rejected"] = (landing.REJECTED_SCHEMA, ())
+    tables["audit/batch_log"] = (landing.BATCH_LOG_SCHEMA, ("entity", "batch"))
+    tables["audit/rejected"] = (landing.REJECTED_SCHEMA, ("entity", "batch"))
     for name, (schema, parts) in tables.items():
         if lake.versions(name):
             lake.replace(name, lake.spark.createDataFrame([], schema), *parts)

@@ -6,7 +6,7 @@ in SQL. Rounded ratios use integer arithmetic, so both engines round the same ex
 
 from __future__ import annotations
 
-from lectern.plans.catalog import CHANGES, LATER, RAW_STATUS, RESENT, STORED
+from lectern.plans.catalog import AGAIN, CHANGES, DEFAULT_NAMES, LATER, RAW_STATUS, RESENT, STORED
 from lectern.schemas import ENTITIES
 from lectern.sources import testbed as tbd
 
@@ -61,7 +61,7 @@ def with_ctes(select: str, *names: str) -> str:
         need(n)
     if not ordered:
         return select
-    body = ", ".join(f"{n} AS ({CTES[n][0]})" for n in ordered)
+    body = ", ".join(f"{n} AS MATERIALIZED ({CTES[n][0]})" for n in ordered)
     head = select.lstrip()
     return f"WITH {body}{', ' + head[5:] if head.startswith('WITH ') else ' ' + head}"
 
@@ -133,10 +133,24 @@ def _lookup(entity: str, table: str) -> tuple[str, str]:
     return select, joins
 
 
+# What the two load routes change of a stored row, and what the narrow one leaves open in a new one.
+UPDATED = {
+    ("students", "full"): ["canvas_user_id", "first_name", "last_name", "email", "major", "classification", "enrollment_status", "gpa",
+                           "advisor_id"],
+    ("courses", "full"): ["canvas_course_id", "course_code", "course_name", "department", "credit_hours", "course_level", "delivery_mode",
+                          "term", "academic_year", "instructor_id", "instructor_name", "start_date", "end_date", "max_enrollment"],
+    ("assignments", "full"): ["assignment_name", "points_possible", "due_date", "weight"],
+    ("enrollments", "full"): ["enrollment_state", "completed_at", "final_grade", "final_score"],
+    ("enrollments", "sql"): ["enrollment_state", "final_grade", "final_score"],
+    ("submissions", "full"): ["graded_at", "score", "grade", "percentage", "late_flag", "missing_flag", "excused_flag", "grader_id"],
+    ("submissions", "sql"): ["graded_at", "score", "grade", "percentage"],
+}
+SKIPPED = {("enrollments", "sql"): ["completed_at"]}
+
+
 def _merge(entity: str, profile: str = "full", columns: list[str] | None = None) -> str:
     spec = ENTITIES[entity]
-    updated = spec.update_cols(profile)
-    skipped = spec.narrow_skips if profile == "sql" else ()
+    updated, skipped = UPDATED.get((entity, profile), []), SKIPPED.get((entity, profile), [])
     dims = [d for d, _ in spec.lookups.values()]
     parts = {}
     for side, body in (("tgt", f"SELECT * FROM {entity} WHERE {STORED[entity]}"), ("src", _resent(entity))):
@@ -526,6 +540,16 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT {ts('usage_date')} AS usage_date, warehouse_name, cost_center, department, project, {dbl('credits')} AS total_credits, "
         f"{dbl('credits * 3')} AS estimated_cost_usd, {half_up(cents('credits') + ' * 100', cents('day_credits'), 2)} AS pct_of_daily_spend FROM t",
         "warehouse_metering", "rules")
+    default_rules = ", ".join(f"('DEMO_{n}_WH', 'DATA_PLATFORM', 'IT', 'CANVAS_ETL')" for n in ("INGESTION", "TRANSFORM", "TASK"))
+    sql["cost_default_rules"] = with_ctes(
+        f"WITH named AS (SELECT * REPLACE ({DEFAULT_NAMES} AS warehouse_name) FROM warehouse_metering), "
+        f"r(resource_name, cost_center, department, project) AS (VALUES {default_rules}), "
+        "d AS (SELECT CAST(start_time AS DATE) AS usage_date, warehouse_name, cost_center, department, project, sum(credits_used) AS credits "
+        f"FROM named x LEFT JOIN r ON r.resource_name = x.warehouse_name WHERE start_time >= {_since(30)} GROUP BY ALL), "
+        "t AS (SELECT *, sum(credits) OVER (PARTITION BY usage_date) AS day_credits FROM d) "
+        f"SELECT {ts('usage_date')} AS usage_date, warehouse_name, cost_center, department, project, {dbl('credits')} AS total_credits, "
+        f"{dbl('credits * 3')} AS estimated_cost_usd, {half_up(cents('credits') + ' * 100', cents('day_credits'), 2)} AS pct_of_daily_spend FROM t",
+        "warehouse_metering")
     sql["monthly_trends"] = with_ctes(
         "WITH m AS (SELECT date_trunc('month', start_time) AS usage_month, warehouse_name, sum(credits_used) AS credits FROM warehouse_metering_long "
         f"WHERE start_time >= CAST(DATE '{tbd.ORDERS_AS_OF}' - INTERVAL '12' MONTH AS TIMESTAMP) AND warehouse_name LIKE 'DEMO_%' GROUP BY 1, 2), "
@@ -740,21 +764,45 @@ def oracle_sql() -> dict[str, str]:
     sql["job_merge_submissions"] = _merge("submissions", columns=[
         "submission_id", "student_id", "assignment_id", "submitted_at", "graded_at", "score", "points_possible", "percentage", "late_flag",
         "updated_at"])
-    early = f"(SELECT * FROM students WHERE {STORED['students']})"
-    sql["job_quality_checks"] = with_ctes(
-        f"SELECT 'ORPHANED_ENROLLMENTS' AS check_name, {NOW_SQL} AS check_timestamp, {big('count(*)')} AS issues_found FROM enrollments e "
-        f"WHERE NOT EXISTS (SELECT 1 FROM {early} s WHERE s.student_id = e.student_id) UNION ALL SELECT 'DUPLICATE_STUDENT_IDS', {NOW_SQL}, "
-        f"{big('count(*)')} FROM (SELECT student_id FROM {early} GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'INVALID_GPA_VALUES', {NOW_SQL}, "
-        f"{big('count(*)')} FROM {early} WHERE gpa < 0 OR gpa > 4.0", "enrollments", "students")
+    checks = with_ctes(
+        f"SELECT 'ORPHANED_ENROLLMENTS' AS check_name, {big('count(*)')} AS issues_found FROM enrollments e "
+        "WHERE NOT EXISTS (SELECT 1 FROM students s WHERE s.student_id = e.student_id) UNION ALL SELECT 'DUPLICATE_STUDENT_IDS', "
+        f"{big('count(*)')} FROM (SELECT student_id FROM students GROUP BY 1 HAVING count(*) > 1) UNION ALL SELECT 'INVALID_GPA_VALUES', "
+        f"{big('count(*)')} FROM students WHERE gpa < 0 OR gpa > 4.0", "enrollments", "students")
+    sql["job_quality_checks"] = f"SELECT check_name, {NOW_SQL} AS check_timestamp, issues_found, issues_found AS details FROM ({checks})"
+    counts = ", ".join(f"(SELECT {big('count(*)')} FROM {e}) AS {e}" for e in ENTITIES)
+    sql["job_reset_reload"] = _on_performance(f"SELECT {counts}, (SELECT {big('count(*)')} FROM perf) AS perf_aggregations")
+    taught_now = "(SELECT count(DISTINCT course_id) FROM enrollments WHERE course_id IN (SELECT course_id FROM courses))"
+    steps = {
+        "student_dimension": "(SELECT count(*) FROM students WHERE enrollment_status = 'Active')", "course_dimension": "0",
+        "assignment_dimension": "0", "enrollment_fact": "0", "submission_fact": "0", "activity_fact": "0",
+        "student_performance_agg": "(SELECT count(*) FROM perf)", "course_analytics_agg": taught_now,
+    }
+    sql["job_transformations"] = _on_performance(" UNION ALL ".join(
+        [f"SELECT '{n}' AS name, 'COMPLETED' AS status, {big(v)} AS records_processed" for n, v in steps.items()]
+        + [f"SELECT 'no_such_step', 'UNKNOWN', {big('0')}"]))
+    sql["job_triggered"] = with_ctes(
+        f"SELECT DISTINCT major AS run_type, 'TRIGGERED' AS status, {NOW_SQL} AS event_at, {big('0')} AS records_processed FROM students", "students")
+    sql["land_files"] = with_ctes(
+        f"SELECT 'students' AS entity, 'CANVAS_LMS' AS source_system, 'PROCESSED' AS processing_status, {big('count(*)')} AS count FROM students "
+        f"UNION ALL SELECT 'activity_logs', 'CANVAS_LMS', CASE WHEN {QUIZ_IDS} THEN 'ERROR' ELSE 'PROCESSED' END, {big('count(*)')} "
+        "FROM activity_logs GROUP BY 3", "students", "activity_logs")
     sql["job_cost_alerts"] = with_ctes(f"{DAILY} UNION ALL {HOURLY}", "warehouse_metering")
     two_days = snap.split(" WHERE ")[0] + " WHERE snapshot_date IN (DATE '2024-01-29', DATE '2024-01-30')"
     sql["job_daily_snapshot"] = with_ctes(f"WITH {SNAPSHOTS} {two_days}", *SNAPSHOT_INPUTS)
     sql["stream_upsert_students"] = _merge("students", columns=[c for c, _ in ENTITIES["students"].columns if c != "student_key"])
+    sql["job_relanded_batch"] = sql["stream_upsert_students"]
+    sql["stream_rejected_rows"] = with_ctes(
+        f"SELECT 'feed-' || activity_id AS raw_id, 'MALFORMED_JSON' AS reason, 'activity_logs' AS entity FROM activity_logs WHERE {QUIZ_IDS}",
+        "activity_logs")
     sql["stream_activity_dedup"] = with_ctes(f"SELECT {fields} FROM activity_logs", "activity_logs")
     sql["stream_hourly_spike"] = with_ctes(
         "WITH w AS (SELECT * FROM warehouse_metering WHERE warehouse_name LIKE 'DEMO_%') "
         f"SELECT date_trunc('hour', start_time) AS usage_hour, warehouse_name, {dbl('sum(credits_used) * 3')} AS estimated_cost_usd FROM w GROUP BY 1, 2 "
         "HAVING sum(credits_used) * 3 > 10 AND usage_hour + INTERVAL '1' HOUR <= (SELECT max(start_time) FROM w) - INTERVAL '1' HOUR",
         "warehouse_metering")
-    sql["stream_search_refresh"] = _bm25(activity_docs, activity_asked, "activity_logs")
+    now_text = (f"CASE WHEN {AGAIN['sent']} AND {AGAIN['emptied']} THEN NULL WHEN {AGAIN['sent']} AND {AGAIN['changed']} "
+                f"THEN {TEXTS['activity_logs']} || ' again' ELSE {TEXTS['activity_logs']} END")
+    sql["stream_search_refresh"] = _bm25(
+        f"SELECT activity_id AS doc_id, activity_type AS title, {now_text} AS txt FROM activity_logs", activity_asked, "activity_logs")
     return sql

@@ -154,8 +154,8 @@ RUN_EVENT_SCHEMA = (
     "run_id string, run_type string, status string, event_at timestamp_ntz, records_processed bigint, "
     "error_message string, metadata string"
 )
-DQ_LOG_SCHEMA = "check_name string, check_timestamp timestamp_ntz, issues_found bigint"
-DQ_ISSUES_SCHEMA = "check_name string, record_id string, details string, check_timestamp timestamp_ntz"
+DQ_LOG_SCHEMA = "check_name string, check_timestamp timestamp_ntz, issues_found bigint, run string"
+DQ_ISSUES_SCHEMA = "check_name string, record_id string, details string, check_timestamp timestamp_ntz, run string"
 RULES_SCHEMA = (
     "resource_type string, resource_name string, cost_center string, department string, project string"
 )

@@ -6,6 +6,7 @@ run marks as processed are exactly the rows it read, however many land meanwhile
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from lectern.schemas import ERROR, PENDING, PROCESSED, RAW_SCHEMA
 from lectern.sources.store import Lake
 
 BATCH_SCHEMA = f"{RAW_SCHEMA}, batch string"
-BATCH_LOG_SCHEMA = "entity string, batch string, row_count bigint, rejected_count bigint, processed_at timestamp_ntz"
-REJECTED_SCHEMA = "entity string, batch string, raw_id string, reason string"
+# Both tables have one folder per entity and batch, which processing the batch again overwrites.
+BATCH_LOG_SCHEMA = "row_count bigint, rejected_count bigint, processed_at timestamp_ntz, entity string, batch string"
+REJECTED_SCHEMA = "raw_id string, reason string, entity string, batch string"
+BATCH_NAME = re.compile(r"[\w.-]+")
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -32,20 +35,27 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def land(lake: Lake, entity: str, payloads: DataFrame, batch: str, *, now: datetime) -> None:
-    """Add one batch of payloads to the entity's landing table; landing it again replaces it."""
+    """Add one batch of payloads to the entity's landing table.
+
+    Landing it again replaces it; if it was processed before, it is pending again.
+    """
     name = F.col("file_name") if "file_name" in payloads.columns else None
     land_envelopes(lake, entity, land_raw(payloads, now=now, file_name=name), batch)
 
 
 def land_envelopes(lake: Lake, entity: str, raw: DataFrame, batch: str) -> None:
+    if not BATCH_NAME.fullmatch(batch):
+        raise ValueError(f"a batch name is a folder name of letters, digits, '_', '-' and '.': {batch!r}")
+    # First the log, then the rows: a crash between the two only loads the old rows again.
+    for table in ("audit/batch_log", "audit/rejected"):
+        lake.drop_partition(table, f"entity={entity}", f"batch={batch}")
     lake.replace_partitions(f"raw/{entity}", raw.withColumn("batch", F.lit(batch)), "batch")
 
 
 def pending_batches(lake: Lake, entity: str) -> list[str]:
-    """Batch numbers without an entry in the batch log. Both lists hold one entry per batch."""
-    done = lake.read("audit/batch_log", BATCH_LOG_SCHEMA).where(F.col("entity") == entity).select("batch")
-    known = {r.batch for r in done.collect()}
-    return [b for b in lake.partitions(f"raw/{entity}", "batch") if b not in known]
+    """Batches without a folder in the batch log; no rows are read, the two folder lists are compared."""
+    done = set(lake.partitions("audit/batch_log", "batch", f"entity={entity}"))
+    return [b for b in lake.partitions(f"raw/{entity}", "batch") if b not in done]
 
 
 def read_batches(lake: Lake, entity: str, batches: list[str]) -> DataFrame:

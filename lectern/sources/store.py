@@ -1,7 +1,9 @@
 """Parquet tables under one root, replaced as a whole, by partition, or appended to.
 
 ``<root>/<table>/v=<n>`` holds a version, and the newest one with a ``_SUCCESS`` marker is current.
-A job can so read a table while writing its next version, and a failed write leaves it as it was.
+A job can so read a table while ``replace`` writes its next version, and a failed ``replace`` leaves it
+as it was. ``append`` and ``replace_partitions`` change the current version in place: their files appear
+when the job commits, and what they write belongs to partitions that a rerun overwrites.
 """
 
 from __future__ import annotations
@@ -88,8 +90,20 @@ class Lake:
                 *partition_by
             ).parquet(self.path(table))
 
-    def partitions(self, table: str, column: str) -> list[str]:
-        """Partition values of the current version, from the folder names."""
+    def drop_partition(self, table: str, *folders: str) -> None:
+        """Delete one partition (``column=value`` folders) of the current version, if it is there."""
+        if self.versions(table):
+            self.remove("/".join([self.path(table), *folders]))
+
+    def drop_all_old_versions(self, keep: int = 2) -> None:
+        """Old versions of every table below the root."""
+        for area in self._children(self.root):
+            for name in self._children(f"{self.root}/{area}"):
+                self.drop_old_versions(f"{area}/{name}", keep)
+
+    def partitions(self, table: str, column: str, *inside: str) -> list[str]:
+        """Partition values of the current version, or below its folders ``inside``, from the folder names."""
         if not self.versions(table):
             return []
-        return [c.split("=", 1)[1] for c in self._children(self.path(table)) if c.startswith(f"{column}=")]
+        children = self._children("/".join([self.path(table), *inside]))
+        return [c.split("=", 1)[1] for c in children if c.startswith(f"{column}=")]

@@ -20,13 +20,20 @@ NOW = datetime(2024, 2, 1, 6, 0, 0)
 AS_OF = date(2024, 1, 31)
 ORDERS_AS_OF = date(2001, 8, 1)
 
+
+def padded(number: str, digits: int) -> str:
+    """A number as text of at least that many digits."""
+    text = f"CAST({number} AS STRING)"
+    return f"lpad({text}, CAST(greatest(length({text}), {digits}) AS INT), '0')"
+
+
 STUDENT = {
     "student_key": "c_custkey + 1",
-    "student_id": "concat('U', lpad(CAST(c_custkey AS STRING), 12, '0'))",
+    "student_id": f"concat('U', {padded('c_custkey', 12)})",
     "canvas_user_id": "100000 + c_custkey",
     "first_name": "concat('F', CAST(c_custkey % 97 AS STRING))",
     "last_name": "concat('L', CAST(c_custkey % 89 AS STRING))",
-    "email": "concat('u', lpad(CAST(c_custkey AS STRING), 12, '0'), '@demo-university.edu')",
+    "email": f"concat('u', {padded('c_custkey', 12)}, '@demo-university.edu')",
     "major": "c_mktsegment",
     "classification": "CASE c_custkey % 4 WHEN 0 THEN 'Freshman' WHEN 1 THEN 'Sophomore' WHEN 2 THEN 'Junior' ELSE 'Senior' END",
     "enrollment_status": "CASE WHEN c_custkey % 6 = 4 THEN 'Inactive' WHEN c_custkey % 6 = 5 THEN 'Probation' ELSE 'Active' END",
@@ -38,7 +45,7 @@ STUDENT = {
 }
 COURSE = {
     "course_key": "p_partkey + 1",
-    "course_id": "concat('CRS', lpad(CAST(p_partkey AS STRING), 12, '0'))",
+    "course_id": f"concat('CRS', {padded('p_partkey', 12)})",
     "canvas_course_id": "10000 + p_partkey",
     "course_code": "concat(substr(p_type, 1, 3), '-', CAST(1000 + p_partkey AS STRING))",
     "course_name": "p_name",
@@ -68,7 +75,7 @@ ASSIGNMENT_BASE = {
 }
 ASSIGNMENT = {
     "assignment_key": "assignment_key",
-    "assignment_id": "concat('ASN', lpad(CAST(assignment_key AS STRING), 13, '0'))",
+    "assignment_id": f"concat('ASN', {padded('assignment_key', 13)})",
     "canvas_assignment_id": "99999 + assignment_key",
     "course_id": "course_id",
     "idx": "idx",
@@ -92,9 +99,9 @@ ENROLLMENT_BASE = {
 }
 ENROLLMENT = {
     "s": "o_custkey",
-    "enrollment_id": "concat('ENR', lpad(CAST(o_custkey AS STRING), 12, '0'), '-', lpad(CAST(l_partkey AS STRING), 12, '0'))",
-    "student_id": "concat(CASE WHEN o_custkey % 100 = 99 THEN 'X' ELSE 'U' END, lpad(CAST(o_custkey AS STRING), 12, '0'))",
-    "course_id": "concat('CRS', lpad(CAST(l_partkey AS STRING), 12, '0'))",
+    "enrollment_id": f"concat('ENR', {padded('o_custkey', 12)}, '-', {padded('l_partkey', 12)})",
+    "student_id": f"concat(CASE WHEN o_custkey % 100 = 99 THEN 'X' ELSE 'U' END, {padded('o_custkey', 12)})",
+    "course_id": f"concat('CRS', {padded('l_partkey', 12)})",
     "ln": "ln",
     "enrollment_state": "CASE rf WHEN 'A' THEN 'active' WHEN 'N' THEN 'completed' ELSE 'dropped' END",
     "enrollment_type": "'StudentEnrollment'",
@@ -107,7 +114,7 @@ ENROLLMENT = {
 SUBMISSION_MATCH = "idx < ln"
 _MARK = "(s * 31 + assignment_key * 17) % 101"
 SUBMISSION = {
-    "submission_id": "concat('SUB', lpad(CAST(s AS STRING), 12, '0'), '-', lpad(CAST(assignment_key AS STRING), 13, '0'))",
+    "submission_id": f"concat('SUB', {padded('s', 12)}, '-', {padded('assignment_key', 13)})",
     "student_id": "student_id",
     "assignment_id": "assignment_id",
     "enrolled_at": "enrolled_at",
@@ -126,9 +133,9 @@ SUBMISSION = {
 }
 EVENT_ORDER = "CAST(floor(event_id / 2) AS BIGINT)"
 ACTIVITY = {
-    "activity_id": "concat('ACT', lpad(CAST(event_id AS STRING), 14, '0'))",
-    "student_id": "'U' || lpad(CAST(o_custkey AS STRING), 12, '0')",
-    "course_id": "'CRS' || lpad(CAST(first_part AS STRING), 12, '0')",
+    "activity_id": f"concat('ACT', {padded('event_id', 14)})",
+    "student_id": f"'U' || {padded('o_custkey', 12)}",
+    "course_id": f"'CRS' || {padded('first_part', 12)}",
     "activity_type": "CASE event_type WHEN 'click' THEN 'Assignment' WHEN 'error' THEN 'Quiz' WHEN 'purchase' THEN 'FileDownload' WHEN 'signup' THEN 'Discussion' ELSE 'PageView' END",
     "activity_timestamp": "ts",
     "duration_seconds": "CAST(floor(value) AS BIGINT) + 10",
@@ -159,7 +166,7 @@ METERING: dict[str, tuple[str, str, dict[str, str], str]] = {
         "warehouse_name": "concat('DEMO_', substr(o_orderpriority, 1, 1), '_WH')",
         "credits_used": "CAST(o_totalprice AS DECIMAL(18,2))",
     }, ""),
-    "container_history": ("events", "event_type IN ('view', 'click')", {
+    "container_history": ("events", "", {
         "start_time": "ts",
         "compute_pool_name": "concat('DEMO_POOL_', CAST(event_id % 3 AS STRING))",
         **_POOL_SPLIT,
@@ -213,7 +220,7 @@ RULES = [
 ]
 # Each order is one job run: it starts on the order date, and the order status tells how it ended.
 RUN = {
-    "run_id": "concat('RUN', lpad(CAST(o_orderkey AS STRING), 12, '0'))",
+    "run_id": f"concat('RUN', {padded('o_orderkey', 12)})",
     "run_type": "CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'DEPLOYMENT' WHEN '2' THEN 'FULL_REFRESH' WHEN '3' THEN 'INCREMENTAL' WHEN '4' THEN 'STUDENTS' ELSE 'CONTAINER_ETL' END",
     "started_at": "o_orderdate + INTERVAL '1' MINUTE * CAST(o_orderkey % 1440 AS INT)",
     "final_status": "CASE o_orderstatus WHEN 'F' THEN 'COMPLETED' WHEN 'O' THEN 'FAILED' END",

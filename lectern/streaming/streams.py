@@ -6,6 +6,8 @@ gives the same result when a micro-batch is run again after a failure.
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterable
 from datetime import datetime
 from decimal import Decimal
 
@@ -15,8 +17,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lectern.operators import search, upsert
 from lectern.operators.cost import CREDIT_RATE, HOURLY_LIMIT, NAME_PATTERN
-from lectern.plans.jobs import merge_table, stage
-from lectern.schemas import ENTITIES, RAW_SCHEMA
+from lectern.plans.jobs import load_rows, staging_path
+from lectern.schemas import RAW_SCHEMA
 from lectern.sources.store import Lake
 
 
@@ -29,12 +31,17 @@ def read_landing(spark: SparkSession, path: str, *, fmt: str = "json", files_per
 
 
 def stream_upsert(raw: DataFrame, entity: str, lake: Lake, *, checkpoint: str, now: datetime) -> StreamingQuery:
-    """Merge every micro-batch of landed rows into the curated table, then stop.
+    """Merge every micro-batch of landed rows into the curated table, note what cannot be read, then stop.
 
-    The merge is keyed, so a batch that runs twice leaves the same rows.
+    Inside a micro-batch the last row by ingestion time wins; between micro-batches, the one that arrives later.
+    The merge is keyed and the rejected rows belong to the micro-batch, so a batch that runs twice leaves the same rows.
     """
+    stream = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_table(lake, ENTITIES[entity], stage(lake, entity, batch, f"stream-{batch_id}"), now=now)
+        run = f"{stream}-{batch_id}"
+        load_rows(lake, entity, batch.withColumn("batch", F.lit(run)), run, now=now)
+        lake.remove(staging_path(lake, entity, run))
 
     return raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -81,19 +88,34 @@ def stream_hourly_spike(metering: DataFrame, path: str, *, checkpoint: str, limi
     ).trigger(availableNow=True).start()
 
 
-def stream_index(source: DataFrame, corpus: search.Corpus, lake: Lake, name: str, *, checkpoint: str) -> StreamingQuery:
-    """Add the documents of every micro-batch to a stored index.
+def stream_index(source: DataFrame, corpus: search.Corpus, lake: Lake, name: str, *, checkpoint: str,
+                 order: Iterable[str]) -> StreamingQuery:
+    """Keep a stored index current with the documents of every micro-batch.
 
-    Run it as often as the corpus' target lag asks. Each micro-batch owns one partition.
+    Of copies in one micro-batch the last by ``order`` counts, and a later micro-batch replaces what earlier ones say of its
+    documents. Run it as often as the corpus' target lag asks. Each micro-batch owns one partition.
     """
+    order = list(order)
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        index = search.build_index(batch, corpus)
-        for part, df in (("docs", index.docs), ("postings", index.postings)):
-            lake.replace_partitions(f"{name}/{part}", df.withColumn("batch", F.lit(batch_id).cast("bigint")), "batch")
+        last = upsert.latest_per_key(batch, [corpus.id], order=order)
+        index = search.build_index(last, corpus)
+        seen = last.select(F.col(corpus.id).alias("doc_id"))
+        for part, df in (("seen", seen), ("docs", index.docs), ("postings", index.postings)):
+            folder, number = f"{name}/{part}", F.lit(batch_id).cast("bigint")
+            lake.drop_partition(folder, f"batch={batch_id}")
+            lake.replace_partitions(folder, df.withColumn("batch", number), "batch")
 
     return source.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stored_index(lake: Lake, name: str, corpus: search.Corpus) -> search.Index:
-    docs = lake.spark.read.parquet(lake.path(f"{name}/docs")).drop("batch")
-    return search.Index(docs, lake.spark.read.parquet(lake.path(f"{name}/postings")).drop("batch"), corpus.attributes)
+    """The index with only the newest word on each document; a document whose text became NULL is gone."""
+    read = lambda part: lake.spark.read.parquet(lake.path(f"{name}/{part}"))
+    seen = read("seen")
+    newest = seen.groupBy("doc_id").agg(F.max("batch").alias("newest"), F.min("batch").alias("oldest"))
+    # Only documents that came again have old rows to leave out.
+    again = newest.where("newest > oldest").select("doc_id", "newest")
+    old = seen.join(again, "doc_id").where("batch < newest").select("doc_id", "batch")
+    docs, postings = (read(part).join(old, ["doc_id", "batch"], "left_anti").drop("batch") for part in ("docs", "postings"))
+    return search.Index(docs, postings, corpus.attributes)

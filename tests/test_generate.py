@@ -54,7 +54,8 @@ def test_payloads_round_trip(spark):
     assert sorted(extract.extract(raw, "assignments").collect()) == sorted(rows.select(*ENTITIES["assignments"].fields).collect())
 
 
-def test_optional_caps(spark):
-    d = generate.generate_all(spark, students=20, courses=5, per_enrollment=1)
-    assert generate.generate_submissions(d["enrollments"], d["assignments"], keep=1.0, max_pairs=7).count() == 7
-    assert generate.generate_activity(d["enrollments"], 2, max_enrollments=10).count() == 20
+def test_long_numbers_are_not_cut(spark):
+    rows = generate.generate_students(spark.createDataFrame([(10**14 + 1,), (7,)], "id long")).collect()
+    assert {r.student_id for r in rows} == {"U100000000000001", "U000000000007"}
+    code = generate.course_code(F.lit("BIO"), F.lit(123456))
+    assert spark.range(1).select(code.alias("c")).first().c == "BIO-123456"

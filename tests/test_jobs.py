@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 
 from lectern.plans import jobs
-from lectern.schemas import RUN_EVENT_SCHEMA
+from lectern.schemas import DQ_ISSUES_SCHEMA, DQ_LOG_SCHEMA, RUN_EVENT_SCHEMA
 from lectern.sources import landing
 from lectern.sources.store import Lake
 
@@ -136,13 +136,68 @@ def test_landing_a_batch_again_replaces_it(lake):
     assert lake._children(f"{lake.root}/staging/students") == []
 
 
+def test_a_processed_batch_that_lands_again_is_loaded(lake):
+    land(lake, "students", "b1", {"student_id": "U1"}, "torn")
+    assert jobs.process_entity(lake, "students", now=NOW) == 2
+    land(lake, "students", "b1", {"student_id": "U1"}, {"student_id": "U2"})
+    assert landing.pending_batches(lake, "students") == ["b1"]
+    assert landing.raw_table(lake, "students").where("processing_status = 'PENDING'").count() == 2
+    assert jobs.process_entity(lake, "students", now=LATER) == 2
+    assert jobs.curated(lake, "students").count() == 2
+    assert lake.read("audit/rejected", landing.REJECTED_SCHEMA).count() == 0
+    with pytest.raises(ValueError):
+        land(lake, "students", "a/b", {"student_id": "U1"})
+
+
+def test_a_retried_load_notes_each_row_once(lake, monkeypatch):
+    land(lake, "students", "b1", {"student_id": "U1"}, "torn")
+    real = lake.replace_partitions
+
+    def fails(table, *args):
+        if table == "audit/batch_log":
+            raise RuntimeError("lost")
+        real(table, *args)
+
+    monkeypatch.setattr(lake, "replace_partitions", fails)
+    with pytest.raises(RuntimeError):
+        jobs.process_entity(lake, "students", now=NOW)
+    monkeypatch.setattr(lake, "replace_partitions", real)
+    assert jobs.process_entity(lake, "students", now=NOW) == 2
+    log = lake.read("audit/batch_log", landing.BATCH_LOG_SCHEMA).first()
+    assert (log.row_count, log.rejected_count) == (2, 1)
+    assert lake.read("audit/rejected", landing.REJECTED_SCHEMA).count() == 1
+
+
+def test_keys_grow_after_a_crash(lake, monkeypatch):
+    land(lake, "submissions", "b1", submission(1, 10))
+    jobs.process_entity(lake, "submissions", now=NOW)
+    first = jobs.curated(lake, "submissions").first().submission_key
+    top = lake.read("audit/top_keys", jobs.TOP_KEY_SCHEMA).first()
+    assert (top.top, top.writing) == (first, False)
+    lake.replace_partitions("audit/top_keys", lake.spark.createDataFrame([(0, True, "fact_submissions")], jobs.TOP_KEY_SCHEMA), "table")
+    land(lake, "submissions", "b2", submission(2, 10, "2025-01-01T00:00:00Z"))
+    jobs.process_entity(lake, "submissions", now=NOW)
+    keys = {r.submission_id: r.submission_key for r in jobs.curated(lake, "submissions").collect()}
+    assert keys["S2"] > keys["S1"] == first
+
+
+def test_jobs_drop_old_versions(spark, lake):
+    for n in range(4):
+        land(lake, "students", f"b{n}", {"student_id": f"U{n}"})
+        jobs.run_job(spark, "STUDENTS", root=lake.root, now=NOW)
+    assert len(lake.versions("curated/dim_students")) == 2 and jobs.curated(lake, "students").count() == 4
+
+
 def test_quality_log_grows_by_run(lake):
     land(lake, "enrollments", "b1", {"enrollment_id": "E1", "student_id": "U9"})
     jobs.process_entity(lake, "enrollments", now=NOW)
     for now in (NOW, LATER):
         got = {r.check_name: r.issues_found for r in jobs.check_quality(lake, now=now).collect()}
         assert got == {"ORPHANED_ENROLLMENTS": 1, "DUPLICATE_STUDENT_IDS": 0, "INVALID_GPA_VALUES": 0}
-    assert lake.read("audit/dq_issues", "record_id string").count() == 2
+    jobs.check_quality(lake, now=LATER)
+    issues, log = lake.read("audit/dq_issues", DQ_ISSUES_SCHEMA), lake.read("audit/dq_log", DQ_LOG_SCHEMA)
+    assert issues.count() == 2 and log.count() == 6
+    assert log.join(issues, ["check_name", "run"]).count() == 2
 
 
 def test_trigger_is_noted(lake):

@@ -40,3 +40,20 @@ def test_latest_copy_is_combined_before_the_shuffle(spark, sf_dir):
 def test_scans_read_only_needed_columns(spark, sf_dir):
     plan = plan_of(QUERIES["grade_distribution"](spark, sf_dir))
     assert "l_extendedprice" not in plan and "o_totalprice" not in plan
+
+
+def test_index_is_laid_out_by_one_shuffle(spark, sf_dir):
+    from lectern.operators import search
+
+    tb_rows = QUERIES["student_search_source"](spark, sf_dir)
+    plan = plan_of(search.build_index(tb_rows, search.STUDENT_CORPUS).postings)
+    assert plan.count("Exchange") == plan.count("Exchange rangepartitioning") == 1
+
+
+def test_constraints_read_each_table_once(spark, sf_dir):
+    from lectern.operators import quality
+    from lectern.schemas import ENTITIES
+
+    tables = {n: spark.createDataFrame([], e.schema) for n, e in ENTITIES.items()}
+    plan = plan_of(quality.constraint_report(tables))
+    assert plan.count("Scan") == len(tables) and plan.count("Exchange hashpartitioning") == 1

@@ -77,5 +77,6 @@ def test_stored_index_answers_alike(spark, tmp_path):
     index = search.build_index(docs(spark), CORPUS)
     search.save_index(index, str(tmp_path / "i"))
     stored = search.load_index(spark, str(tmp_path / "i"), CORPUS)
+    assert {r.term: r.df for r in stored.terms.collect()}["fox"] == 3
     rows = lambda i: sorted(search.search(i, ask(spark, "red fox")).collect())
     assert rows(stored) == rows(index)

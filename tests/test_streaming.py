@@ -4,9 +4,10 @@ from decimal import Decimal
 
 import pytest
 
-from lectern.operators import extract, upsert
+from lectern.operators import extract, search, upsert
 from lectern.plans import jobs
 from lectern.schemas import ENTITIES, RAW_SCHEMA
+from lectern.sources import landing
 from lectern.sources.store import Lake
 from lectern.streaming import streams
 
@@ -25,7 +26,7 @@ def folder(tmp_path):
     return tmp_path / "in"
 
 
-def test_stream_equals_batch_and_replays_safely(spark, tmp_path, folder):
+def test_later_arrival_wins_and_replays_are_safe(spark, tmp_path, folder):
     drop_file(folder, "a", {"student_id": "U1", "gpa": 2.0}, {"student_id": "U2", "gpa": 3.0})
     lake = Lake(spark, str(tmp_path / "lake"))
 
@@ -41,6 +42,9 @@ def test_stream_equals_batch_and_replays_safely(spark, tmp_path, folder):
     batch = upsert.latest_per_key(extract.extract(raw, "students", keep=upsert.BATCH_ORDER), ["student_id"])
     assert streamed == {r.student_id: r.gpa for r in batch.collect()} == {"U1": Decimal("2.00"), "U2": Decimal("3.50"), "U3": Decimal("1.00")}
     assert run("c2") == streamed
+    # What arrives later counts, also if it was ingested earlier.
+    drop_file(folder, "c", {"student_id": "U2", "gpa": 1.5}, at="2023-01-01T00:00:00")
+    assert run("c1")["U2"] == Decimal("1.50")
 
 
 def test_insert_once_keeps_late_rows(spark, tmp_path, folder):
@@ -52,3 +56,40 @@ def test_insert_once_keeps_late_rows(spark, tmp_path, folder):
     rows = extract.extract(streams.read_landing(spark, str(folder), files_per_batch=1), "activity_logs")
     streams.stream_insert_once(rows, lake, "act", schema, key="activity_id", checkpoint=str(tmp_path / "c")).awaitTermination()
     assert sorted(r.activity_id for r in lake.read("act", schema).collect()) == ["X1", "X2"]
+
+
+def test_rejected_rows_of_a_stream_are_noted(spark, tmp_path, folder):
+    drop_file(folder, "a", {"student_id": "U1", "gpa": 2.0})
+    torn = {"raw_id": "a-9", "payload": '{"student_id":"U2"', "source_system": "CANVAS_LMS", "file_name": "a",
+            "ingested_at": "2024-01-01T00:00:00", "processing_status": "PENDING"}
+    with open(folder / "a.json", "a") as f:
+        f.write("\n" + json.dumps(torn))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    for checkpoint in ("c1", "c1"):
+        raw = streams.read_landing(spark, str(folder))
+        streams.stream_upsert(raw, "students", lake, checkpoint=str(tmp_path / checkpoint), now=NOW).awaitTermination()
+    assert jobs.curated(lake, "students").count() == 1
+    assert [(r.raw_id, r.reason) for r in lake.read("audit/rejected", landing.REJECTED_SCHEMA).collect()] == [("a-9", "MALFORMED_JSON")]
+    assert lake._children(f"{lake.root}/staging/students") == []
+
+
+def test_index_keeps_the_newest_word_on_a_document(spark, tmp_path):
+    corpus = search.Corpus("id", "title", (), "1 hour")
+    schema, path = "id string, title string, search_text string, version int", str(tmp_path / "in")
+    lake = Lake(spark, str(tmp_path / "lake"))
+
+    def send(*rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        stream = spark.readStream.schema(schema).parquet(path)
+        streams.stream_index(stream, corpus, lake, "docs", checkpoint=str(tmp_path / "c"), order=["version"]).awaitTermination()
+
+    def found(word):
+        asked = spark.createDataFrame([(word, word)], "query_id string, query string")
+        rows = search.search(streams.stored_index(lake, "docs", corpus), asked).collect()
+        assert sorted(r["rank"] for r in rows) == list(range(1, len(rows) + 1))
+        return sorted(r.doc_id for r in rows)
+
+    send(("a", "A", "red fox", 1), ("b", "B", "red bird", 1), ("c", "C", "red sea", 1))
+    send(("a", "A", "green fox", 3), ("a", "A", "blue fox", 2), ("c", "C", None, 2))
+    assert found("red") == ["b"] and found("green") == ["a"] and found("blue") == [] and found("fox") == ["a"]
+    assert streams.stored_index(lake, "docs", corpus).docs.count() == 2

@@ -25,33 +25,23 @@ def merged(t, s, **kw):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_matched_inserted_and_kept_rows(spark, small):
-    got = merged(target(spark, ("a", 1, 1), ("b", 2, 2)), source(spark, ("b", 20, 20), ("c", 30, 30)), small_source=small)
+    got = merged(target(spark, ("a", 1, 1), ("b", 2, 2)), source(spark, ("b", 20, 20), ("c", 30, 30)), stored_source=small)
     assert got == {"a": (1, 1, T0, T0), "b": (20, 2, T0, T1), "c": (30, 30, T1, T1)}
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_null_in_the_source_overwrites(spark, small):
-    assert merged(target(spark, ("a", 1, 1)), source(spark, ("a", None, None)), small_source=small)["a"][:2] == (None, 1)
+    assert merged(target(spark, ("a", 1, 1)), source(spark, ("a", None, None)), stored_source=small)["a"][:2] == (None, 1)
 
 
 @pytest.mark.parametrize("small", [True, False])
 def test_upsert_is_idempotent(spark, small):
     t, s = target(spark, ("a", 1, 1), ("b", 2, 2)), source(spark, ("b", 20, 20), ("c", 30, 30))
-    once = upsert.upsert(t, s, keys=["id"], update_cols=["v"], now=T1, small_source=small)
-    twice = upsert.upsert(once, s, keys=["id"], update_cols=["v"], now=T1, small_source=small)
+    once = upsert.upsert(t, s, keys=["id"], update_cols=["v"], now=T1, stored_source=small)
+    twice = upsert.upsert(once, s, keys=["id"], update_cols=["v"], now=T1, stored_source=small)
     assert sorted(once.collect()) == sorted(twice.collect())
 
 
-def test_size_estimate_decides_the_join(spark):
-    assert upsert.fits_broadcast(spark.range(10))
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert not upsert.fits_broadcast(spark.range(10))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-
-
 def batch(spark, *rows):
     return spark.createDataFrame(list(rows), "id string, v int, ingested_at timestamp_ntz, raw_id string")
 
