@@ -5,7 +5,8 @@ two tokens may stand side by side follows from the order in which the bytes at t
 prefix of a text has one last token, and reading bytes from left to right needs only the starts that some token can still
 reach. A state holds those starts, each with the bytes read since and the tokens not yet certain; a transition reads a
 byte, extends the starts, and emits the tokens on which all starts agree. No start is further back than the longest token, which bounds
-the lookahead. States and transitions are made when first needed and kept; when there are too many the table starts anew.
+the lookahead. States and transitions are made when first needed; a piece adds one state at most, so what is read often is soon
+known throughout and what comes once costs little memory. When there are too many states the table starts anew.
 
 Decoding joins the tokens' bytes; text is given out by an incremental UTF-8 machine that holds back an unfinished character.
 
@@ -83,18 +84,20 @@ class Transducer:
         self.ranks, self.splits = merges.ranks, merges.splits
         self.names = {i: t for t, i in merges.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.child, self.token, self.inner = {}, [None], [True]
-        for name, token in merges.ranks.items():
+        child, token, inner = {}, [None], [True]
+        for name, number in merges.ranks.items():
             if len(name) == 1 or name in merges.splits:
                 node = 0
                 for byte in name:
-                    self.inner[node] = True
-                    to = self.child.setdefault(node << 8 | byte, len(self.token))
-                    if to == len(self.token):
-                        self.token.append(None)
-                        self.inner.append(False)
+                    inner[node] = True
+                    to = child.setdefault(node << 8 | byte, len(token))
+                    if to == len(token):
+                        token.append(None)
+                        inner.append(False)
                     node = to
-                self.token[node] = token
+                token[node] = number
+        #: (node, byte) to the next node, the token that ends there, and whether longer ones go on.
+        self.child = {k: (to, token[to], inner[to]) for k, to in child.items()}
         self.spines: dict[tuple[bytes, int], list[tuple[bytes, float]]] = {}
         self.pairs: dict[int, bool] = {}
         self.pieces = _Kept(self._piece)
@@ -103,7 +106,7 @@ class Transducer:
 
     def _forget(self) -> None:
         start = (-1, ((0, ()),))
-        self.states, self.index, self.moves = [start], {start: 0}, {}
+        self.states, self.index, self.moves = [start], {start: 0}, [{}]
 
     def _spine(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
         """What stood at the left (0) or right (1) edge of ``token`` over time, each with the rank that absorbed it."""
@@ -145,17 +148,24 @@ class Transducer:
 
     def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
         last, live = state
-        starts, here, child, tokens, inner, pairs = [], None, self.child, self.token, self.inner, self.pairs
+        starts, here, child, pairs = [], None, self.child, self.pairs
         for node, pending in live:
-            to = child.get(node << 8 | byte)
-            if to is None:
+            found = child.get(node << 8 | byte)
+            if found is None:
                 continue
-            if here is None and (token := tokens[to]) is not None:
+            to, token, inner = found
+            if here is None and token is not None:
                 before = pending[-1] if pending else last
                 if before < 0 or (pairs[k] if (k := before << 32 | token) in pairs else self._fits(before, token)):
                     here = (*pending, token)
-            if inner[to]:
+            if inner:
                 starts.append((to, pending))
+        if not starts:
+            # Nothing longer can come of what was read.
+            return (here[-1], ((0, ()),)), here
+        if not starts[0][1]:
+            starts.append((0, here))
+            return (last, tuple(starts)), ()
         sure = len(here)
         for _, pending in starts:
             n = 0
@@ -178,19 +188,33 @@ class Transducer:
             return [whole]
         if len(self.states) > STATES:
             self._forget()
-        at, out, moves = 0, [], self.moves
+        at, out, moves, states, state = 0, [], self.moves, self.states, None
         for byte in data:
-            move = moves.get(at << 8 | byte)
+            if state is not None:
+                # Past the one new state of this piece: what comes once need not be kept.
+                state, sure = self._step(state, byte)
+                out += sure
+                continue
+            known = moves[at]
+            move = known.get(byte)
             if move is None:
-                state, sure = self._step(self.states[at], byte)
-                to = self.index.setdefault(state, len(self.states))
-                if to == len(self.states):
-                    self.states.append(state)
-                move = moves[at << 8 | byte] = (to, sure)
-            at, sure = move
-            if sure:
-                out.extend(sure)
-        out.extend(self.states[at][1][-1][1])
+                state, sure = self._step(states[at], byte)
+                out += sure
+                to = self.index.get(state)
+                if to is None:
+                    to = self.index[state] = len(states)
+                    states.append(state)
+                    moves.append({})
+                    known[byte] = (to, sure) if sure else to
+                else:
+                    known[byte] = (to, sure) if sure else to
+                    at, state = to, None
+            elif move.__class__ is int:
+                at = move
+            else:
+                at, sure = move
+                out += sure
+        out += (states[at] if state is None else state)[1][-1][1]
         return out
 
     def encode(self, text: str) -> bytes:
