@@ -1,7 +1,8 @@
 """Connected components by alternating large and small stars over an edge table.
 
-Every round is two joins of the edges with a table of one row per node; no node's neighbours are gathered, a node with very many
-edges only repeats a join key, which adaptive execution splits. Rounds are written to the shared scratch folder.
+Every round is two joins of the edges with a table of one row per node; no node's neighbours are gathered. A node with very many
+edges repeats a join key: the table of nodes is dealt anew before the join, so that both sides come by shuffles of their own and
+adaptive execution can split that key. Rounds are written to the shared scratch folder.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from lectern.llm.runtime import stored
 
 def _smallest(edges: DataFrame) -> DataFrame:
     """u, m: the smallest of ``u`` and its neighbours ``v``."""
-    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).hint("rebalance")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    linked = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    linked = down.join(least.hint("rebalance"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
     return linked.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
