@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import uuid
 
@@ -33,7 +34,33 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or in the warehouse where that is unset."""
+def _scratch_root(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, or in the warehouse where that is unset.
+
+    All scratch folders of a session go when its process ends, or by ``clear_scratch``.
+    """
+    root = _scratch_root(spark)
+    if root not in _CLEARED_AT_EXIT:
+        _CLEARED_AT_EXIT.add(root)
+        atexit.register(_clear_at_exit, spark)
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote to its scratch folder; frames that read it can no longer be used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_CLEARED_AT_EXIT: set[str] = set()
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    # A session that was stopped has no file system to ask any more.
+    if spark.sparkContext._jsc is not None:
+        clear_scratch(spark)
