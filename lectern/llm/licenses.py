@@ -9,7 +9,7 @@ nearest directory above that has one. Directories are made distinct before their
 with very many files is joined once.
 
 Defined results: null text is empty; a null path lies in no directory and inherits nothing; of equal similarities the template name that
-sorts first wins; repeated rows each get their result; an empty table gives no rows; other columns pass through in ``row``.
+sorts first wins; repeated rows each get their result; an empty table gives no rows; of other columns, those in ``keep`` are in ``row``.
 """
 
 from __future__ import annotations
