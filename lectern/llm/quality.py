@@ -3,7 +3,8 @@
 A word is its lower-case letters and its form (case pattern and punctuation). Each of the hashed rows of words and forms has a
 sparse random index vector; the word vector of a row is the sum of the index vectors of the two neighbours on each side, over the
 sample, scaled to length one. A document is described by the mean of its word vectors, the largest and smallest means of
-its stretches of 64 words in each dimension, and four counts of the text. The network has one hidden layer of tanh units; a fifth of
+its stretches of 64 words in each dimension, and five numbers: length, share of distinct words, of words that repeat the one before,
+over the text and in the worst stretch, and the length of the mean. The network has one hidden layer of tanh units; a fifth of
 the sample is kept from the fit to choose the temperature that calibrates its probabilities.
 
 The fit uses at most ``sample`` labelled documents, chosen by a hash of doc_id among all that may be learned from; scoring reads every
@@ -113,7 +114,7 @@ def word_vectors(texts: DataFrame) -> np.ndarray:
 
 
 def describe(text: str | None, vectors: np.ndarray) -> np.ndarray:
-    out = np.zeros(3 * DIMENSIONS + 4, np.float32)
+    out = np.zeros(3 * DIMENSIONS + 5, np.float32)
     words, forms = rows_of(text or "")
     n = len(words)
     if n:
@@ -121,11 +122,12 @@ def describe(text: str | None, vectors: np.ndarray) -> np.ndarray:
         starts = np.arange(0, n, STRETCH)
         sums = np.add.reduceat(own, starts, axis=0)
         means = sums / np.minimum(STRETCH, n - starts)[:, None]
-        again = words[1:] == words[:-1]
+        again = np.r_[0, words[1:] == words[:-1]]
         mean = sums.sum(0) / n
         out[:DIMENSIONS], out[DIMENSIONS : 2 * DIMENSIONS] = mean, means.max(0)
         out[2 * DIMENSIONS : 3 * DIMENSIONS] = means.min(0)
-        out[-4:] = np.log1p(n), len(np.unique(words)) / n, again.mean() if n > 1 else 0, np.sqrt(mean @ mean)
+        repeats = (np.add.reduceat(again, starts) / np.minimum(STRETCH, n - starts)).max()
+        out[-5:] = np.log1p(n), len(np.unique(words)) / n, again.mean(), repeats, np.sqrt(mean @ mean)
     return out
 
 
