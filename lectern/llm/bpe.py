@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.runtime import ship
+from lectern.llm.runtime import hold, ship
 
 #: Distinct pieces and words, and states, that a Python worker keeps.
 KEPT, STATES = 250_000, 400_000
@@ -304,6 +304,7 @@ class Tokenizer:
         self.merges = spark.sparkContext.broadcast(Merges.compile(read_ranks(path)))
 
     def machine(self) -> Transducer:
+        hold("bpe", _MACHINES.clear)
         if self.name not in _MACHINES:
             # States hold no cycles, and walking over them again and again is half of the time.
             gc.disable()

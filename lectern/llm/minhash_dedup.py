@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.components import connected_components
-from lectern.llm.runtime import mix64, ship, stored
+from lectern.llm.runtime import hold, mix64, ship, stored
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 20, 4
 #: Bits of a shingle's hash.
@@ -63,6 +63,10 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _begin() -> None:
+    hold("minhash", _HASHES.clear)
+
+
 def shingle_table(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """hash, text number, tf of each distinct shingle of each text, sorted by hash and then text number."""
     hashes, owners = [], []
@@ -138,6 +142,7 @@ def _bounds(ranges: int) -> np.ndarray:
 def _send(ranges: int):
     def send(rows: pd.DataFrame) -> pd.DataFrame:
         """A chunk's distinct shingles, with the number of its documents that have them, by range of the hash space."""
+        _begin()
         codes, texts = _texts(rows)
         hashes, owner, _ = shingle_table(texts)
         at = _runs(hashes)
@@ -225,6 +230,7 @@ def bands_of(samples: np.ndarray) -> list[int]:
 def _sets(ranges: int, n_docs: int, threshold: float):
     def sets(rows: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
         """Sets and bands of the texts of a chunk that can have a partner."""
+        _begin()
         names = [c.split()[0] for c in SETS.split(", ")]
         if rows.empty or shared.empty:
             return pd.DataFrame([], columns=names)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.runtime import ship, stored
+from lectern.llm.runtime import hold, ship, stored
 
 SAMPLE, FOLDS, HELD_OUT = 10_000, 4, 2
 WORDS, FORMS, DIMENSIONS, ONES, REACH, STRETCH = 1 << 15, 1 << 12, 32, 4, 2, 64
@@ -62,6 +62,10 @@ class _Rows(dict):
 _ROWS = _Rows()
 
 
+def _begin() -> None:
+    hold("quality", _ROWS.clear)
+
+
 def rows_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The word row and the form row of each word; form rows follow the word rows."""
     words = text.split()
@@ -80,6 +84,7 @@ def index_vectors() -> np.ndarray:
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sums of the neighbours' index vectors over the texts of a task."""
+    _begin()
     index = index_vectors()
     sums = np.zeros_like(index)
     for batch in batches:
@@ -218,6 +223,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     shared = spark.sparkContext.broadcast(vectors)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _begin()
         for batch in batches:
             x = [describe(t, shared.value).tolist() for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "x": x})
@@ -239,6 +245,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        _begin()
         for texts in batches:
             yield pd.Series(shared.value.scores(texts.tolist()), dtype=float)
 

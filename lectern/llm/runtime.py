@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
@@ -32,6 +34,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Callable[[], object]] = {}
+
+
+def hold(owner: str, drop: Callable[[], object] | None = None) -> None:
+    """Called where work starts in a Python worker: it keeps the memo tables of one operator at a time.
+
+    Spark hands a worker from job to job; without this it would in time hold the tables of all operators it ever ran.
+    ``drop`` empties the tables of ``owner`` when another one comes.
+    """
+    for other in [x for x in _HELD if x != owner]:
+        _HELD.pop(other)()
+        gc.enable()
+        gc.collect()
+    if drop is not None:
+        _HELD[owner] = drop
+
+
 def mix64(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """The finaliser of splitmix64 over unsigned 64-bit integers; a bijection for each seed."""
     z = x.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & 0xFFFFFFFFFFFFFFFF)
