@@ -16,7 +16,6 @@ the range of a long stay at its end; other columns are ignored.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -73,7 +72,8 @@ class Block:
 
     def __init__(self, ids: np.ndarray, cells: np.ndarray):
         self.ids, self.whole = ids, cells
-        self.top = int(np.abs(cells.astype(object)).max()) if cells.size and cells.dtype == np.int64 else int(np.abs(cells.astype(np.int64)).max(initial=0))
+        # Python integers: the absolute value of the least long is no long.
+        self.top = max(int(cells.max()), -int(cells.min())) if cells.size else 0
         self.cells = cells.astype(np.float64)
         self.groups = [slice(i, i + DIMENSIONS) for i in range(0, len(cells), DIMENSIONS)]
         self.mass = [np.einsum("dn,dn->n", self.cells[g], self.cells[g]) for g in self.groups]
@@ -114,7 +114,8 @@ def _search(k: int):
         dims = [row.dims for row in candidates.itertuples()]
         out = []
         for row in queries.itertuples():
-            for query_id, query in zip(*(lambda ids, cells: (ids.tolist(), cells.T))(*_unpack(row)), strict=True):
+            ids, cells = _unpack(row)
+            for query_id, query in zip(ids.tolist(), cells.T, strict=True):
                 best = np.array([], np.int64), np.array([], np.int64)
                 for block, d in zip(blocks, dims, strict=True):
                     if d == row.dims:
