@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from lectern.llm.runtime import hold, ship
 
 #: Distinct pieces and words, and states, that a Python worker keeps.
-KEPT, STATES = 250_000, 400_000
+KEPT, STATES = 180_000, 300_000
 #: Bytes of text, or of ids, that a task works on at a time.
 SLICE = 2_000_000
 NEVER = 1 << 62
