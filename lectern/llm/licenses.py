@@ -1,15 +1,20 @@
-"""Licence scans: sparse TF-IDF cosine of notices to templates, and inheritance from the nearest ancestor directory.
+"""Licence scans: sparse TF-IDF cosine of texts to templates, and inheritance from the nearest ancestor directory.
 
 Every line of every file, and of a licence file (LICENSE..., COPYING...) also its whole text, is a sparse vector of its words and is
-compared with every template. A word of the templates weighs ``ln(1 + N / df)``, df over all files; any other word weighs as if one
-file had it, so the table of weights is as large as the templates. A file's own licence is its best line from ``threshold`` up.
+compared with every template. A word weighs ``ln(1 + N / df)``, df over all files. A file's own licence is its best line from
+``threshold`` up.
+
+The table of df is never held in one place: tasks get the weights of the templates' words. With these, and the least and largest weight
+that another word can have, a first pass settles most files; of the others it lists the words that matter, whose df is joined, and a
+second pass over these files alone is exact.
 
 A directory has the licence of its licence files. A file without one of its own takes that of its directory, else of the
 nearest directory above that has one. Directories are made distinct before their ancestors are listed and joined, so a directory
 with very many files is joined once.
 
 Defined results: null text is empty; a null path lies in no directory and inherits nothing; of equal similarities the template name that
-sorts first wins; repeated rows each get their result; an empty table gives no rows; of other columns, those in ``keep`` are in ``row``.
+sorts first wins; similarities are rounded to 12 digits; repeated rows each get their result; an empty table gives no rows; of other
+columns, those in ``keep`` are in ``row``.
 """
 
 from __future__ import annotations
@@ -23,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.runtime import ship, stored
+from lectern.llm.runtime import hold, ship, stored
 
 THRESHOLD = 0.8
 
@@ -40,7 +45,10 @@ TEMPLATES = [
 ]
 
 WORD = re.compile(r"[^\W_]+")
-SCANNED = "own string, similarity double"
+SCANNED = "own string, similarity double, open array<string>"
+#: Distinct words that a task counts before it passes them on.
+COUNTED = 200_000
+EPS = 1e-6
 
 
 def words(text: str) -> list[str]:
@@ -51,34 +59,72 @@ class Matcher:
     """Templates as sparse unit vectors over their words."""
 
     def __init__(self, templates: Sequence[tuple[str, str]], df: dict[str, int], n_files: int, threshold: float):
-        self.threshold = threshold
-        self.weight = {w: math.log(1 + n_files / max(1, df.get(w, 0))) for _, t in templates for w in words(t)}
-        self.rare = math.log(1 + n_files) if n_files else 0.0
-        self.templates = []
-        for name, text in templates:
-            vector = {w: n * self.weight[w] for w, n in Counter(words(text)).items()}
+        self.threshold, self.n_files = threshold, n_files
+        parts = [(name, words(text)) for name, text in templates]
+        self.weight = {w: self.weigh(df.get(w, 0)) for _, t in parts for w in t}
+        # No word is in more files than all or in fewer than one.
+        self.least, self.most = self.weigh(n_files), self.weigh(1)
+        self.templates, self.shares = [], {}
+        for name, text in parts:
+            vector = {w: n * self.weight[w] for w, n in Counter(text).items()}
             norm = math.sqrt(sum(x * x for x in vector.values()))
             if norm:
-                self.templates.append((name, {w: x / norm for w, x in vector.items()}))
-
-    def best(self, text: str) -> tuple[str, float] | None:
-        found = words(text)
-        inside = [w for w in found if w in self.weight]
-        if not inside:
-            return None
-        mass = sum((n * self.weight[w]) ** 2 for w, n in Counter(inside).items())
-        # No cosine exceeds the share of the norm that lies in words of the templates; without repeats the rest is simply this.
-        if mass < self.threshold**2 * (mass + self.rare**2 * len(set(found).difference(inside))):
-            return None
-        norm = math.sqrt(mass + sum((n * self.rare) ** 2 for w, n in Counter(found).items() if w not in self.weight))
-        counts = Counter(inside)
-        scored = [(sum(n * self.weight[w] * vector[w] for w, n in counts.items() if w in vector) / norm, name) for name, vector in self.templates]
-        top = max(s for s, _ in scored)
-        return (min(name for s, name in scored if s == top), top) if top >= self.threshold else None
-
-    def scan(self, text: str, whole: bool) -> tuple[str | None, float | None]:
-        found = [b for part in [*text.split("\n"), *([text] if whole else [])] if (b := self.best(part))]
-        return min(found, key=lambda b: (-b[1], b[0])) if found else (None, None)
+                for w in vector:
+                    vector[w] /= norm
+                    self.shares.setdefault(w, []).append((len(self.templates), vector[w] ** 2))
+                self.templates.append((name, vector))
+
+    def weigh(self, df: int) -> float:
+        return math.log(1 + self.n_files / max(1, df)) if self.n_files else 0.0
+
+    def able(self, found: set[str]) -> list[int]:
+        """The templates that some text of these words could match: no cosine exceeds the norm of what they share."""
+        mass: dict[int, float] = {}
+        for w in found & self.shares.keys():
+            for t, x in self.shares[w]:
+                mass[t] = mass.get(t, 0.0) + x
+        return [t for t, x in mass.items() if x >= self.threshold**2 - EPS]
+
+    def _bag(self, found: list[str], t: int, weight: dict[str, float]) -> tuple[float, float]:
+        """The largest and the least cosine that ``found`` can have; the same where all weights are known."""
+        vector, dot, mass, other = self.templates[t][1], [], [], 0
+        for w, n in Counter(found).items():
+            if (x := weight.get(w)) is None:
+                other += n * n
+                continue
+            mass.append((n * x) ** 2)
+            if w in vector:
+                dot.append(n * x * vector[w])
+        top, known = math.fsum(dot), math.fsum(mass)
+        if not top:
+            return 0.0, 0.0
+        return top / math.sqrt(known + self.least**2 * other), top / math.sqrt(known + self.most**2 * other)
+
+    def scan(self, text: str, whole: bool, more: dict[str, float] | None = None) -> tuple[str | None, float | None, list[str] | None]:
+        """The licence and its similarity; or the words without a known weight on which they depend. ``more`` has such weights."""
+        able = self.able(set(words(text)))
+        if not able:
+            return None, None, None
+        weight = self.weight if more is None else more | self.weight
+        lines = [x for line in text.split("\n") if (x := words(line))]
+        found = [w for line in lines for w in line]
+        units = []  # largest and least cosine, template, words
+        for line in {tuple(x): x for x in lines}.values():
+            units += [(*self._bag(line, t, weight), t, line) for t in self.able(set(line))]
+        if whole:
+            units += [(*self._bag(found, t, weight), t, found) for t in able]
+        open_, hits = set(), []
+        floor = max([self.threshold, *(u[1] for u in units)]) - EPS
+        for high, _, t, part in units:
+            if high < floor:
+                continue
+            lacking = {w for w in part if w not in weight}
+            open_ |= lacking
+            if not lacking and (score := round(self._bag(part, t, weight)[0], 12)) >= self.threshold:
+                hits.append((-score, self.templates[t][0]))
+        if open_:
+            return None, None, sorted(open_)
+        return (min(hits)[1], -min(hits)[0], None) if hits else (None, None, None)
 
 
 def is_licence_file(path: Column) -> Column:
@@ -90,29 +136,61 @@ def directory(path: Column) -> Column:
     return F.regexp_extract(path, "^(.*)/[^/]*$", 1)
 
 
-def file_frequency(files: DataFrame, vocabulary: Sequence[str], text: str = "text") -> tuple[dict[str, int], int]:
-    """How many files have each word of the templates, and how many files there are."""
-    known = F.array(*map(F.lit, sorted(vocabulary)))
-    has = F.array_intersect(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), known)
-    rows = files.select(F.explode(F.array_append(has, "")).alias("word")).groupBy("word").count().collect()
-    counts = {r["word"]: r["count"] for r in rows}  # a row for each word of the templates, and one for all files
-    return counts, counts.pop("", 0)
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many files of a task have each word; the empty word stands for all files."""
+    hold("licences")
+    counts: Counter[str] = Counter()
+    for batch in batches:
+        for text in batch["text"]:
+            counts.update({"", *words(text or "")})
+            if len(counts) >= COUNTED:
+                yield pd.DataFrame(counts.items(), columns=["word", "df"])
+                counts.clear()
+    yield pd.DataFrame(counts.items(), columns=["word", "df"]).astype({"word": str, "df": "int64"})
+
+
+def file_frequency(files: DataFrame) -> DataFrame:
+    """word, df: how many files have each word; the empty word has the number of files."""
+    ship(files.sparkSession)
+    return files.select("text").mapInPandas(_count, "word string, df long").groupBy("word").agg(F.sum("df").alias("df"))
 
 
 def own_licences(files: DataFrame, *, templates=TEMPLATES, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``row`` (the columns ``keep``), path, own licence or null, and its similarity: for files of (path, text)."""
     spark = ship(files.sparkSession)
-    df, n_files = file_frequency(files, {w for _, t in templates for w in words(t)})
-    matcher = spark.sparkContext.broadcast(Matcher(templates, df, n_files, threshold))
+    frequency = stored(file_frequency(files), "licence-words")
+    known = sorted({"", *(w for _, t in templates for w in words(t))})
+    df = {r["word"]: r["df"] for r in frequency.where(F.col("word").isin(known)).collect()}  # words of the templates only
+    matcher = spark.sparkContext.broadcast(Matcher(templates, df, df.pop("", 0), threshold))
 
     @F.pandas_udf(SCANNED)
     def scan(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, whole in batches:
             found = [matcher.value.scan(t or "", bool(w)) for t, w in zip(texts, whole, strict=True)]
-            yield pd.DataFrame(found, columns=["own", "similarity"])
-
-    rows = files.select(F.struct(*keep).alias("row"), "path", scan(F.col("text"), is_licence_file(F.col("path"))).alias("found"))
-    return rows.select("row", "path", "found.own", "found.similarity")
+            yield pd.DataFrame(found, columns=["own", "similarity", "open"])
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for row in batch.itertuples():
+                weights = {x["word"]: matcher.value.weigh(x["df"]) for x in row.dfs}
+                out.append((row.id, *matcher.value.scan(row.text, bool(row.whole), weights)[:2]))
+            yield pd.DataFrame(out, columns=["id", "own", "similarity"])
+
+    rows = files.select(
+        F.struct(*keep).alias("row"), "path", "text", is_licence_file(F.col("path")).alias("whole"),
+        scan(F.col("text"), is_licence_file(F.col("path"))).alias("found"))
+    first = stored(rows.select(
+        F.monotonically_increasing_id().alias("id"), "row", "path", "whole", "found.*",
+        F.when(F.col("found.open").isNotNull(), F.col("text")).alias("text")), "licence-first")
+    left = first.where("open is not null")
+    if left.isEmpty():
+        return first.select("row", "path", "own", "similarity")
+    lacking = left.select("id", F.explode("open").alias("word")).join(frequency, "word")
+    dfs = lacking.groupBy("id").agg(F.collect_list(F.struct("word", "df")).alias("dfs"))
+    last = left.select("id", "text", "whole").join(dfs, "id").mapInPandas(settle, "id long, own string, similarity double")
+    both = first.join(last.select("id", F.struct("own", "similarity").alias("last")), "id", "left")
+    return both.select("row", "path", F.coalesce("own", "last.own").alias("own"), F.coalesce("similarity", "last.similarity").alias("similarity"))
 
 
 def inherit(scanned: DataFrame) -> DataFrame:

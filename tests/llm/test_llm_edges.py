@@ -388,6 +388,15 @@ def test_licence_inheritance(spark):
     assert licenses.scan_licences(files.limit(0)).collect() == []
 
 
+def test_licence_words_weigh_by_the_whole_corpus(spark):
+    notice = licenses.TEMPLATES[0][1]
+    rows = [f"lo mi so {i}\n{notice if i % 10 == 0 else ''}" for i in range(600)] + [f"lo mi {notice}"]
+    files = spark.createDataFrame([(i, f"{i}.txt", t) for i, t in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["row"]["doc_id"]: r for r in licenses.own_licences(files).collect()}
+    assert got[600]["own"] == "Apache-2.0" and got[600]["similarity"] > 0.95
+    assert all((r["own"] is not None) == (i % 10 == 0) for i, r in got.items())
+
+
 # pipeline
 
 
