@@ -1,8 +1,10 @@
 """Licence scans: sparse TF-IDF cosine of texts to templates, and inheritance from the nearest ancestor directory.
 
-Every line of every file, and of a licence file (LICENSE..., COPYING...) also its whole text, is a sparse vector of its words and is
-compared with every template. A word weighs ``ln(1 + N / df)``, df over all files. A file's own licence is its best line from
-``threshold`` up.
+Compared with every template, as sparse vectors of their words, are: each line of each file; each run of as many words as the template
+has, over the ends of lines and without comment markers (all of a shorter file; not for titles, which are lines); and the whole text of a
+licence file (LICENSE..., COPYING...). Templates are notices, titles and full texts. A word weighs ``ln(1 + N / df)``, df over all
+files. An SPDX line names its licences itself, with similarity 1. A file's own licence is its best match from ``threshold`` up; a match
+of a full text goes before notices and titles, and a mere reservation of rights gives way to any licence.
 
 The table of df is never held in one place: tasks get the weights of the templates' words. With these, and the least and largest weight
 that another word can have, a first pass settles most files; of the others it lists the words that matter, whose df is joined, and a
@@ -23,6 +25,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -44,7 +47,35 @@ TEMPLATES = [
     ("Proprietary", "All rights reserved."),
 ]
 
+#: More notices, titles (compared with lines only) and full texts, which lie beside this file under their names.
+NOTICES = [
+    ("Apache-2.0", "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+     "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT", "Licensed under the MIT License."),
+]
+TITLES = [
+    ("Apache-2.0", "Apache License, Version 2.0"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+    ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
+    ("GPL-2.0", "GNU General Public License, Version 2"),
+    ("GPL-3.0", "GNU General Public License, Version 3"),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+]
+TEXTS = Path(__file__).with_name("licence_texts")
+#: The name of what gives way to any licence.
+RESERVED = "Proprietary"
+
 WORD = re.compile(r"[^\W_]+")
+MARKER = re.compile(r"^\W*(?:rem|dnl)\b", re.I)
+SPDX = re.compile(r"SPDX-License-Identifier:([^\n]*)", re.I)
 SCANNED = "own string, similarity double, open array<string>"
 #: Distinct words that a task counts before it passes them on.
 COUNTED = 200_000
@@ -55,24 +86,31 @@ def words(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def full_texts() -> list[tuple[str, str]]:
+    return [(p.stem, p.read_text()) for p in sorted(TEXTS.glob("*.txt"))]
+
+
 class Matcher:
-    """Templates as sparse unit vectors over their words."""
+    """Templates as sparse unit vectors over their words; titles are not compared with runs of words."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], df: dict[str, int], n_files: int, threshold: float):
+    def __init__(self, notices: Sequence[tuple[str, str]], titles: Sequence[tuple[str, str]], texts: Sequence[tuple[str, str]],
+                 df: dict[str, int], n_files: int, threshold: float):
         self.threshold, self.n_files = threshold, n_files
-        parts = [(name, words(text)) for name, text in templates]
-        self.weight = {w: self.weigh(df.get(w, 0)) for _, t in parts for w in t}
+        kinds = ((texts, True, 0), (notices, True, 1), (titles, False, 1))
+        parts = [(name, words(text), run, 2 if name == RESERVED else rank) for some, run, rank in kinds for name, text in some]
+        self.weight = {w: self.weigh(df.get(w, 0)) for _, t, _, _ in parts for w in t}
         # No word is in more files than all or in fewer than one.
         self.least, self.most = self.weigh(n_files), self.weigh(1)
+        self.names = {name for name, *_ in parts}
         self.templates, self.shares = [], {}
-        for name, text in parts:
+        for name, text, run, rank in parts:
             vector = {w: n * self.weight[w] for w, n in Counter(text).items()}
             norm = math.sqrt(sum(x * x for x in vector.values()))
             if norm:
                 for w in vector:
                     vector[w] /= norm
                     self.shares.setdefault(w, []).append((len(self.templates), vector[w] ** 2))
-                self.templates.append((name, vector))
+                self.templates.append((name, vector, len(text) if run else 0, rank))
 
     def weigh(self, df: int) -> float:
         return math.log(1 + self.n_files / max(1, df)) if self.n_files else 0.0
@@ -100,31 +138,69 @@ class Matcher:
             return 0.0, 0.0
         return top / math.sqrt(known + self.least**2 * other), top / math.sqrt(known + self.most**2 * other)
 
+    def _runs(self, found: list[str], t: int, weight: dict[str, float]) -> Iterator[tuple[float, float, int, int]]:
+        """Bounds, to within EPS, of the runs of the template's length that can match, with their ends."""
+        _, vector, n, _ = self.templates[t]
+        n = min(n, len(found))
+        counts: dict[str, int] = {}
+        dot = mass = 0.0
+        other = 0
+        for i, w in enumerate(found):
+            c = counts[w] = counts.get(w, 0) + 1
+            if (x := weight.get(w)) is None:
+                other += 2 * c - 1
+            else:
+                mass += x * x * (2 * c - 1)
+                dot += x * vector.get(w, 0.0)
+            if i >= n:
+                w = found[i - n]
+                c = counts[w] = counts[w] - 1
+                if (x := weight.get(w)) is None:
+                    other -= 2 * c + 1
+                else:
+                    mass -= x * x * (2 * c + 1)
+                    dot -= x * vector.get(w, 0.0)
+            if i >= n - 1 and dot > EPS:
+                high = dot / math.sqrt(mass + self.least**2 * other)
+                if high >= self.threshold - EPS:
+                    yield high, dot / math.sqrt(mass + self.most**2 * other), i + 1 - n, i + 1
+
     def scan(self, text: str, whole: bool, more: dict[str, float] | None = None) -> tuple[str | None, float | None, list[str] | None]:
         """The licence and its similarity; or the words without a known weight on which they depend. ``more`` has such weights."""
+        named = [(1.0, n) for rest in SPDX.findall(text) for x in re.findall(r"[\w.+-]+", rest) if (n := re.sub(r"(-only|-or-later|\+)$", "", x)) in self.names]
+        if named:
+            return min(n for _, n in named), 1.0, None
         able = self.able(set(words(text)))
         if not able:
             return None, None, None
         weight = self.weight if more is None else more | self.weight
-        lines = [x for line in text.split("\n") if (x := words(line))]
+        lines = [x for line in text.split("\n") if (x := words(MARKER.sub("", line)))]
         found = [w for line in lines for w in line]
         units = []  # largest and least cosine, template, words
         for line in {tuple(x): x for x in lines}.values():
             units += [(*self._bag(line, t, weight), t, line) for t in self.able(set(line))]
         if whole:
             units += [(*self._bag(found, t, weight), t, found) for t in able]
+        runs = [(high, low, t, a, b) for t in able if self.templates[t][2] for high, low, a, b in self._runs(found, t, weight)]
         open_, hits = set(), []
-        floor = max([self.threshold, *(u[1] for u in units)]) - EPS
-        for high, _, t, part in units:
-            if high < floor:
-                continue
-            lacking = {w for w in part if w not in weight}
-            open_ |= lacking
-            if not lacking and (score := round(self._bag(part, t, weight)[0], 12)) >= self.threshold:
-                hits.append((-score, self.templates[t][0]))
+        for rank in range(3):
+            mine = [u for u in [*units, *runs] if self.templates[u[2]][3] == rank and u[0] >= self.threshold - EPS]
+            floor = max([self.threshold, *(u[1] for u in mine)]) - EPS
+            for u in mine:
+                if u[0] < floor:
+                    continue
+                part = u[3] if len(u) == 4 else found[u[3] : u[4]]
+                lacking = {w for w in part if w not in weight}
+                open_ |= lacking
+                if not lacking:
+                    score = round(self._bag(part, u[2], weight)[0], 12)
+                    if score >= self.threshold:
+                        hits.append((rank, -score, self.templates[u[2]][0]))
+            if hits and not open_:
+                break
         if open_:
             return None, None, sorted(open_)
-        return (min(hits)[1], -min(hits)[0], None) if hits else (None, None, None)
+        return (min(hits)[2], -min(hits)[1], None) if hits else (None, None, None)
 
 
 def is_licence_file(path: Column) -> Column:
@@ -155,13 +231,14 @@ def file_frequency(files: DataFrame) -> DataFrame:
     return files.select("text").mapInPandas(_count, "word string, df long").groupBy("word").agg(F.sum("df").alias("df"))
 
 
-def own_licences(files: DataFrame, *, templates=TEMPLATES, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def own_licences(files: DataFrame, *, templates=None, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``row`` (the columns ``keep``), path, own licence or null, and its similarity: for files of (path, text)."""
     spark = ship(files.sparkSession)
+    kinds = (TEMPLATES + NOTICES, TITLES, full_texts()) if templates is None else (templates, [], [])
     frequency = stored(file_frequency(files), "licence-words")
-    known = sorted({"", *(w for _, t in templates for w in words(t))})
+    known = sorted({"", *(w for some in kinds for _, t in some for w in words(t))})
     df = {r["word"]: r["df"] for r in frequency.where(F.col("word").isin(known)).collect()}  # words of the templates only
-    matcher = spark.sparkContext.broadcast(Matcher(templates, df, df.pop("", 0), threshold))
+    matcher = spark.sparkContext.broadcast(Matcher(*kinds, df, df.pop("", 0), threshold))
 
     @F.pandas_udf(SCANNED)
     def scan(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -216,5 +293,5 @@ def inherit(scanned: DataFrame) -> DataFrame:
     )
 
 
-def scan_licences(files: DataFrame, *, templates=TEMPLATES, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def scan_licences(files: DataFrame, *, templates=None, threshold: float = THRESHOLD, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     return inherit(stored(own_licences(files, templates=templates, threshold=threshold, keep=keep), "licences"))

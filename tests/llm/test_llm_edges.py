@@ -1,6 +1,8 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, operator by operator."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -397,6 +399,66 @@ def test_licence_words_weigh_by_the_whole_corpus(spark):
     assert all((r["own"] is not None) == (i % 10 == 0) for i, r in got.items())
 
 
+def plain_licences(texts, threshold=licenses.THRESHOLD):
+    """The best cosine of each file: every line, run of a template's length and, of all files, whole text, with weights from all words."""
+    df = Counter(w for t in texts for w in set(licenses.words(t)))
+    weigh = lambda bag: {w: n * math.log(1 + len(texts) / max(1, df[w])) for w, n in bag.items()}
+    kinds = [(licenses.full_texts(), 0, True), (licenses.TEMPLATES + licenses.NOTICES, 1, True), (licenses.TITLES, 1, False)]
+    out = []
+    for text in texts:
+        lines = [x for line in text.split("\n") if (x := licenses.words(licenses.MARKER.sub("", line)))]
+        found, hits = [w for x in lines for w in x], []
+        for templates, rank, runs in kinds:
+            for name, template in templates:
+                own = licenses.words(template)
+                n = min(len(own), len(found))
+                b = weigh(Counter(own))
+                for part in [*lines, *([found[i : i + n] for i in range(len(found) - n + 1)] if runs else []), found]:
+                    a = weigh(Counter(part))
+                    dot = sum(x * b.get(w, 0) for w, x in a.items())
+                    if dot and (c := dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))) >= threshold:
+                        hits.append((2 if name == licenses.RESERVED else rank, -round(c, 9), name))
+        out.append((min(hits)[2], -min(hits)[1]) if hits else (None, None))
+    return out
+
+
+def test_licences_weigh_all_words_of_the_corpus(spark):
+    rng = random.Random(4)
+    common, notices = ["lo", "mi", "so", "the", "of", "and"], [t for _, t in licenses.TEMPLATES]
+    texts = [" ".join(rng.choices(common, k=12)) + f" rare{i}" for i in range(150)]
+    texts += [f"lo mi {notices[0]}", f"rare1 x7 {notices[0]}", "lo mi so lo mi Licensed under Apache License, Version 2.0.", f"lo {notices[4]} mi"]
+    for notice in notices:
+        w = notice.split()
+        for k in (1, 2, 3):
+            extra = rng.choices([*common, "rare2", f"new{k}"], k=k)
+            at = rng.randrange(len(w))
+            texts.append("\n".join([" ".join(extra), " ".join(w[:at] + extra + w[at + (k > 1) :])]))
+    files = spark.createDataFrame([(i, f"LICENSE-{i}", t) for i, t in enumerate(texts)], "doc_id long, path string, text string").repartition(3)
+    got = {r["row"]["doc_id"]: r for r in licenses.own_licences(files).collect()}
+    want = plain_licences(texts)
+    assert [got[i]["own"] for i in range(len(texts))] == [w[0] for w in want]
+    for i, (_, similarity) in enumerate(want):
+        assert similarity is None or got[i]["similarity"] == pytest.approx(similarity, abs=1e-8)
+    assert want[150][1] > 0.95 and sum(w[0] is not None for w in want) < len(texts) - 150
+
+
+def test_licences_in_wrapped_headers_long_lines_and_full_texts(spark):
+    fulls = dict(licenses.full_texts())
+    texts = {
+        "a.py": ("# Licensed under the Apache License,\n# Version 2.0.\nimport x", "Apache-2.0"),
+        "b.bat": ("rem This work is licensed under the GNU General\nrem Public License, version 3.\necho on", "GPL-3.0"),
+        "c.c": ("/* Some file. Released under the MIT License. See the notes of the project for all the rest of this. */", "MIT"),
+        "d.rs": ("// SPDX-License-Identifier: GPL-3.0-or-later", "GPL-3.0"), "e.rs": ("// SPDX-License-Identifier: ISC", None),
+        "LICENSE-f": ("MIT License", "MIT"), "g.txt": ("code\n" + fulls["MIT"] + "\nmore code of mine", "MIT"),
+        "h.c": ("Copyright (c) 2020 Some One. All rights reserved.\n" + fulls["BSD-3-Clause"], "BSD-3-Clause"),
+        **{f"{n}/LICENSE": (f"Copyright (c) 2020 Some One. All rights reserved.\n\n{t}", n) for n, t in fulls.items()},
+        **{f"p{i}.txt": (f"prose of the house and of the sea {i}", None) for i in range(40)},
+    }
+    files = spark.createDataFrame([(p, t) for p, (t, _) in texts.items()], "path string, text string")
+    got = {r["path"]: r["own"] for r in licenses.own_licences(files, keep=("path",)).collect()}
+    assert got == {p: name for p, (_, name) in texts.items()}
+
+
 # pipeline
 
 
