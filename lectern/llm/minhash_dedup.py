@@ -341,7 +341,8 @@ def _star(n_docs: int):
             for row in batch.itertuples():
                 pair = pd.DataFrame({"hashes": [row.hashes, row.centre_hashes], "tf": [row.tf, row.centre_tf], "df": [row.df, row.centre_df]})
                 out.append(float(_Group(pair, n_docs).compare(0, np.array([1]))[0]))
-            yield pd.DataFrame({"node": batch["node"], "centre": batch["centre"], "similarity": out})
+            yield pd.DataFrame({"node": batch["node"], "text_key": batch["text_key"], "centre": batch["centre"],
+                                "own": batch["text_key"] == batch["centre_key"], "similarity": out})
 
     return star
 
@@ -377,29 +378,31 @@ def candidate_groups(classes: DataFrame) -> DataFrame:
 
 def verified_links(sets: DataFrame, groups: DataFrame, n_docs: int, threshold: float = THRESHOLD) -> DataFrame:
     """u, v: a spanning forest of the links between classes."""
-    grouped = sets.join(groups, "node").select("component", "size", "node", "central", "weight", "bands", "hashes", "tf", "df")
+    grouped = sets.join(groups, "node").select("component", "size", "node", "text_key", "central", "weight", "bands", "hashes", "tf", "df")
     open_ = grouped.where(F.col("size") <= TILE)
     large = groups.where(F.col("size") > TILE)
     linked = None
     if not large.isEmpty():
         wide = stored(grouped.where(F.col("size") > TILE), "large-groups")
-        centre = wide.groupBy("component").agg(F.max_by(F.struct("node", "hashes", "tf", "df"), F.struct("central", -F.col("node"))).alias("c"))
-        beside = wide.select("component", "node", "hashes", "tf", "df").join(centre, "component").select(
-            "component", "node", "hashes", "tf", "df", F.col("c.node").alias("centre"), F.col("c.hashes").alias("centre_hashes"),
+        centre = wide.groupBy("component").agg(F.max_by(
+            F.struct("node", "text_key", "hashes", "tf", "df"), F.struct("central", -F.col("node"), "text_key")).alias("c"))
+        beside = wide.select("component", "node", "text_key", "hashes", "tf", "df").join(centre, "component").select(
+            "component", "node", "text_key", "hashes", "tf", "df", F.col("c.node").alias("centre"), F.col("c.text_key").alias("centre_key"), F.col("c.hashes").alias("centre_hashes"),
             F.col("c.tf").alias("centre_tf"), F.col("c.df").alias("centre_df"),
         )
-        stars = stored(beside.mapInPandas(_star(n_docs), "node long, centre long, similarity double"), "stars")
+        stars = stored(beside.mapInPandas(_star(n_docs), "node long, text_key string, centre long, own boolean, similarity double"), "stars")
         linked = stars.where((F.col("similarity") >= threshold) & (F.col("node") != F.col("centre"))).select(
             F.col("node").alias("u"), F.col("centre").alias("v"))
         # 1 - similarity is a metric. What is linked to the centre and further from all that is not than the threshold allows is done.
         away = stars.where(F.col("similarity") < threshold).groupBy("centre").agg(F.max("similarity").alias("nearest"))
+        # A doc_id can have more texts in the group than the central one, and these are open as any other.
         left = stars.join(away, "centre").where(
-            (F.col("node") != F.col("centre")) & (F.col("nearest") - F.col("similarity") >= threshold - 1 - 1e-9)
-        ).select("node", "centre")
+            ~F.col("own") & (F.col("nearest") - F.col("similarity") >= threshold - 1 - 1e-9)
+        ).select("node", "text_key", "centre")
         counts = left.groupBy("centre").agg(F.count("*").alias("size"))
         rest = stored(left.join(counts, "centre"), "open-sets")
         open_ = open_.unionByName(
-            wide.drop("size").join(rest.select("node", "size"), "node").select("component", "size", "node", "central", "weight", "bands", "hashes", "tf", "df")
+            wide.drop("size").join(rest.select("node", "text_key", "size"), ["node", "text_key"]).select("component", "size", "node", "text_key", "central", "weight", "bands", "hashes", "tf", "df")
         )
     # Tile i meets each tile j >= i; a set of tile t goes to the pairs (t, j) and (i, t).
     tiles = F.ceil(F.col("size") / TILE)

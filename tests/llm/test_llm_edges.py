@@ -201,6 +201,20 @@ def test_near_dedup_of_one_large_group(spark, monkeypatch):
     assert got == near_duplicate_groups(rows)
 
 
+def test_near_dedup_of_a_second_text_of_the_central_document(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "TILE", 16)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(50, " ".join(base))]
+    for d in range(60, 100):
+        rows.append((d, " ".join(base[: d + 40] + [f"x{d}"] + base[d + 41 :])))
+    other = [f"y{i}" for i in range(200)]
+    rows += [(50, " ".join(other)), (200, " ".join(other[:-1] + ["z"]))]
+    got = near(spark, rows)
+    assert {g for g, _ in got.values()} == {50} and len(got) == 42
+    monkeypatch.setattr(minhash_dedup, "TILE", 512)
+    assert near(spark, rows) == got
+
+
 def test_weighted_samples_estimate_similarity():
     rng = np.random.default_rng(0)
     names = rng.integers(0, 1 << 48, 400).astype(np.uint64)
