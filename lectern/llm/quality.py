@@ -12,7 +12,8 @@ whole text in one pass without a shuffle. What travels to the tasks is the table
 table changes (WORDS + FORMS rows).
 
 Defined results: null text is an empty text, which has a score too; a null label is no label; several labels of one doc_id
-count as one by their mean, 1 from a half up; a null doc_id has no label and is not held out; without any label every score is
+count as one by their mean, 1 from a half up; a null doc_id has no label and is not held out; of several
+rows of one doc_id the smallest text is learned from; without any label every score is
 0.5; repeated rows are scored each; other columns pass through in the struct ``row``.
 """
 
@@ -218,7 +219,9 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     spark = ship(docs.sparkSession)
     # The limit bounds what is broadcast: two numbers for each of ``sample`` documents.
     chosen = F.broadcast(training_labels(labels, sample))
-    known = stored(docs.select("doc_id", "text").join(chosen, "doc_id"), "quality-sample")
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
+    # However many rows a doc_id has, it is one document of the sample.
+    known = stored(rows.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("text").alias("text")), "quality-sample")
     vectors = word_vectors(known.select("text"))
     shared = spark.sparkContext.broadcast(vectors)
 
@@ -231,8 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> Model:
     rows = known.mapInPandas(features, "doc_id long, label int, x array<float>").toPandas()
     if rows.empty:
         return Model(vectors, None)
-    # Exact copies of a doc_id have the same text or not; sorting by all columns makes the fit the same each time.
-    rows = rows.assign(key=rows["x"].map(tuple)).sort_values(["doc_id", "key"])
+    rows = rows.sort_values("doc_id")  # makes the fit the same each time
     ids = rows["doc_id"].to_numpy(np.int64)
     calibrate = np.array([zlib.crc32(f"calibrate {i}".encode()) % 5 == 0 for i in ids])
     return Model(vectors, fit_network(np.array(rows["x"].tolist()), rows["label"].to_numpy(), calibrate))

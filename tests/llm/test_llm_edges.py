@@ -385,6 +385,21 @@ def test_quality_learns_nothing_held_out(spark):
     assert quality.training_labels(labels, 7).count() == 7
 
 
+def test_quality_learns_once_from_a_repeated_document(spark, monkeypatch):
+    seen = []
+    fit = quality.fit_network
+    monkeypatch.setattr(quality, "fit_network", lambda x, y, calibrate: seen.append(x) or fit(x, y, calibrate))
+    texts = [(i, f"one text of its own {i} " * (i + 1)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    first = spark.range(40).where(~quality.held_out(F.col("id"))).first()["id"]
+    models = []
+    for more in ([], [(first, f"other text {i % 7}") for i in range(300)] + [(first, "zzz")] * 9 + [(first, None)]):
+        rows = [(d, "a text" if d == first else t) for d, t in texts] + more
+        models.append(quality.train(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels))
+    assert len(seen[0]) == len(seen[1]) <= 40 and np.array_equal(seen[0], seen[1])
+    assert np.array_equal(models[0].vectors, models[1].vectors)
+
+
 # op10
 
 
