@@ -40,9 +40,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, ids (little-endian unsigned 32-bit) and n_tokens of each reading."""
-    encoded = bpe.encode_documents(docs, catalog.tokenizer(spark), keep=("doc_id", "source"))
-    return encoded.select("row.doc_id", "row.source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"))
+    """doc_id, source, ids (little-endian unsigned 32-bit), n_tokens and the digest of the decoded bytes of each reading."""
+    done = bpe.round_trip(docs, catalog.tokenizer(spark), keep=("doc_id", "source"))
+    return done.select(
+        "row.doc_id", "row.source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
 
 STAGES = [("quality", keep_quality), ("near duplicates", drop_near_duplicates), ("mix", mix_sources), ("tokens", encode)]

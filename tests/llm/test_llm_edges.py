@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names, operator by operator."""
 
+import hashlib
 import math
 import random
 from collections import Counter
@@ -504,3 +505,10 @@ def test_stages_on_odd_documents(spark, tmp_path):
             assert stage(spark, frame, str(tmp_path)).count() <= 3 * len(rows)
     alone = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
     assert sorted((r["doc_id"] or -1) for r in alone) == [-1, 1, 3, 4, 5]
+
+
+def test_token_stage_decodes_what_it_encodes(spark, tmp_path):
+    texts = ["plain words", "éàü 漢字 🙂\n\ttabs", "", None]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encode(spark, docs, str(tmp_path)).collect()}
+    assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
