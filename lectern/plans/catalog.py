@@ -722,12 +722,12 @@ def _(tb):
     source = search.activity_search_source(tb.activity())
     text = F.when(F.expr(AGAIN["changed"]), F.concat("search_text", F.lit(" again"))).otherwise(F.col("search_text"))
     again = source.where(AGAIN["sent"]).withColumn("search_text", F.when(~F.expr(AGAIN["emptied"]), text))
-    source.withColumn("version", F.lit(1)).coalesce(2).write.parquet(landed)
     # In its own micro-batch the newer of two copies counts.
     both = again.withColumn("version", F.lit(3)).unionByName(source.where(AGAIN["sent"]).withColumn("version", F.lit(2)))
-    both.coalesce(1).write.mode("append").parquet(landed)
-    schema = source.withColumn("version", F.lit(1)).schema
-    stream = tb.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landed)
     corpus = search.ACTIVITY_CORPUS
-    streams.stream_index(stream, corpus, lake, "activity", checkpoint=f"{lake.root}/checkpoint", order=["version"]).awaitTermination()
+    # Each landing has as many files as Spark makes, and is one micro-batch of a run on the same checkpoint.
+    for part in (source.withColumn("version", F.lit(1)), both):
+        part.write.mode("append").parquet(landed)
+        stream = tb.spark.readStream.schema(part.schema).parquet(landed)
+        streams.stream_index(stream, corpus, lake, "activity", checkpoint=f"{lake.root}/checkpoint", order=["version"]).awaitTermination()
     return search.search(streams.stored_index(lake, "activity", corpus), _questions(source, "activity_type", "device_type"))

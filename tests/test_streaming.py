@@ -93,3 +93,29 @@ def test_index_keeps_the_newest_word_on_a_document(spark, tmp_path):
     send(("a", "A", "green fox", 3), ("a", "A", "blue fox", 2), ("c", "C", None, 2))
     assert found("red") == ["b"] and found("green") == ["a"] and found("blue") == [] and found("fox") == ["a"]
     assert streams.stored_index(lake, "docs", corpus).docs.count() == 2
+
+
+def test_search_refresh_lands_in_parallel(spark, sf_dir, monkeypatch):
+    """Each of the two landings is one micro-batch, of as many files as its source has partitions."""
+    from pyspark.sql import DataFrameWriter
+
+    from lectern.plans import catalog
+
+    batches, partitions = [], []
+    index, write = search.build_index, DataFrameWriter.parquet
+    monkeypatch.setattr(search, "build_index", lambda batch, *a: batches.append(batch.count()) or index(batch, *a))
+
+    def parquet(self, path, *a, **b):
+        if "landing" in path:
+            partitions.append(self._df.rdd.getNumPartitions())
+        return write(self, path, *a, **b)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        catalog.queries()["stream_search_refresh"](spark, sf_dir).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(batches) == 2 and min(partitions) > 2
