@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bpe, chat, embedding_dedup, licenses, minhash_dedup, mix, quality, token_counts, topk, url_filter
+from lectern.llm import (
+    bpe, chat, embedding_dedup, filter_audit, licenses, merkle, minhash_dedup, mix, piece_bpe, quality, token_counts, topk, url_filter,
+)
 from lectern.llm.runtime import stored
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 RULES = [
     url_filter.Rule("block", "net", "/"),
     url_filter.Rule("allow", "example.net", "/en/"),
@@ -99,6 +103,25 @@ def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("row.doc_id").alias("doc_id"), "path", "own", "similarity", "licence", "declared_in")
 
 
+def piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = piece_bpe.round_trip(docs, piece_bpe.PieceTokenizer(spark, PIECES))
+    return done.select(
+        F.col("row.doc_id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return filter_audit.audit(filter_audit.count_masks(docs, labels))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(_table(spark, sf_dir, "documents").select(*merkle.COLUMNS))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": exact_top_k,
@@ -111,6 +134,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_counts": token_histogram,
         "op9_quality": quality_scores,
         "op10_licence_scan": licence_scan,
+        "op11_piece_round_trip": piece_round_trip,
+        "op12_filter_audit": filter_interactions,
+        "op13_merkle_manifest": merkle_manifest,
     }
 
 
@@ -224,8 +250,104 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/')
 """
 
 
+_AUDIT = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), measured AS (
+  SELECT doc_id, part, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS n,
+         len(list_distinct(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))) AS d,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS caps, min(doc_id) OVER (PARTITION BY text) AS first_id
+  FROM docs
+), marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN n < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * d < 80 * n THEN 2 ELSE 0 END
+         + CASE WHEN 100 * caps > 10 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS mask
+  FROM measured m LEFT JOIN marks USING (doc_id)
+), counted AS (
+  SELECT part, mask, good, toxic, count(*) AS n FROM masks GROUP BY ALL
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS v(l, b)
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a JOIN letters b ON b.l != a.l JOIN letters c ON c.l NOT IN (a.l, b.l) JOIN letters d ON d.l NOT IN (a.l, b.l, c.l)
+  JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INTEGER) AS earlier
+  FROM orders, range(1, 6) AS r(step)
+), found AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN mask & bit != 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN mask & bit != 0 AND mask & earlier != 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN mask & bit != 0 AND mask & earlier = 0 AND good THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN mask & bit != 0 AND mask & earlier = 0 AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM counted, steps GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM found
+"""
+
+
+#: Levels that the SQL of the manifest goes through; more than enough for eight million rows a group.
+_LEVELS = 8
+
+
+def _merkle_sql() -> str:
+    """Nodes by level, each level a table of its own; then the siblings and the folded digests, level by level."""
+    def leaf(text: str) -> str:
+        parts = [f"coalesce(strlen({c}) || ':' || {c}, '-')"
+                 for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    def tree(name: str, start: str) -> list[str]:
+        out = [f"{name}0 AS MATERIALIZED ({start})"]
+        for k in range(_LEVELS):
+            out.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT grp, CASE WHEN size > 1 THEN pos // 8 ELSE pos END AS pos,
+         CASE WHEN size > 1 THEN sha256(string_agg(h, '' ORDER BY {name}{k}.pos)) ELSE any_value(h) END AS h, (size + 7) // 8 AS size
+  FROM {name}{k} GROUP BY grp, size, CASE WHEN size > 1 THEN pos // 8 ELSE pos END)""")
+        return out
+
+    def climb(name: str, nodes: str, start: str) -> list[str]:
+        out = [f"{name}0 AS MATERIALIZED ({start})"]
+        for k in range(_LEVELS):
+            out.append(f"""{name}{k + 1} AS MATERIALIZED (
+  SELECT c.id, c.grp, c.pos // 8 AS pos, c.proof || coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos != c.pos), '') AS proof,
+         CASE WHEN any_value(s.size) > 1
+              THEN sha256(string_agg(CASE WHEN s.pos = c.pos THEN c.folded ELSE s.h END, '' ORDER BY s.pos)) ELSE c.folded END AS folded
+  FROM {name}{k} c JOIN {nodes}{k} s ON s.grp = c.grp AND s.pos // 8 = c.pos // 8
+  GROUP BY c.id, c.grp, c.pos, c.proof, c.folded)""")
+        return out
+
+    bits = ("list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), "
+            "lambda i: [ascii(CAST(doc_id AS VARCHAR)[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])))")
+    crc = (f"xor(list_reduce({bits}, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)")
+    lower = f"translate(text, '{merkle.UPPER}', '{merkle.LOWER}')"
+    parts = [f"""leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('v' || lang, '') AS grp, {leaf('text')} AS h, {leaf(lower)} AS low,
+         coalesce({crc} % 3 = 0, false) AS changed
+  FROM documents)""", """placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS size
+  FROM leaves)"""]
+    parts += tree("node", "SELECT grp, pos, h, size FROM placed")
+    parts += tree("top", f"SELECT 'all' AS grp, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos, h, count(*) OVER () AS size FROM node{_LEVELS}")
+    parts += climb("inner", "node", "SELECT id, grp, pos, '' AS proof, CASE WHEN changed THEN low ELSE h END AS folded FROM placed")
+    parts += climb("outer", "top", f"""SELECT i.id, 'all' AS grp, g.pos, i.proof, i.folded
+  FROM inner{_LEVELS} i JOIN (SELECT grp, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos FROM node{_LEVELS}) g ON g.grp = i.grp""")
+    return f"""WITH {', '.join(parts)}
+SELECT p.doc_id, p.h AS leaf, n.h AS subroot, t.h AS root, sha256(o.proof) AS proof_sha256, o.folded AS folded_root, o.folded = t.h AS verified
+FROM placed p JOIN outer{_LEVELS} o ON o.id = p.id JOIN node{_LEVELS} n ON n.grp = p.grp JOIN top{_LEVELS} t ON true
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": _TOP_K, "op2_embedding_near_dedup": _NEAR, "op3_chat_format": _CHAT, "op5_source_mix": _MIX,
-        "op6_url_filter": _URLS,
+        "op6_url_filter": _URLS, "op12_filter_audit": _AUDIT, "op13_merkle_manifest": _merkle_sql(),
     }
