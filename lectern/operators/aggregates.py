@@ -56,14 +56,10 @@ def student_course_performance(students: DataFrame, enrollments: DataFrame, cour
     for every activity row and the other way round. Those factors are row counts per pair, so the
     repeated rows are counted and multiplied instead of produced.
     """
-    per_course = assignments.groupBy("course_id").agg(F.count("assignment_id").alias("n_assignments"))
-    offered = courses.select("course_id", "term").join(per_course, "course_id", "left").select(
-        "course_id", "term", F.coalesce("n_assignments", F.lit(0)).alias("total_assignments")
-    )
     group = (
         enrollments.select(*PAIR, "final_grade")
         .join(students.select("student_id"), "student_id", "left_semi")
-        .join(offered, "course_id")
+        .join(offered_courses(courses, assignments), "course_id")
         .groupBy(*PAIR, "term", "final_grade", "total_assignments")
         .agg(F.count(F.lit(1)).alias("n_enrolled"))
     )
@@ -73,7 +69,19 @@ def student_course_performance(students: DataFrame, enrollments: DataFrame, cour
         F.count(F.lit(1)).alias("n_activity"),
     )
     joined = group.join(_submission_totals(submissions, assignments, compat), PAIR, "left").join(acts, PAIR, "left")
+    return performance_rows(joined, now=now, compat=compat)
 
+
+def offered_courses(courses: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Term and number of assignments of each course."""
+    per_course = assignments.groupBy("course_id").agg(F.count("assignment_id").alias("n_assignments"))
+    return courses.select("course_id", "term").join(per_course, "course_id", "left").select(
+        "course_id", "term", F.coalesce("n_assignments", F.lit(0)).alias("total_assignments")
+    )
+
+
+def performance_rows(joined: DataFrame, *, now: datetime, compat: bool = False) -> DataFrame:
+    """The columns of the rollup from the totals of each student and course."""
     zero = F.lit(0)
     seconds = F.col("seconds")
     times = F.lit(1)
@@ -128,6 +136,16 @@ def course_analytics(courses: DataFrame, enrollments: DataFrame, activity: DataF
         count_where(F.col("final_score") < at_risk_below).alias("at_risk"),
         *[c.alias(f"grade_{b}") for b, c in grade_counts().items()],
     ).join(engagement_minutes(activity), PAIR, "left")
+    medians = (
+        enrollments.where(F.col("final_score").isNotNull())
+        .groupBy("course_id", "final_score").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("course_id").agg(F.percentile("final_score", 0.5, F.col("n")).alias("median"))
+    )
+    return course_rows(courses, pair, medians, now=now)
+
+
+def course_rows(courses: DataFrame, pair: DataFrame, medians: DataFrame, *, now: datetime) -> DataFrame:
+    """The columns of the course rollup from the counts of each student and course, and the courses' medians."""
     known = F.col("student_id").isNotNull()
     minutes = F.col("total_minutes")
     per_course = pair.groupBy("course_id").agg(
@@ -142,11 +160,6 @@ def course_analytics(courses: DataFrame, enrollments: DataFrame, activity: DataF
         F.sum(F.when(minutes.isNotNull(), F.col("rows"))).alias("minutes_n"),
         *[F.sum(f"grade_{b}").alias(f"grade_{b}") for b in GRADE_BANDS],
     )
-    medians = (
-        enrollments.where(F.col("final_score").isNotNull())
-        .groupBy("course_id", "final_score").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("course_id").agg(F.percentile("final_score", 0.5, F.col("n")).alias("median"))
-    )
     return (
         courses.select("course_id", "term").join(per_course, "course_id").join(medians, "course_id", "left")
         .select(

@@ -2,6 +2,10 @@
 
 Ranking is BM25. The index is two append-friendly frames, so new documents are added without
 rebuilding; corpus statistics are taken from the index when a query runs.
+
+A stored index knows of each block of a term's postings the greatest count and the shortest document, which bound what a document of the
+block can get. A search scores the best blocks of every asked term first; the k-th score that comes of it is one that the answers
+reach at least. Blocks that cannot reach it, even with the best block of every other term, are then left unread. Answers are the same.
 """
 
 from __future__ import annotations
@@ -13,8 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lectern.session import scratch_dir
+
 K1, B = 1.2, 0.75
 SCORE_DIGITS = 6
+#: Postings of a block are neighbours in the stored order, 2**BLOCK_BITS at most; the blocks of each term that a search reads first.
+BLOCK_BITS, FIRST_BLOCKS = 9, 2
 
 
 def _or(column: str, default: str) -> Column:
@@ -82,13 +90,15 @@ STUDENT_CORPUS = Corpus("student_id", "full_name", ("major", "classification", "
 class Index:
     """``docs``: doc_id, title, doc_len. ``postings``: term, doc_id, tf, doc_len and the attributes.
 
-    A stored index also has ``terms``: term and df, its number of documents.
+    A stored index also has ``terms``: term and df, its number of documents; and ``blocks``: tier, term and block of its postings with
+    the number of postings, the greatest tf, the shortest doc_len and the smallest doc_id.
     """
 
     docs: DataFrame
     postings: DataFrame
     attributes: tuple[str, ...]
     terms: DataFrame | None = None
+    blocks: DataFrame | None = None
 
 
 def tokens(text: Column) -> Column:
@@ -96,6 +106,20 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
 
 
+def _counted(words: Column) -> Column:
+    """Each distinct word with its count: runs in the sorted words, so the cost does not grow with their square."""
+    ordered = F.array_sort(words)
+    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+    return F.when(F.size(words) > 0, F.transform(starts, lambda start, n: F.struct(
+        F.get(ordered, start).alias("term"),
+        (F.coalesce(F.get(starts, n + 1), F.size(words)) - start).cast("bigint").alias("tf"))))
+
+
+def tier() -> Column:
+    """Eighths of an octave of words per occurrence: postings of one tier are worth about the same."""
+    return F.floor(8 * F.log2(F.col("doc_len").cast("double") / F.col("tf"))).cast("int")
+
+
 def build_index(source: DataFrame, corpus: Corpus, *, text: str = "search_text") -> Index:
     """Index the documents that have a text; a document with NULL text is not searchable."""
     words = source.where(F.col(text).isNotNull()).select(
@@ -103,20 +127,33 @@ def build_index(source: DataFrame, corpus: Corpus, *, text: str = "search_text")
         *[F.col(a).alias(f"attr_{a}") for a in corpus.attributes], tokens(F.col(text)).alias("words"),
     ).withColumn("doc_len", F.size("words"))
     attrs = [f"attr_{a}" for a in corpus.attributes]
-    # One shuffle: laid out by term and document, the words are counted where they are and stored as they lie.
+    # Words are counted inside their row; one shuffle lays the postings out by tier, term and document, and they are stored as they lie.
+    entry = F.explode(_counted(F.col("words"))).alias("e")
     postings = (
-        words.select(F.explode("words").alias("term"), "doc_id", "doc_len", *attrs).repartitionByRange("term", "doc_id")
-        .groupBy("term", "doc_id", "doc_len", *attrs).agg(F.count(F.lit(1)).alias("tf"))
+        words.select("doc_id", "doc_len", *attrs, entry).select("e.term", "doc_id", "doc_len", *attrs, "e.tf")
+        .withColumn("tier", tier()).repartitionByRange("tier", "term", "doc_id").drop("tier")
     )
     return Index(words.select("doc_id", "title", "doc_len"), postings, corpus.attributes)
 
 
 def save_index(index: Index, path: str) -> None:
-    """Store an index and its document frequencies. Postings are laid out by term, and a common term may span many files."""
+    """Store an index with its document frequencies and blocks. Postings are laid out by tier and term; a common term may span many files."""
+    spark = index.postings.sparkSession
     index.docs.write.parquet(f"{path}/docs")
-    index.postings.sortWithinPartitions("term", "doc_id").write.parquet(f"{path}/postings")
-    stored = index.postings.sparkSession.read.schema(index.postings.schema).parquet(f"{path}/postings")
-    document_frequency(stored).write.parquet(f"{path}/terms")
+    blocked(index.postings).write.partitionBy("tier").parquet(f"{path}/postings")
+    blocks_of(spark.read.parquet(f"{path}/postings")).write.parquet(f"{path}/blocks")
+    spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
+
+
+def blocked(postings: DataFrame) -> DataFrame:
+    """Postings in stored order with their tier and the number of their block."""
+    ordered = postings.withColumn("tier", tier()).sortWithinPartitions("tier", "term", "doc_id")
+    return ordered.withColumn("block", F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS))
+
+
+def blocks_of(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("tier", "term", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.max("tf").alias("tf"), F.min("doc_len").alias("doc_len"), F.min("doc_id").alias("least_id"))
 
 
 def document_frequency(postings: DataFrame) -> DataFrame:
@@ -124,8 +161,8 @@ def document_frequency(postings: DataFrame) -> DataFrame:
 
 
 def load_index(spark: SparkSession, path: str, corpus: Corpus) -> Index:
-    docs, postings, terms = (spark.read.parquet(f"{path}/{part}") for part in ("docs", "postings", "terms"))
-    return Index(docs, postings, corpus.attributes, terms)
+    docs, postings, terms, blocks = (spark.read.parquet(f"{path}/{part}") for part in ("docs", "postings", "terms", "blocks"))
+    return Index(docs, postings, corpus.attributes, terms, blocks)
 
 
 def refresh_index(index: Index, changed: Index) -> Index:
@@ -151,22 +188,64 @@ def search(index: Index, queries: DataFrame, *, k: int = 10, where: dict[str, It
     terms = index.terms if index.terms is not None else document_frequency(
         index.postings.join(asked.select("term").distinct(), "term", "left_semi"))
     hits = index.postings
-    size = index.docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    avg_len = index.docs.agg(F.sum("doc_len").cast("double") / F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
     for a, values in (where or {}).items():
         hits = hits.where(F.col(f"attr_{a}").isin(*values))
-    idf = F.log(1 + (size - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    corpus = index.docs.agg(F.count(F.lit(1)).cast("double").alias("size"), F.sum("doc_len").cast("double").alias("words"))
+    if index.blocks is None:
+        size, avg_len = corpus.select("size").scalar(), corpus.select(F.col("words") / F.nullif("size", F.lit(0))).scalar()
+        weighed = asked.join(terms, "term").withColumn("idf", _idf(size))
+        best = _best(_scores(hits, weighed, ["term"], avg_len), k)
+    else:
+        size, words = corpus.first()
+        avg_len = F.lit(words / size if size else None).cast("double")
+        weighed = asked.join(terms, "term").withColumn("idf", _idf(F.lit(size)))
+        best = _best(_scores(hits, _worthwhile(index, hits, weighed, avg_len, k), ["tier", "term", "block"], avg_len), k)
+    titles = index.docs.select("doc_id", "title")
+    return best.join(titles, "doc_id").select("query_id", "rank", "doc_id", "title", "score")
+
+
+def _idf(size: Column) -> Column:
+    return F.log(1 + (size - F.col("df") + 0.5) / (F.col("df") + 0.5))
+
+
+def _part(avg_len: Column) -> Column:
+    """What a posting adds to a score; it grows with tf and shrinks with doc_len."""
     tf = F.col("tf").cast("double")
-    part = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
+    return F.col("idf") * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
+
+
+def _scores(hits: DataFrame, weighed: DataFrame, on: list[str], avg_len: Column) -> DataFrame:
     # The postings are partitioned for this join alone, so adaptive execution can split a term that most documents have.
     # Parts are summed as decimals: the score does not depend on their order.
-    total = F.sum(part.cast("decimal(38,12)"))
-    scores = (
-        hits.join(asked.join(terms, "term"), "term")
-        .groupBy("query_id", "doc_id").agg(F.round(total, SCORE_DIGITS).cast("double").alias("score"))
-    )
+    total = F.sum(_part(avg_len).cast("decimal(38,12)"))
+    if "tier" in on:
+        # Tiers are folders; the numbers of those that are asked for are few.
+        hits = hits.where(F.col("tier").isin([r[0] for r in weighed.select("tier").distinct().collect()]))
+    return hits.join(weighed.select("query_id", "idf", *on), on).groupBy("query_id", "doc_id").agg(
+        F.round(total, SCORE_DIGITS).cast("double").alias("score"))
+
+
+def _best(scores: DataFrame, k: int) -> DataFrame:
     # A rank filter is cut to k rows per query on the map side, so a hot query never meets in one task.
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    best = scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    titles = index.docs.select("doc_id", "title")
-    return best.join(titles, "doc_id").select("query_id", "rank", "doc_id", "title", "score")
+    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _worthwhile(index: Index, hits: DataFrame, weighed: DataFrame, avg_len: Column, k: int) -> DataFrame:
+    """The blocks of asked terms that may hold one of a query's ``k`` best documents, with query and idf."""
+    path = scratch_dir(hits.sparkSession, "blocks")
+    weighed.join(index.blocks, "term").withColumn("bound", _part(avg_len)).write.parquet(path)
+    blocks = hits.sparkSession.read.parquet(path)
+    place = F.row_number().over(W.partitionBy("query_id", "term").orderBy(F.desc("bound"), "least_id", "block"))
+    first = blocks.withColumn("place", place).where(F.col("place") <= FIRST_BLOCKS)
+    reached = _best(_scores(hits, first, ["tier", "term", "block"], avg_len), k).where(F.col("rank") == k).select(
+        "query_id", F.col("score").alias("reached"), F.col("doc_id").alias("reached_id"))
+    greatest = blocks.groupBy("query_id", "term").agg(F.max("bound").alias("greatest"))
+    together = greatest.groupBy("query_id").agg(F.sum("greatest").alias("together"))
+    limits = greatest.join(together, "query_id").join(reached, "query_id", "left")
+    # Scores are rounded sums of rounded parts; the bound is a little wider. Of equal scores the smaller doc_id is the better.
+    most = F.round(F.col("bound") + F.col("together") - F.col("greatest") + 1e-9, SCORE_DIGITS)
+    reach = F.col("reached").isNull() | (most > F.col("reached")) | ((most == F.col("reached")) & (F.col("least_id") <= F.col("reached_id")))
+    chosen = f"{path}-chosen"
+    blocks.join(limits, ["query_id", "term"]).where(reach).select("query_id", "idf", "tier", "term", "block", "n").write.parquet(chosen)
+    return hits.sparkSession.read.parquet(chosen)

@@ -15,6 +15,8 @@ from lectern.schemas import (
     RUN_EVENT_SCHEMA, SNAPSHOT_SCHEMA, Entity,
 )
 from lectern.sources import landing
+from lectern.sources.changes import AFTER, BEFORE, DELETE, INSERT, ChangeLog
+from lectern.sources.keyindex import KeyIndex, Membership
 from lectern.sources.store import Lake
 
 TOP_KEY_SCHEMA = "top bigint, writing boolean, table string"
@@ -41,60 +43,136 @@ def _by_month(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", "part")
 
 
+def fact_index(lake: Lake, spec: Entity) -> KeyIndex:
+    return KeyIndex(lake, f"curated/{spec.table}", spec.key)
+
+
+def fact_filters(lake: Lake, spec: Entity) -> Membership:
+    return Membership(lake, f"curated/{spec.table}", spec.key)
+
+
+def change_log(lake: Lake, entity: str) -> ChangeLog:
+    """What the merges changed of a curated table, commit by commit."""
+    spec = ENTITIES[entity]
+    return ChangeLog(lake, spec.table, table_schema(spec))
+
+
 def merge_table(lake: Lake, spec: Entity, source: DataFrame, *, now: datetime, profile: str = "full") -> None:
     """Upsert ``source`` (one row per key, stored) into the curated table.
 
-    A dimension is rewritten to its next version. A fact rewrites only the months that hold matched
-    or new rows, and an insert-only fact is appended to.
+    The changes are stored first, then carried out, then published (see ``changes``). A dimension is rewritten to its next version. A fact
+    rewrites only the months that hold matched or new rows, which its index knows, and an insert-only fact is appended to.
     """
+    log = change_log(lake, spec.name)
+    recover(lake, spec.name)
     name = f"curated/{spec.table}"
-    target = lake.read(name, table_schema(spec))
-    if spec.partition_time is None:
-        merged = upsert.merge_entity(spec, target, source, now=now, profile=profile, stored_source=True)
-        _number(lake, spec, merged, lambda df: lake.replace(name, df))
-        return
-    source = source.withColumn("part", month_of(spec.partition_time))
-    if not spec.updates:
-        empty = target.limit(0)
-        added = upsert.insert_new(empty, upsert.not_in(source, target, [spec.key]), keys=[spec.key], now=now)
-        months = [r.part for r in source.select("part").distinct().collect()]
-        _number(lake, spec, _by_month(added), lambda df: lake.append(name, df, "part"), months)
-        return
-    matched = target.select(spec.key, "part").join(source.select(spec.key), spec.key, "left_semi").select("part")
-    # One entry per month that the batch touches.
-    touched = [r.part for r in matched.union(source.select("part")).distinct().collect()]
-    held = set(lake.partitions(name, "part"))
-    slice_ = lake.read(name, table_schema(spec), [p for p in touched if p in held])
-    merged = upsert.merge_entity(spec, slice_, source, now=now, profile=profile, stored_source=True)
-    _number(lake, spec, _by_month(merged), lambda df: lake.replace_partitions(name, df, "part"), touched)
-
-
-def _top_key(lake: Lake, spec: Entity) -> int | None:
-    state = lake.read("audit/top_keys", TOP_KEY_SCHEMA).where((F.col("table") == spec.table) & ~F.col("writing"))
-    return state.agg(F.max("top")).first()[0]
+    if spec.partition_time is not None:
+        source = source.withColumn("part", month_of(spec.partition_time))
+    before = _stored_rows(lake, spec, source)
+    if spec.updates:
+        held = f"{lake.root}/staging/before/{spec.table}"
+        before.write.mode("overwrite").parquet(held)
+        before = lake.spark.read.schema(table_schema(spec)).parquet(held)
+        after = upsert.merge_entity(spec, before, source, now=now, profile=profile, stored_source=True)
+    else:
+        empty = lake.spark.createDataFrame([], table_schema(spec))
+        after = upsert.insert_new(empty, source.join(before.select(spec.key), spec.key, "left_anti"), keys=[spec.key], now=now)
+        before = empty
+    top = _top_key(lake, spec)
+    numbered = upsert.number_rows(after, spec.surrogate, top)
+    known = before.select(spec.key, F.lit(AFTER).alias("known"))
+    changed = numbered.join(known, spec.key, "left").withColumn("change", F.coalesce("known", F.lit(INSERT))).drop("known")
+    number = log.prepare(changed.unionByName(before.withColumn("change", F.lit(BEFORE))))
+    _carry_out(lake, spec, number)
 
 
-def _number(lake: Lake, spec: Entity, rows: DataFrame, write: Callable[[DataFrame], None], months: list[str] | None = None) -> None:
-    """Give new rows surrogate keys above all that were given before, and write them.
+def remove_rows(lake: Lake, entity: str, keys: DataFrame) -> int:
+    """Take the rows with these keys out of the curated table and log them; returns their number."""
+    spec = ENTITIES[entity]
+    recover(lake, entity)
+    log = change_log(lake, entity)
+    gone = _stored_rows(lake, spec, keys.select(spec.key).distinct())
+    number = log.prepare(gone.withColumn("change", F.lit(DELETE)))
+    records = log.rows(number).count()
+    _carry_out(lake, spec, number)
+    return records
 
-    The greatest key is kept in a table with one row per entity, so a batch reads no stored fact for it. The row is
-    marked while a batch writes; after a crash the mark is still there, and the greatest key is looked up once.
-    """
-    def note(top: int, writing: bool) -> None:
-        lake.replace_partitions("audit/top_keys", lake.spark.createDataFrame([(top, writing, spec.table)], TOP_KEY_SCHEMA), "table")
 
-    def greatest(parts: list[str] | None) -> int:
-        held = lake.read(f"curated/{spec.table}", table_schema(spec), parts)
-        return held.agg(F.coalesce(F.max(spec.surrogate), F.lit(0))).first()[0]
+def recover(lake: Lake, entity: str) -> bool:
+    """Carry out what a crash left stored but unpublished; says whether there was any."""
+    number = change_log(lake, entity).pending()
+    if number is not None:
+        _carry_out(lake, ENTITIES[entity], number, again=True)
+    return number is not None
 
-    top = _top_key(lake, spec)
-    top = greatest(None) if top is None else top
-    note(top, True)
-    write(upsert.number_rows(rows, spec.surrogate, top))
-    if months is not None:
-        held = set(lake.partitions(f"curated/{spec.table}", "part"))
-        months = [m for m in months if m in held]
-    note(max(top, greatest(months)), False)
+
+def _stored_rows(lake: Lake, spec: Entity, keys: DataFrame) -> DataFrame:
+    """The stored rows with one of ``keys``, from the months that may hold them."""
+    name = f"curated/{spec.table}"
+    if spec.partition_time is None:
+        parts = None
+    elif spec.updates:
+        index = fact_index(lake, spec)
+        index.ensure(lake.read(name, table_schema(spec)))
+        parts = [r.part for r in index.months_of(keys).select("part").distinct().collect()]
+    else:
+        filters = fact_filters(lake, spec)
+        filters.ensure(lake.read(name, table_schema(spec)))
+        parts = filters.months(keys)
+    if parts is not None:
+        held = set(lake.partitions(name, "part"))
+        parts = [p for p in parts if p in held]
+    return lake.read(name, table_schema(spec), parts).join(keys.select(spec.key), spec.key, "left_semi")
+
+
+def _carry_out(lake: Lake, spec: Entity, number: int, *, again: bool = False) -> None:
+    """Bring the stored commit into indexes and table and publish it; doing so twice changes nothing."""
+    log, name = change_log(lake, spec.name), f"curated/{spec.table}"
+    rows = log.rows(number)
+    new = rows.where(F.col("change").isin(INSERT, AFTER)).drop("change")
+    # One row per month and kind of change.
+    month = F.col("part") if spec.partition_time else F.lit(None)
+    kinds = rows.groupBy(month.alias("part"), "change").agg(F.max(spec.surrogate).alias("top")).collect()
+    top = max((r.top for r in kinds if r.top is not None and r.change == INSERT), default=None)
+    if top is not None:
+        _note_top(lake, spec, max(top, _top_key(lake, spec)))
+    if spec.partition_time is None:
+        rest = lake.read(name, table_schema(spec)).join(rows.select(spec.key), spec.key, "left_anti")
+        lake.replace(name, rest.unionByName(new))
+    else:
+        index = fact_index(lake, spec) if spec.updates else fact_filters(lake, spec)
+        index.ensure(lake.read(name, table_schema(spec)))
+        inserted = rows.where(F.col("change") == INSERT).drop("change")
+        if any(r.change == INSERT for r in kinds):
+            index.add(inserted, f"commit-{number}")
+        touched, removes = sorted({r.part for r in kinds}), any(r.change == DELETE for r in kinds)
+        held = set(lake.partitions(name, "part"))
+        there = lake.read(name, table_schema(spec), [p for p in touched if p in held])
+        if spec.updates or removes:
+            rest = there.join(rows.select(spec.key), spec.key, "left_anti").unionByName(new)
+            left = {r.part for r in rest.select("part").distinct().collect()} if removes else set(touched)
+            lake.replace_partitions(name, _by_month(rest), "part")
+            for p in set(touched) - left:
+                lake.drop_partition(name, f"part={p}")
+        else:
+            fresh = upsert.not_in(inserted, there, [spec.key]) if again else inserted
+            lake.append(name, _by_month(fresh), "part")
+        index.segments.note(version=(lake.versions(name) or [0])[-1])
+    log.publish(number)
+
+
+def _top_key(lake: Lake, spec: Entity) -> int:
+    """The greatest surrogate key given so far: one stored number per entity. Where it is missing or marked, the table is asked."""
+    state = lake.read("audit/top_keys", TOP_KEY_SCHEMA).where((F.col("table") == spec.table) & ~F.col("writing"))
+    top = state.agg(F.max("top")).first()[0]
+    if top is None:
+        held = lake.read(f"curated/{spec.table}", table_schema(spec))
+        top = held.agg(F.coalesce(F.max(spec.surrogate), F.lit(0))).first()[0]
+    return top
+
+
+def _note_top(lake: Lake, spec: Entity, top: int) -> None:
+    lake.replace_partitions("audit/top_keys", lake.spark.createDataFrame([(top, False, spec.table)], TOP_KEY_SCHEMA), "table")
 
 
 def staging_path(lake: Lake, entity: str, batch: str) -> str:
@@ -103,8 +181,9 @@ def staging_path(lake: Lake, entity: str, batch: str) -> str:
 
 def parse(lake: Lake, entity: str, rows: DataFrame, path: str) -> DataFrame:
     """Landed rows with their payload columns and, where they cannot be loaded, the reason; parsed once, stored and read back."""
-    extract.parsed(rows, entity, keep=("batch", *upsert.BATCH_ORDER)).write.mode("overwrite").parquet(path)
-    return lake.spark.read.parquet(path)
+    found = extract.parsed(rows, entity, keep=("batch", *upsert.BATCH_ORDER))
+    found.write.mode("overwrite").parquet(path)
+    return lake.spark.read.schema(found.schema).parquet(path)
 
 
 def stage(lake: Lake, entity: str, parsed: DataFrame, path: str) -> DataFrame:
@@ -113,8 +192,9 @@ def stage(lake: Lake, entity: str, parsed: DataFrame, path: str) -> DataFrame:
     typed = parsed.where("reason IS NULL").select(*spec.fields, *upsert.BATCH_ORDER)
     last = upsert.latest_per_key(typed, [spec.key])
     dims = {dim: curated(lake, dim) for dim, _ in spec.lookups.values()}
-    upsert.lookup_keys(last, entity, dims).drop(*upsert.BATCH_ORDER).write.mode("overwrite").parquet(path)
-    return lake.spark.read.parquet(path)
+    found = upsert.lookup_keys(last, entity, dims).drop(*upsert.BATCH_ORDER)
+    found.write.mode("overwrite").parquet(path)
+    return lake.spark.read.schema(found.schema).parquet(path)
 
 
 def load_rows(lake: Lake, entity: str, rows: DataFrame, run: str, *, now: datetime, profile: str = "full") -> DataFrame:
@@ -151,37 +231,40 @@ def process_all(lake: Lake, *, now: datetime, profile: str = "full") -> int:
     return sum(process_entity(lake, e, now=now, profile=profile) for e in ENTITIES)
 
 
-def backfill_table(lake: Lake, entity: str) -> None:
+def _update_rows(lake: Lake, entity: str, before: DataFrame, edit: Callable[[DataFrame], DataFrame]) -> int:
+    """Change some stored rows and log it; returns their number."""
+    recover(lake, entity)
+    log = change_log(lake, entity)
+    after = edit(before).select(*before.columns)
+    number = log.prepare(before.withColumn("change", F.lit(BEFORE)).unionByName(after.withColumn("change", F.lit(AFTER))))
+    records = log.rows(number).where(F.col("change") == AFTER).count()
+    if records:
+        _carry_out(lake, ENTITIES[entity], number)
+    return records
+
+
+def backfill_table(lake: Lake, entity: str) -> int:
     """Fill looked-up keys of rows that came before their dimension; only their months are rewritten."""
     spec = ENTITIES[entity]
-    name = f"curated/{spec.table}"
-    facts = lake.read(name, table_schema(spec))
-    missing = F.lit(False)
-    for fk in spec.lookups:
-        missing = missing | F.col(fk).isNull()
-    months = [r.part for r in facts.where(missing).select("part").distinct().collect()]
-    if months:
-        dims = {dim: curated(lake, dim) for dim, _ in spec.lookups.values()}
-        filled = upsert.backfill_keys(lake.read(name, table_schema(spec), months), entity, dims)
-        lake.replace_partitions(name, _by_month(filled), "part")
+    dims = {dim: curated(lake, dim) for dim, _ in spec.lookups.values()}
+    facts = lake.read(f"curated/{spec.table}", table_schema(spec))
+    can = F.lit(False)
+    for fk, (dim, natural) in spec.lookups.items():
+        facts = facts.join(dims[dim].select(natural, F.lit(True).alias(f"has_{fk}")), natural, "left")
+        can = can | (F.col(fk).isNull() & F.col(f"has_{fk}"))
+    return _update_rows(lake, entity, facts.where(can).select(*[c for c, _ in spec.columns], "part"),
+                        lambda rows: upsert.backfill_keys(rows, entity, dims))
 
 
 def transform_students(lake: Lake, *, now: datetime) -> int:
-    dim = curated(lake, "students")
     stamp = F.lit(now).cast("timestamp_ntz")
     stale = (F.col("enrollment_status") == "Active") & (F.col("updated_at") < stamp - F.expr("INTERVAL '1' HOUR"))
-    changed = dim.agg(F.count_if(stale)).first()[0]
-    if changed:
-        lake.replace("curated/dim_students", upsert.touch_active_students(dim, now=now))
-    return changed
+    return _update_rows(lake, "students", curated(lake, "students").where(stale), lambda rows: upsert.touch_active_students(rows, now=now))
 
 
 def transform_courses(lake: Lake, *, now: datetime) -> int:
-    dim = curated(lake, "courses")
-    changed = dim.agg(F.count_if(~F.coalesce(F.col("is_current"), F.lit(False)))).first()[0]
-    if changed:
-        lake.replace("curated/dim_courses", upsert.refresh_current_courses(dim, now=now))
-    return changed
+    lapsed = ~F.coalesce(F.col("is_current"), F.lit(False))
+    return _update_rows(lake, "courses", curated(lake, "courses").where(lapsed), lambda rows: upsert.refresh_current_courses(rows, now=now))
 
 
 def transform_assignments(lake: Lake, *, now: datetime) -> int:
@@ -275,9 +358,20 @@ def _full(lake: Lake, *, now: datetime) -> int:
     return process_all(lake, now=now) + transform_all(lake, now=now)
 
 
+def _incremental(lake: Lake, *, now: datetime) -> int:
+    """Load what landed since, and bring the rollups up to date from the changes alone."""
+    from lectern.plans.rollups import Rollups
+
+    records = process_all(lake, now=now)
+    records += sum(step(lake, now=now) for step in (transform_students, transform_courses, transform_assignments))
+    rollups = Rollups(lake)
+    records += rollups.refresh_performance(now=now) + rollups.refresh_analytics(now=now)
+    return records + count_students_at_risk(lake, now=now)
+
+
 JOBS: dict[str, Callable[..., int]] = {
     "FULL_REFRESH": _full,
-    "INCREMENTAL": _full,
+    "INCREMENTAL": _incremental,
     "STUDENTS": _load("students", "student_dimension"),
     "COURSES": _load("courses", "course_dimension"),
     "ENROLLMENTS": _load("enrollments", "enrollment_fact"),
@@ -323,7 +417,7 @@ def run_status(lake: Lake) -> DataFrame:
 
 
 def reset(lake: Lake) -> None:
-    """Give every existing landing, curated and batch-log table an empty version."""
+    """Give every existing landing, curated and batch-log table an empty version; logs and indexes begin anew."""
     tables = {f"raw/{e}": (landing.BATCH_SCHEMA, ("batch",)) for e in RAW_TABLES}
     for spec in ENTITIES.values():
         tables[f"curated/{spec.table}"] = (table_schema(spec), ("part",) if spec.partition_time else ())
@@ -334,6 +428,8 @@ def reset(lake: Lake) -> None:
     for name, (schema, parts) in tables.items():
         if lake.versions(name):
             lake.replace(name, lake.spark.createDataFrame([], schema), *parts)
+    for area in ("changes", "index", "rollup"):
+        lake.remove(f"{lake.root}/{area}")
 
 
 def summary(lake: Lake) -> DataFrame:

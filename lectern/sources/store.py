@@ -8,6 +8,7 @@ when the job commits, and what they write belongs to partitions that a rerun ove
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,27 @@ class Lake:
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
+    def read_text(self, path: str) -> str:
+        """A small file as text."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        stream = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).open(p)
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def write_text(self, path: str, text: str) -> None:
+        """Write a small file that appears as a whole, or fail if it is there already."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        part = self.spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+        stream = fs.create(part)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if fs.exists(p) or not fs.rename(part, p):
+            fs.delete(part, False)
+            raise FileExistsError(path)
+
     def drop_old_versions(self, table: str, keep: int = 2) -> list[int]:
         """Delete all but the newest ``keep`` versions, and return those deleted.
 
