@@ -130,8 +130,10 @@ def format_chat(rows: DataFrame, *, parts: str | None = None) -> DataFrame:
     ship(rows.sparkSession)
     text = f"array(named_struct('kind', 'text', 'text', text, 'ref', null, 'width', null, 'height', null, 'seconds', null, 'pages', null))"
     content = F.col(parts) if parts else F.expr(text)
-    slim = rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", content.cast(PARTS).alias("parts"))
-    return slim.mapInPandas(_format, TURNS)
+    # A null beside them would turn whole numbers into doubles on their way through pandas; as text they stay exact.
+    keys = [F.col(c).cast("long").cast("string").alias(c) for c in ("conv_id", "turn")]
+    made = rows.select(*keys, "role", content.cast(PARTS).alias("parts")).mapInPandas(_format, TURNS.replace("long", "string", 2))
+    return made.withColumns({c: F.col(c).cast("long") for c in ("conv_id", "turn")})
 
 
 def read_turn(formatted: str) -> tuple[str, str]:

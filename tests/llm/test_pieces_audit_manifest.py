@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 
-from lectern.llm import catalog, filter_audit, merkle, piece_bpe
+from lectern.llm import catalog, chat, filter_audit, merkle, piece_bpe
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, mask string, n int, grp string, place long, ids string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -262,3 +262,17 @@ def test_manifest_of_one_id_on_a_third_of_the_rows(spark, monkeypatch):
 
 def test_manifest_of_no_rows(spark):
     assert made(spark, []) == []
+
+
+# op3
+
+
+def test_large_ids_beside_nulls_stay_exact(spark):
+    big = 2**53 + 1
+    rows = spark.createDataFrame(
+        [(big, big + 1, "user", "a"), (big, big, "user", "b"), (None, 1, "user", "c"), (big, None, "user", "d")],
+        "conv_id long, turn long, role string, text string").coalesce(1)
+    made = chat.format_chat(rows)
+    assert {(r.conv_id, r.turn) for r in made.collect()} == {(big, big + 1), (big, big), (None, 1), (big, None)}
+    row = chat.read_back(made).first()
+    assert row.conv_id == big and row.turns_sha256 == hashlib.sha256(b"user\nd\nuser\nb\nuser\na\n").hexdigest()
