@@ -91,7 +91,7 @@ class Index:
     """``docs``: doc_id, title, doc_len. ``postings``: term, doc_id, tf, doc_len and the attributes.
 
     A stored index also has ``terms``: term and df, its number of documents; and ``blocks``: tier, term and block of its postings with
-    the number of postings, the greatest tf, the shortest doc_len and the smallest doc_id.
+    the number of postings, the greatest tf, the shortest doc_len and the smallest doc_id. ``words`` are the documents that an index is built from.
     """
 
     docs: DataFrame
@@ -99,6 +99,7 @@ class Index:
     attributes: tuple[str, ...]
     terms: DataFrame | None = None
     blocks: DataFrame | None = None
+    words: DataFrame | None = None
 
 
 def tokens(text: Column) -> Column:
@@ -106,15 +107,6 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
 
 
-def _counted(words: Column) -> Column:
-    """Each distinct word with its count: runs in the sorted words, so the cost does not grow with their square."""
-    ordered = F.array_sort(words)
-    starts = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
-    return F.when(F.size(words) > 0, F.transform(starts, lambda start, n: F.struct(
-        F.get(ordered, start).alias("term"),
-        (F.coalesce(F.get(starts, n + 1), F.size(words)) - start).cast("bigint").alias("tf"))))
-
-
 def tier() -> Column:
     """Eighths of an octave of words per occurrence: postings of one tier are worth about the same."""
     return F.floor(8 * F.log2(F.col("doc_len").cast("double") / F.col("tf"))).cast("int")
@@ -126,23 +118,39 @@ def build_index(source: DataFrame, corpus: Corpus, *, text: str = "search_text")
         F.col(corpus.id).alias("doc_id"), F.col(corpus.title).cast("string").alias("title"),
         *[F.col(a).alias(f"attr_{a}") for a in corpus.attributes], tokens(F.col(text)).alias("words"),
     ).withColumn("doc_len", F.size("words"))
-    attrs = [f"attr_{a}" for a in corpus.attributes]
-    # Words are counted inside their row; one shuffle lays the postings out by tier, term and document, and they are stored as they lie.
-    entry = F.explode(_counted(F.col("words"))).alias("e")
-    postings = (
-        words.select("doc_id", "doc_len", *attrs, entry).select("e.term", "doc_id", "doc_len", *attrs, "e.tf")
-        .withColumn("tier", tier()).repartitionByRange("tier", "term", "doc_id").drop("tier")
+    return Index(words.select("doc_id", "title", "doc_len"), _postings(words, corpus.attributes), corpus.attributes, words=words)
+
+
+def _postings(words: DataFrame, attributes: Iterable[str]) -> DataFrame:
+    attrs = [f"attr_{a}" for a in attributes]
+    # One shuffle: laid out by term and document, the words are counted where they are and stored as they lie.
+    return (
+        words.select(F.explode("words").alias("term"), "doc_id", "doc_len", *attrs).repartitionByRange("term", "doc_id")
+        .groupBy("term", "doc_id", "doc_len", *attrs).agg(F.count(F.lit(1)).alias("tf"))
     )
-    return Index(words.select("doc_id", "title", "doc_len"), postings, corpus.attributes)
 
 
-def save_index(index: Index, path: str) -> None:
-    """Store an index with its document frequencies and blocks. Postings are laid out by tier and term; a common term may span many files."""
+def save_index(index: Index, path: str, *, blocks: bool = False) -> None:
+    """Store an index and its document frequencies. Postings are laid out by term, and a common term may span many files.
+
+    ``blocks`` adds what a search needs to leave postings unread; it pays for an index that is searched more often than it is built.
+    """
     spark = index.postings.sparkSession
-    index.docs.write.parquet(f"{path}/docs")
-    blocked(index.postings).write.partitionBy("tier").parquet(f"{path}/postings")
-    blocks_of(spark.read.parquet(f"{path}/postings")).write.parquet(f"{path}/blocks")
-    spark.read.parquet(f"{path}/blocks").groupBy("term").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
+    read = lambda part: spark.read.parquet(f"{path}/{part}")
+    postings = index.postings
+    if index.words is None:
+        index.docs.write.parquet(f"{path}/docs")
+    else:
+        # Laying out the postings reads the documents twice; what they come from is computed once.
+        index.words.write.parquet(f"{path}/docs")
+        postings = _postings(read("docs"), index.attributes)
+    if not blocks:
+        postings.sortWithinPartitions("term", "doc_id").write.parquet(f"{path}/postings")
+        document_frequency(spark.read.schema(index.postings.schema).parquet(f"{path}/postings")).write.parquet(f"{path}/terms")
+        return
+    blocked(postings).write.partitionBy("tier").parquet(f"{path}/postings")
+    blocks_of(read("postings")).write.parquet(f"{path}/blocks")
+    read("blocks").groupBy("term").agg(F.sum("n").alias("df")).write.parquet(f"{path}/terms")
 
 
 def blocked(postings: DataFrame) -> DataFrame:
@@ -160,9 +168,10 @@ def document_frequency(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def load_index(spark: SparkSession, path: str, corpus: Corpus) -> Index:
-    docs, postings, terms, blocks = (spark.read.parquet(f"{path}/{part}") for part in ("docs", "postings", "terms", "blocks"))
-    return Index(docs, postings, corpus.attributes, terms, blocks)
+def load_index(spark: SparkSession, path: str, corpus: Corpus, *, blocks: bool = False) -> Index:
+    """A stored index; with ``blocks`` if they were stored with it."""
+    docs, postings, terms = (spark.read.parquet(f"{path}/{part}") for part in ("docs", "postings", "terms"))
+    return Index(docs.select("doc_id", "title", "doc_len"), postings, corpus.attributes, terms, spark.read.parquet(f"{path}/blocks") if blocks else None)
 
 
 def refresh_index(index: Index, changed: Index) -> Index:
@@ -237,7 +246,8 @@ def _worthwhile(index: Index, hits: DataFrame, weighed: DataFrame, avg_len: Colu
     weighed.join(index.blocks, "term").withColumn("bound", _part(avg_len)).write.parquet(path)
     blocks = hits.sparkSession.read.parquet(path)
     place = F.row_number().over(W.partitionBy("query_id", "term").orderBy(F.desc("bound"), "least_id", "block"))
-    first = blocks.withColumn("place", place).where(F.col("place") <= FIRST_BLOCKS)
+    blocks.withColumn("place", place).where(F.col("place") <= FIRST_BLOCKS).write.parquet(f"{path}-first")
+    first = hits.sparkSession.read.parquet(f"{path}-first")
     reached = _best(_scores(hits, first, ["tier", "term", "block"], avg_len), k).where(F.col("rank") == k).select(
         "query_id", F.col("score").alias("reached"), F.col("doc_id").alias("reached_id"))
     greatest = blocks.groupBy("query_id", "term").agg(F.max("bound").alias("greatest"))

@@ -17,9 +17,11 @@ from lectern.operators import (
     aggregates, cost, extract, metrics, quality, reports, runlog, search, upsert, views,
 )
 from lectern.plans import jobs
+from lectern.plans.rollups import Rollups
 from lectern.schemas import DQ_ISSUES_SCHEMA, ENTITIES, GRADE_BANDS, RUN_EVENT_SCHEMA
 from lectern.session import scratch_dir, use_utc
 from lectern.sources import landing
+from lectern.sources.changes import Consumer
 from lectern.sources.store import Lake
 from lectern.sources.testbed import AS_OF, NOW, ORDERS_AS_OF, Testbed
 from lectern.streaming import streams
@@ -502,11 +504,11 @@ def _questions(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(text.alias("query_id"), text.alias("query")).distinct()
 
 
-def _stored(tb: Testbed, index: search.Index, corpus: search.Corpus) -> search.Index:
+def _stored(tb: Testbed, index: search.Index, corpus: search.Corpus, *, blocks: bool = False) -> search.Index:
     """The index as a search job finds it: written once and read back."""
     path = scratch_dir(tb.spark, "index")
-    search.save_index(index, path)
-    return search.load_index(tb.spark, path, corpus)
+    search.save_index(index, path, blocks=blocks)
+    return search.load_index(tb.spark, path, corpus, blocks=blocks)
 
 
 @register("search_students")
@@ -530,6 +532,14 @@ def _(tb):
                          _questions(source, "activity_type", "device_type"))
 
 
+@register("search_pruned")
+def _(tb):
+    """The answers of ``search_activity`` from an index with blocks, of which those that cannot matter stay unread."""
+    source, corpus = search.activity_search_source(tb.activity()), search.ACTIVITY_CORPUS
+    return search.search(_stored(tb, search.build_index(source, corpus), corpus, blocks=True),
+                         _questions(source, "activity_type", "device_type"))
+
+
 @register("search_refreshed")
 def _(tb):
     corpus = search.COURSE_CORPUS
@@ -572,6 +582,65 @@ def _(tb):
         "percentage", "late_flag", "updated_at")
 
 
+def _landed(tb: Testbed, lake: Lake, entity: str, batch: str, now: datetime, **part) -> None:
+    landing.land_envelopes(lake, entity, tb.raw(entity, helpers=HELPERS.get(entity, ()), ingested_at=now, **part), batch)
+    jobs.process_entity(lake, entity, now=now)
+
+
+@register("stream_changes_enrollments")
+def _(tb):
+    """What the second of two batches changed, as a consumer gets it: new rows, and changed rows before and after."""
+    lake, spec, seen = _lake(tb, "changes"), ENTITIES["enrollments"], []
+    log, reader = jobs.change_log(lake, "enrollments"), Consumer(lake, "query")
+    _landed(tb, lake, "enrollments", "first", NOW, where=STORED["enrollments"])
+    reader.run({spec.table: log}, lambda spans: None)
+    landing.land_envelopes(lake, "enrollments", resent_raw(tb, "enrollments"), "second")
+    jobs.process_entity(lake, "enrollments", now=LATER)
+    reader.run({spec.table: log}, lambda spans: seen.append(spans[spec.table]))
+    return log.read(*seen[0]).select("change", *spec.fields)
+
+
+@register("job_insert_activity")
+def _(tb):
+    """Activity that a second batch sends again is not stored again; filters tell which months have to be asked."""
+    lake = _lake(tb, "activity")
+    _landed(tb, lake, "activity_logs", "first", NOW, where=STORED["activity_logs"])
+    _landed(tb, lake, "activity_logs", "second", LATER, where=RESENT["activity_logs"], changes=CHANGES["activity_logs"])
+    return jobs.curated(lake, "activity_logs").select(*ENTITIES["activity_logs"].fields)
+
+
+def _follow(tb: Testbed, facts: tuple[str, ...], refresh: Callable[[Rollups], int]) -> Lake:
+    """Rollups of a stored part, brought up to date after two batches: changed enrollments in that part, and all rows that a feed sends
+    again, as they are in the tables."""
+    lake = _lake(tb, "incremental")
+    for dim in ("students", "courses", "assignments"):
+        lake.replace(f"curated/{ENTITIES[dim].table}", tb.curated(dim))
+    for entity in facts:
+        spec = ENTITIES[entity]
+        lake.replace(f"curated/{spec.table}", stored_target(tb, entity).withColumn("part", jobs.month_of(spec.partition_time)), "part")
+    refresh(Rollups(lake))
+    again = f"({STORED['enrollments']}) AND ({RESENT['enrollments']})"
+    _landed(tb, lake, "enrollments", "second", LATER, where=again, changes=CHANGES["enrollments"])
+    for entity in facts:
+        _landed(tb, lake, entity, "third", LATER, where=RESENT[entity])
+    refresh(Rollups(lake))
+    return lake
+
+
+@register("job_incremental")
+def _(tb):
+    """Student and course performance that followed the changes."""
+    lake = _follow(tb, ("enrollments", "submissions", "activity_logs"), lambda r: r.refresh_performance(now=LATER))
+    return jobs.performance(lake).drop("calculated_at")
+
+
+@register("job_incremental_courses")
+def _(tb):
+    """Course analytics that followed the changes, in which scores moved and moved back."""
+    lake = _follow(tb, ("enrollments", "activity_logs"), lambda r: r.refresh_analytics(now=LATER))
+    return _flat_grades(jobs.analytics(lake)).drop("calculated_at")
+
+
 @register("job_quality_checks")
 def _(tb):
     lake = _lake(tb, "quality")
@@ -613,8 +682,7 @@ def _(tb):
 def _(tb):
     """For each customer segment a run is asked for; the log says so."""
     lake = _lake(tb, "triggered")
-    for segment in [r[0] for r in tb.students().select("major").distinct().collect()]:
-        jobs.log_trigger(lake, now=NOW, run_type=segment)
+    jobs.log_triggers(lake, tb.students().select(F.col("major").alias("run_type")).distinct(), now=NOW)
     return lake.read("audit/run_events", RUN_EVENT_SCHEMA).select("run_type", "status", "event_at", "records_processed")
 
 

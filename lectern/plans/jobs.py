@@ -328,6 +328,24 @@ def log_trigger(lake: Lake, *, now: datetime, run_type: str = "CONTAINER_ETL") -
     lake.append("audit/run_events", event)
 
 
+def log_triggers(lake: Lake, types: DataFrame, *, now: datetime) -> None:
+    """Note a run for each row of ``types`` (run_type), all in one write."""
+    events = types.select(
+        F.expr("uuid()").alias("run_id"), "run_type", F.lit("TRIGGERED").alias("status"), F.lit(now).cast("timestamp_ntz").alias("event_at"),
+        F.lit(0).cast("bigint").alias("records_processed"), F.lit(None).cast("string").alias("error_message"), F.lit(None).cast("string").alias("metadata"))
+    lake.append("audit/run_events", events)
+
+
+def performance(lake: Lake) -> DataFrame:
+    """The stored student and course rollup."""
+    return lake.read(f"curated/{PERFORMANCE}", PERFORMANCE_SCHEMA).select(*[c.split()[0] for c in PERFORMANCE_SCHEMA.split(", ")])
+
+
+def analytics(lake: Lake) -> DataFrame:
+    """The stored course rollup."""
+    return lake.read(f"curated/{ANALYTICS}", COURSE_ANALYTICS_SCHEMA).drop("bucket")
+
+
 def _nothing(lake: Lake, *, now: datetime) -> int:
     """Enrollments, submissions and activity are complete once loaded."""
     return 0

@@ -185,6 +185,18 @@ def _merge(entity: str, profile: str = "full", columns: list[str] | None = None)
         f"ON t.{spec.key} = s.{spec.key})", entity, *dims)
 
 
+def _changes(entity: str) -> str:
+    """The difference of the stored part and what the feed makes of it, row by row."""
+    spec, updated = ENTITIES[entity], UPDATED[entity, "full"]
+    after = ", ".join(f"{'s' if c in updated else 'o'}.{c}" for c in spec.fields)
+    return with_ctes(f"""WITH old AS (SELECT {_typed(entity)} FROM {entity} WHERE {STORED[entity]}),
+      sent AS (SELECT {_typed(entity)} FROM ({_resent(entity)})),
+      again AS (SELECT o.{spec.key} FROM old o JOIN sent s ON o.{spec.key} = s.{spec.key})
+      SELECT 'before' AS change, * FROM old WHERE {spec.key} IN (SELECT * FROM again)
+      UNION ALL SELECT 'after', {after} FROM old o JOIN sent s ON o.{spec.key} = s.{spec.key}
+      UNION ALL SELECT 'insert', * FROM sent WHERE {spec.key} NOT IN (SELECT * FROM again)""", entity)
+
+
 # --- rollups ------------------------------------------------------------------------------------
 
 PERFORMANCE_INPUTS = ("students", "courses", "assignments", "enrollments", "submissions", "activity_logs")
@@ -747,6 +759,7 @@ def oracle_sql() -> dict[str, str]:
     activity_docs = f"SELECT activity_id AS doc_id, activity_type AS title, {TEXTS['activity_logs']} AS txt FROM activity_logs"
     activity_asked = asked.format(_words("activity_type", "device_type"), "activity_logs")
     sql["search_activity"] = _bm25(activity_docs, activity_asked, "activity_logs")
+    sql["search_pruned"] = sql["search_activity"]
     advanced = TEXTS["courses"].replace("course_name", "name_now")
     name_now = f"CASE WHEN {RESENT['courses']} THEN course_name || ' advanced' ELSE course_name END"
     sql["search_refreshed"] = _bm25(
@@ -795,6 +808,13 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_rejected_rows"] = with_ctes(
         f"SELECT 'feed-' || activity_id AS raw_id, 'MALFORMED_JSON' AS reason, 'activity_logs' AS entity FROM activity_logs WHERE {QUIZ_IDS}",
         "activity_logs")
+    sql["stream_changes_enrollments"] = _changes("enrollments")
+    sql["job_insert_activity"] = with_ctes(
+        f"WITH old AS (SELECT {fields} FROM activity_logs WHERE {STORED['activity_logs']}), "
+        f"sent AS (SELECT {fields} FROM ({_resent('activity_logs')})) "
+        "SELECT * FROM old UNION ALL SELECT * FROM sent WHERE activity_id NOT IN (SELECT activity_id FROM old)", "activity_logs")
+    sql["job_incremental"] = _on_performance(f"SELECT {PERFORMANCE_OUT} FROM perf")
+    sql["job_incremental_courses"] = sql["course_analytics"].replace(f", {NOW_SQL} AS calculated_at", "")
     sql["stream_activity_dedup"] = with_ctes(f"SELECT {fields} FROM activity_logs", "activity_logs")
     sql["stream_hourly_spike"] = with_ctes(
         "WITH w AS (SELECT * FROM warehouse_metering WHERE warehouse_name LIKE 'DEMO_%') "
