@@ -5,8 +5,12 @@ two tokens may stand side by side follows from the order in which the bytes at t
 prefix of a text has one last token, and reading bytes from left to right needs only the starts that some token can still
 reach. A state holds those starts, each with the bytes read since and the tokens not yet certain; a transition reads a
 byte, extends the starts, and emits the tokens on which all starts agree. No start is further back than the longest token, which bounds
-the lookahead. States and transitions are made when first needed; a piece adds one state at most, so what is read often is soon
-known throughout and what comes once costs little memory. When there are too many states the table starts anew.
+the lookahead. States and transitions are made when first needed.
+
+The distinct new pieces of a slice of texts are read together, byte by byte: a state is made once for all pieces that share what was read, its
+starts lie in flat arrays, and all transitions of a byte position are one round of array operations. The table of states is left when the
+slice is done; what stays are the ids of pieces and words. A piece longer than ``LONG`` bytes is read alone, by the same transitions
+in streaming form; there a piece adds one state at most, and when there are too many states the table starts anew.
 
 Decoding joins the tokens' bytes; text is given out by an incremental UTF-8 machine that holds back an unfinished character.
 
@@ -34,8 +38,10 @@ from pyspark.sql import types as T
 
 from lectern.llm.runtime import hold, ship
 
-#: Distinct pieces and words, and states, that a Python worker keeps.
-KEPT, STATES = 180_000, 300_000
+#: Distinct pieces and words that a Python worker keeps beyond those of a slice, and states of the streaming form.
+KEPT, STATES = 180_000, 50_000
+#: Bytes of the longest piece that is read together with others, pieces in one round, and pairs of tokens kept.
+LONG, ROUND, PAIRS = 64, 40_000, 2_000_000
 #: Bytes of text, or of ids, that a task works on at a time.
 SLICE = 2_000_000
 NEVER = 1 << 62
@@ -98,12 +104,23 @@ class Transducer:
                 token[node] = number
         #: (node, byte) to the next node, the token that ends there, and whether longer ones go on.
         self.child = {k: (to, token[to], inner[to]) for k, to in child.items()}
+        self._flatten(child, token, inner)
         self.spines: dict[tuple[bytes, int], list[tuple[bytes, float]]] = {}
         self.pairs: dict[int, bool] = {}
-        self.pieces = _Kept(self._piece)
-        self.words = _Kept(self._word)
+        self.pieces, self.words = _Kept(), _Kept()
         self._forget()
 
+    def _flatten(self, child: dict[int, int], token: list, inner: list[bool]) -> None:
+        """The trie as arrays: a row of 256 next nodes for each node that goes on, -1 where there is none."""
+        self.row = np.where(inner, np.cumsum(inner) - 1, -1).astype(np.int32)
+        self.next = np.full((sum(inner), 256), -1, np.int32)
+        keys = np.fromiter(child.keys(), np.int64, len(child))
+        self.next[self.row[keys >> 8], keys & 255] = np.fromiter(child.values(), np.int32, len(child))
+        self.ends = np.array([-1 if t is None else t for t in token], np.int64)
+        self.size = np.zeros(max(self.names) + 1, np.int64)
+        self.size[list(self.names)] = [len(t) for t in self.names.values()]
+        self.known, self.good = np.empty(0, np.int64), np.empty(0, bool)
+
     def _forget(self) -> None:
         start = (-1, ((0, ()),))
         self.states, self.index, self.moves = [start], {start: 0}, [{}]
@@ -141,11 +158,98 @@ class Transducer:
                 i += 1
             else:
                 j += 1
+        return out
+
+    def _pair(self, a: int, b: int) -> bool:
         if len(self.pairs) >= 2 * STATES:
             self.pairs.clear()
-        self.pairs[a << 32 | b] = out
+        out = self.pairs[a << 32 | b] = self._fits(a, b)
         return out
 
+    def _fit(self, keys: np.ndarray) -> np.ndarray:
+        """``_fits`` for many pairs; a pair is the first token times 2**32 plus the second."""
+        at = np.searchsorted(self.known, keys)
+        at[at == len(self.known)] = 0
+        new = self.known[at] != keys if len(self.known) else np.ones(len(keys), bool)
+        if new.any():
+            fresh = np.unique(keys[new])
+            if len(self.known) + len(fresh) > PAIRS:
+                # Those of this call are found again, the others are asked for anew.
+                fresh, self.known, self.good = np.unique(keys), self.known[:0], self.good[:0]
+            fits = np.array([self._fits(k >> 32, k & 0xFFFFFFFF) for k in fresh.tolist()], bool)
+            every, good = np.concatenate([self.known, fresh]), np.concatenate([self.good, fits])
+            order = np.argsort(every, kind="stable")
+            self.known, self.good = every[order], good[order]
+            at = np.searchsorted(self.known, keys)
+        return self.good[at]
+
+    def run_many(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces, each of 1 to ``LONG`` bytes."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        width = int(lengths.max())
+        padded = np.array(pieces, f"S{width}")
+        order = np.argsort(padded, kind="stable")
+        lengths, table = lengths[order], padded[order].view(np.uint8).reshape(-1, width)
+        same = np.ones(len(pieces), bool)
+        same[0] = False
+        # Token that ends after each byte of each piece.
+        last = np.empty((len(pieces), width), np.int64)
+        # One state before the first byte: one start, at the root, after no token.
+        state = np.zeros(len(pieces), np.int64)
+        first, count, rows, before = np.zeros(1, np.int64), np.ones(1, np.int64), np.zeros(1, np.int32), np.full(1, -1, np.int64)
+        for column in range(width):
+            same[1:] &= table[1:, column] == table[:-1, column]
+            here = np.flatnonzero(lengths > column)
+            # Sorted pieces with the same bytes so far are neighbours and share a state.
+            group = np.cumsum(~same)[here]
+            opens = np.r_[True, group[1:] != group[:-1]]
+            one, of = here[opens], np.cumsum(opens) - 1
+            parent, byte = state[one], table[one, column]
+            number = count[parent]
+            whose = np.repeat(np.arange(len(one)), number)
+            at = np.arange(len(whose)) + np.repeat(first[parent] - (np.cumsum(number) - number), number)
+            to = self.next[rows[at], byte[whose]]
+            live = np.flatnonzero(to >= 0)
+            to, whose, prior = to[live], whose[live], before[at[live]]
+            token = self.ends[to]
+            ending = np.flatnonzero(token >= 0)
+            a, b = prior[ending], token[ending]
+            fits = a < 0
+            later = np.flatnonzero(~fits)
+            fits[later] = self._fit(a[later] << 32 | b[later])
+            chosen = ending[fits][::-1]
+            ends = np.full(len(one), -1, np.int64)
+            ends[whose[chosen]] = token[chosen]
+            last[here, column] = ends[of]
+            # The next states: starts whose token may go on, and a new one after the token that ends here.
+            on = np.flatnonzero(self.row[to] >= 0)
+            to, whose, prior = to[on], whose[on], prior[on]
+            count = np.bincount(whose, minlength=len(one)) + 1
+            first = np.cumsum(count) - count
+            rows, before = np.zeros(len(on) + len(one), np.int32), np.empty(len(on) + len(one), np.int64)
+            old, new = np.arange(len(on)) + whose, first + count - 1
+            rows[old], before[old], before[new] = self.row[to], prior, ends
+            state[here] = of
+        return self._emit(last, lengths, order)
+
+    def _emit(self, last: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> list[bytes]:
+        """At its end a piece has one start, so all its tokens are certain: each is the one that ends where the next begins."""
+        found, open_, at = [], np.arange(len(lengths)), lengths.copy()
+        number = np.zeros(len(lengths), np.int64)
+        while len(open_):
+            token = last[open_, at[open_] - 1]
+            found.append((open_, token))
+            number[open_] += 1
+            at[open_] -= self.size[token]
+            open_ = open_[at[open_] > 0]
+        ends = np.cumsum(number)
+        flat = np.empty(int(ends[-1]), "<u4")
+        for back, (which, token) in enumerate(found, 1):
+            flat[ends[which] - back] = token
+        data, cut = flat.tobytes(), np.empty((len(lengths), 2), np.int64)
+        cut[order, 0], cut[order, 1] = 4 * (ends - number), 4 * ends
+        return [data[i:j] for i, j in cut.tolist()]
+
     def _step(self, state: tuple, byte: int) -> tuple[tuple, tuple[int, ...]]:
         last, live = state
         starts, here, child, pairs = [], None, self.child, self.pairs
@@ -156,7 +260,7 @@ class Transducer:
             to, token, inner = found
             if here is None and token is not None:
                 before = pending[-1] if pending else last
-                if before < 0 or (pairs[k] if (k := before << 32 | token) in pairs else self._fits(before, token)):
+                if before < 0 or (pairs[k] if (k := before << 32 | token) in pairs else self._pair(before, token)):
                     here = (*pending, token)
             if inner:
                 starts.append((to, pending))
@@ -218,19 +322,44 @@ class Transducer:
         return out
 
     def encode(self, text: str) -> bytes:
-        """No piece reaches over a space that follows anything but white space: texts are cut there, and words kept by what follows."""
-        first, *words = _CUT.split(text) if _RUN.search(text) else text.split(" ")
-        return self._pieces_of(first) + b"".join(map(self.words.__getitem__, words))
+        return self.encode_many([text])[0]
 
-    def _word(self, word: str) -> bytes:
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """No piece reaches over a space that follows anything but white space: texts are cut there, and words kept by what follows."""
+        cut = [_CUT.split(t) if _RUN.search(t) else t.split(" ") for t in texts]
+        heads = [self.find(words.pop(0)) for words in cut]
+        words = self.words.lacking(set().union(*cut))
         # A space and letters are one piece; most words that come once are of this kind.
-        return self._piece(" " + word) if word.isalpha() else self._pieces_of(" " + word)
-
-    def _piece(self, piece: str) -> bytes:
-        return array("I", self.run(piece.encode())).tobytes()
+        parts = [(f" {w}",) if w.isalpha() else self.find(f" {w}") for w in words]
+        # Words of one piece are kept as words.
+        inner = self.pieces.lacking({p for group in (*heads, *parts) if group.__class__ is list for p in group})
+        ids = self._ids(list({*inner, *(group[0] for group in parts if group.__class__ is tuple)}))
+        self.pieces.update((p, ids[p]) for p in inner)
+        piece = self.pieces
+        self.words.update(
+            (w, ids[g[0]] if g.__class__ is tuple else b"".join([piece[p] for p in g])) for w, g in zip(words, parts, strict=True)
+        )
+        word = self.words.__getitem__
+        out = [b"".join((*map(piece.__getitem__, head), *map(word, rest))) for head, rest in zip(heads, cut, strict=True)]
+        self.pieces.age()
+        self.words.age()
+        return out
 
-    def _pieces_of(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.find(text)))
+    def _ids(self, pieces: list[str]) -> dict[str, bytes]:
+        out, short = {}, []
+        for piece in pieces:
+            data = piece.encode()
+            whole = self.ranks.get(data)
+            if whole is not None:
+                out[piece] = array("I", (whole,)).tobytes()
+            elif len(data) <= LONG:
+                short.append((piece, data))
+            else:
+                out[piece] = array("I", self.run(data)).tobytes()
+        for i in range(0, len(short), ROUND):
+            part = short[i : i + ROUND]
+            out.update(zip((p for p, _ in part), self.run_many([d for _, d in part]), strict=True))
+        return out
 
     def decode(self, ids: bytes) -> Iterator[bytes]:
         every = np.frombuffer(ids, "<u4")
@@ -239,21 +368,27 @@ class Transducer:
 
 
 class _Kept(dict):
-    """Results by text, made when missing. The older half goes when there are too many; what is used stays."""
-
-    def __init__(self, make):
-        self.make, self.older = make, {}
-
-    def __missing__(self, text: str) -> bytes:
-        out = self.older.get(text)
-        if out is None:
-            out = self.make(text)
-        if len(text) <= 64:
-            if len(self) >= KEPT:
-                self.older = dict(self)
-                self.clear()
-            self[text] = out
-        return out
+    """Results by text. The older half goes when there are too many; what is used stays."""
+
+    def __init__(self):
+        self.older, self.long = {}, []
+
+    def lacking(self, texts: set[str]) -> list[str]:
+        """Those of ``texts`` that are not known; the known ones are taken over from the older half."""
+        new, older = texts - self.keys(), self.older
+        found = new & older.keys()
+        self.update((t, older[t]) for t in found)
+        new -= found
+        self.long = [t for t in new if len(t) > LONG]
+        return list(new)
+
+    def age(self) -> None:
+        """Between slices, so that all of a slice's texts are there while it is put together."""
+        for text in self.long:
+            del self[text]
+        if len(self) >= KEPT:
+            self.older = dict(self)
+            self.clear()
 
 
 class Utf8Stream:
@@ -333,7 +468,7 @@ def encode_batches(tokenizer: Tokenizer, batches: Iterator[pa.RecordBatch]) -> I
     """Batches with ``ids`` in place of ``text``."""
     machine = tokenizer.machine()
     for part in _slices(batches, "text"):
-        ids = [machine.encode(t) if t else b"" for t in part.column("text").to_pylist()]
+        ids = machine.encode_many([t or "" for t in part.column("text").to_pylist()])
         yield _with(part, "ids", ids, pa.binary(), "text")
 
 
