@@ -192,7 +192,7 @@ FROM turns GROUP BY conv_id
 _MIX = r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+         md5(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', md5(coalesce(text, '')))) AS key
   FROM documents
 ), per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

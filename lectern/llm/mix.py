@@ -9,12 +9,12 @@ Positions: a schedule gives each source's weight as a piecewise linear function
 inverting it at the number of words a source has handed out gives the time at which a document is read. Documents sorted
 by that time are the training order.
 
-The cumulative count does not run over a whole source in one task: each source is cut into 4096 ranges of the order key, ranges are summed
-first, and a window runs inside a range only. The table of sources has one row per distinct source; it alone is ordered in
+The cumulative count does not run over a whole source in one task: each source is cut into 65,536 ranges of the order key, ranges are summed
+first, and a window runs inside a range only. The key is a digest of doc_id and text, so rows that share a doc_id are dealt out too. The table of sources has one row per distinct source; it alone is ordered in
 one task.
 
 Defined results: null text has size 0; size 0 is never taken; null sources are one source; rows with the same
-doc_id are separate documents, in order of size; an empty table gives an empty plan; other columns travel in the struct ``doc``.
+doc_id are separate documents, each with a place of its own by its text; rows alike in doc_id and text are interchangeable; an empty table gives an empty plan; other columns travel in the struct ``doc``.
 """
 
 from __future__ import annotations
@@ -78,10 +78,11 @@ def plan_mix(
     docs: DataFrame, *, weights: Sequence[int] = WEIGHTS, cap: int = CAP, schedules=SCHEDULES, seed: str = ""
 ) -> DataFrame:
     """doc (struct of all columns), doc_id, size, source_size, target, taken, start (words its source hands out before it), turn."""
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                         F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
     rows = docs.select(
         F.struct("*").alias("doc"), "doc_id", F.col("source"), word_count(F.col("text")).alias("size"), key.alias("key"),
-        F.conv(F.substring(key, 1, 3), 16, 10).cast("int").alias("range"),
+        F.conv(F.substring(key, 1, 4), 16, 10).cast("int").alias("range"),
     )
     # Texts are read once for the sums of (source, range); everything before the last join works on these.
     sums = stored(rows.groupBy("source", "range").agg(F.sum("size").alias("size")), "mix-sums")

@@ -301,6 +301,17 @@ def test_cascade_is_exact(spark):
     assert len(levels) > 2 and got.exceptAll(listed).isEmpty() and listed.exceptAll(got).isEmpty()
 
 
+def test_one_doc_id_on_a_third_of_the_rows_is_dealt_out(spark):
+    rows = [(7 if i % 3 == 0 else i, f"w{i} " * (i % 5), "en", "s", 1) for i in range(900)]
+    frame = spark.createDataFrame(rows, DOCS)
+    plan = mix.plan_mix(frame)
+    hot = {r["start"] for r in plan.where("doc_id = 7 and size > 0").collect()}
+    assert len(hot) == sum(1 for doc_id, text, *_ in rows if doc_id == 7 and text)
+    key = F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.md5(F.col("text").cast("binary"))))
+    assert frame.where("doc_id = 7").select(F.substring(key, 1, 4)).distinct().count() > 200
+    assert plan.exceptAll(mix.plan_mix(frame.repartition(5))).isEmpty()
+
+
 # op7, op8
 
 
@@ -318,6 +329,17 @@ def test_bpe_equals_the_library_on_odd_texts(tokens):
         assert "".join(bpe.decode_text(machine, ids)) == text
 
 
+def test_pieces_read_together_equal_pieces_read_alone(tokens, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdeéß\x00.中") for _ in range(rng.randint(1, 30))) for _ in range(40)) for _ in range(60)]
+    together = bpe.Transducer(tokens.merges.value, tokens.pattern).encode_many(texts)
+    for limit, rounds in ((0, 40_000), (9, 7)):
+        monkeypatch.setattr(bpe, "LONG", limit)
+        monkeypatch.setattr(bpe, "ROUND", rounds)
+        machine = bpe.Transducer(tokens.merges.value, tokens.pattern)
+        assert [machine.encode(t) for t in texts] == together
+
+
 def test_utf8_stream_by_single_bytes():
     text = "aé中😀" * 3
     stream = bpe.Utf8Stream()
@@ -330,6 +352,7 @@ def test_state_tables_may_start_anew(tokens, monkeypatch):
     monkeypatch.setattr(bpe, "STATES", 5)
     monkeypatch.setattr(bpe, "KEPT", 3)
     reference = tiktoken.Encoding("own", pat_str=tokens.pattern, mergeable_ranks=tokens.merges.value.ranks, special_tokens={})
+    monkeypatch.setattr(bpe, "PAIRS", 4)
     machine = bpe.Transducer(tokens.merges.value, tokens.pattern)
     text = "Thonst aonthrein thedtiou anon, Thonst aonthrein. Les eaux entrent"
     assert np.frombuffer(machine.encode(text), "<u4").tolist() == reference.encode_ordinary(text)
