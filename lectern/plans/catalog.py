@@ -783,6 +783,36 @@ def _(tb):
     return tb.spark.read.parquet(f"{out}/rows")
 
 
+def _spend(tb: Testbed) -> Lake:
+    """Usage that arrives out of order: every third event first, the others in a second landing."""
+    lake, landed = _lake(tb, "spend"), scratch_dir(tb.spark, "landing")
+    columns = Testbed.metering_columns("warehouse_metering")
+    usage = tb.table("events").select("event_id", *[F.expr(e).alias(c) for c, e in columns.items()])
+    usage = usage.withColumn("start_time", F.col("start_time").cast("timestamp"))
+    for first in (True, False):
+        usage.where((F.col("event_id") % 3 == 0) == F.lit(first)).drop("event_id").write.mode("append").parquet(landed)
+        stream = tb.spark.readStream.schema(usage.drop("event_id").schema).parquet(landed)
+        streams.stream_spend(stream, lake, "spend", checkpoint=f"{lake.root}/checkpoint").awaitTermination()
+    return lake
+
+
+_SPEND_COLS = ("usage_hour", "warehouse_name", "CAST(estimated_cost_usd AS double) AS estimated_cost_usd", "spike", "state")
+
+
+@register("stream_spend_open")
+def _(tb):
+    """Every hour so far, the last ones provisional."""
+    return streams.spend_hours(_spend(tb), "spend").selectExpr(*_SPEND_COLS)
+
+
+@register("stream_spend_closed")
+def _(tb):
+    """Every hour, closed at the end of the input."""
+    lake = _spend(tb)
+    streams.end_spend(lake, "spend")
+    return streams.spend_hours(lake, "spend").selectExpr(*_SPEND_COLS)
+
+
 @register("stream_search_refresh")
 def _(tb):
     """Documents that come again, changed or as they were, replace what the index had of them."""

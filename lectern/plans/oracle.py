@@ -821,6 +821,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT date_trunc('hour', start_time) AS usage_hour, warehouse_name, {dbl('sum(credits_used) * 3')} AS estimated_cost_usd FROM w GROUP BY 1, 2 "
         "HAVING sum(credits_used) * 3 > 10 AND usage_hour + INTERVAL '1' HOUR <= (SELECT max(start_time) FROM w) - INTERVAL '1' HOUR",
         "warehouse_metering")
+    for state in ("open", "closed"):
+        closed = "true" if state == "closed" else "usage_hour + INTERVAL '1' HOUR <= (SELECT max(start_time) FROM w) - INTERVAL '1' HOUR"
+        sql[f"stream_spend_{state}"] = with_ctes(
+            "WITH w AS (SELECT * FROM warehouse_metering WHERE warehouse_name LIKE 'DEMO_%') "
+            f"SELECT usage_hour, warehouse_name, {dbl('usd')} AS estimated_cost_usd, usd > 10 AS spike, "
+            f"CASE WHEN {closed} THEN 'CLOSED' ELSE 'OPEN' END AS state FROM (SELECT date_trunc('hour', start_time) AS usage_hour, warehouse_name, "
+            "sum(credits_used) * 3 AS usd FROM w GROUP BY 1, 2)", "warehouse_metering")
     now_text = (f"CASE WHEN {AGAIN['sent']} AND {AGAIN['emptied']} THEN NULL WHEN {AGAIN['sent']} AND {AGAIN['changed']} "
                 f"THEN {TEXTS['activity_logs']} || ' again' ELSE {TEXTS['activity_logs']} END")
     sql["stream_search_refresh"] = _bm25(

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from lectern.operators import search, upsert
 from lectern.operators.cost import CREDIT_RATE, HOURLY_LIMIT, NAME_PATTERN
 from lectern.plans.jobs import load_rows, staging_path
 from lectern.schemas import RAW_SCHEMA
+from lectern.sources.segments import Segments
 from lectern.sources.store import Lake
 
 
@@ -88,6 +89,81 @@ def stream_hourly_spike(metering: DataFrame, path: str, *, checkpoint: str, limi
     ).trigger(availableNow=True).start()
 
 
+#: What is stored of an hour: its credits after ``version`` revisions. ``day`` is the folder.
+SPEND_SCHEMA = "usage_hour timestamp_ntz, warehouse_name string, credits decimal(38,9), version bigint, day string"
+
+
+def _revised(rows: DataFrame) -> DataFrame:
+    """The last revision of every hour."""
+    last = F.max_by(F.struct("credits", "version"), "version").alias("last")
+    return rows.groupBy("usage_hour", "warehouse_name", "day").agg(last).select("usage_hour", "warehouse_name", "last.credits", "last.version", "day")
+
+
+def stream_spend(metering: DataFrame, lake: Lake, name: str, *, checkpoint: str, like: str = NAME_PATTERN) -> StreamingQuery:
+    """Keep the credits of every warehouse and clock hour current, however late or out of order rows come.
+
+    A micro-batch is summed by hour; each hour it touches gets a next revision, from its own rows and the last revision, which is read from
+    the folders of the touched days. Revisions are segments merged by levels, so an hour is rewritten once per level. The list that names a
+    new segment also notes the micro-batch: one that runs again finds itself noted and adds nothing. Rows without a time are ignored.
+    """
+    stream, table = f"stream-{zlib.crc32(checkpoint.encode()):08x}", Segments(lake, name)
+    keys = ["usage_hour", "warehouse_name"]
+
+    def revise(batch: DataFrame, batch_id: int) -> None:
+        info = table.info()
+        if info.get(stream, -1) < batch_id:
+            hour = F.date_trunc("hour", "start_time").cast("timestamp_ntz")
+            path = f"{table.base}/staging/{stream}"
+            batch.where(F.col("warehouse_name").like(like) & F.col("start_time").isNotNull()).groupBy(
+                hour.alias("usage_hour"), "warehouse_name", F.date_format(hour, "yyyy-MM-dd").alias("day")
+            ).agg(
+                F.sum("credits_used").cast("decimal(38,9)").alias("credits"), F.max(F.col("start_time").cast("timestamp_ntz")).alias("latest")
+            ).write.mode("overwrite").parquet(path)
+            hours = lake.spark.read.parquet(path)
+            # One row for each day that the micro-batch touches.
+            days = hours.groupBy("day").agg(F.max("latest").alias("latest")).collect()
+            if not days:
+                table.note(**{stream: batch_id})
+                return
+            before = _revised(table.read(SPEND_SCHEMA, column="day", values=[r.day for r in days])).select(
+                *keys, F.col("credits").alias("old_credits"), F.col("version").alias("old_version"))
+            credits = F.coalesce(F.col("credits"), F.lit(0)) + F.coalesce(F.col("old_credits"), F.lit(0))
+            revised = hours.join(before, keys, "left").select(
+                *keys, credits.cast("decimal(38,9)").alias("credits"),
+                (F.coalesce(F.col("old_version"), F.lit(0)) + 1).cast("bigint").alias("version"), "day")
+            seen = max([r.latest.isoformat() for r in days] + ([info["seen"]] if "seen" in info else []), key=datetime.fromisoformat)
+            table.add(revised, f"{stream}-{batch_id}", "day", info={stream: batch_id, "seen": seen, "ended": False})
+        table.merge(SPEND_SCHEMA, _revised, "day")
+
+    return metering.writeStream.foreachBatch(revise).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def end_spend(lake: Lake, name: str) -> None:
+    """Nothing more will come: all hours are closed, until something does come."""
+    Segments(lake, name).note(ended=True)
+
+
+def spend_hours(lake: Lake, name: str, *, delay: timedelta = timedelta(hours=1), limit: Decimal = HOURLY_LIMIT,
+                rate: Decimal = CREDIT_RATE) -> DataFrame:
+    """usage_hour, warehouse_name, estimated_cost_usd, version, spike (more than ``limit``) and state of every hour.
+
+    An hour is OPEN, its cost provisional, until a time ``delay`` past its end was seen or the input has ended; then it is CLOSED.
+    A row that comes later still is counted and raises the version.
+    """
+    table = Segments(lake, name)
+    info = table.info()
+    usd = F.col("credits") * F.lit(rate)
+    if info.get("ended"):
+        closed = F.lit(True)
+    elif "seen" in info:
+        closed = F.col("usage_hour") <= F.lit((datetime.fromisoformat(info["seen"]) - delay - timedelta(hours=1)).isoformat(" ")).cast("timestamp_ntz")
+    else:
+        closed = F.lit(False)
+    return _revised(table.read(SPEND_SCHEMA)).select(
+        "usage_hour", "warehouse_name", usd.alias("estimated_cost_usd"), "version",
+        F.coalesce(usd > F.lit(limit), F.lit(False)).alias("spike"), F.when(closed, "CLOSED").otherwise("OPEN").alias("state"))
+
+
 def stream_index(source: DataFrame, corpus: search.Corpus, lake: Lake, name: str, *, checkpoint: str,
                  order: Iterable[str]) -> StreamingQuery:
     """Keep a stored index current with the documents of every micro-batch.

@@ -8,6 +8,7 @@ from lectern.operators import extract, search, upsert
 from lectern.plans import jobs
 from lectern.schemas import ENTITIES, RAW_SCHEMA
 from lectern.sources import landing
+from lectern.sources.segments import Segments
 from lectern.sources.store import Lake
 from lectern.streaming import streams
 
@@ -73,6 +74,60 @@ def test_rejected_rows_of_a_stream_are_noted(spark, tmp_path, folder):
     assert lake._children(f"{lake.root}/staging/students") == []
 
 
+def test_spend_of_late_hours_is_revised(spark, tmp_path):
+    schema, path = "warehouse_name string, start_time timestamp, credits_used decimal(18,6)", str(tmp_path / "in")
+    lake, sent = Lake(spark, str(tmp_path / "lake")), []
+    at = lambda day, hour, minute=0: datetime(2024, 1, day, hour, minute)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(path)
+        streams.stream_spend(stream, lake, "spend", checkpoint=str(tmp_path / "c")).awaitTermination()
+
+    def send(*rows):
+        sent.extend(rows)
+        spark.createDataFrame([(w, t, Decimal(c)) for w, t, c in rows], schema).coalesce(1).write.mode("append").parquet(path)
+        run()
+
+    def hours():
+        return {(r.warehouse_name, r.usage_hour): (r.estimated_cost_usd, r.version, r.spike, r.state) for r in streams.spend_hours(lake, "spend").collect()}
+
+    send(("DEMO_A", at(1, 9, 5), "1"), ("DEMO_A", at(1, 12, 30), "2"), ("OTHER", at(1, 9), "9"), ("DEMO_A", None, "5"))
+    assert hours() == {("DEMO_A", at(1, 9)): (3, 1, False, "CLOSED"), ("DEMO_A", at(1, 12)): (6, 1, False, "OPEN")}
+    # The open hour grows, a closed one is corrected, and an older day comes last.
+    send(("DEMO_A", at(1, 12, 59), "2"), ("DEMO_A", at(1, 9, 59), "3"))
+    assert hours() == {("DEMO_A", at(1, 9)): (12, 2, True, "CLOSED"), ("DEMO_A", at(1, 12)): (12, 2, True, "OPEN")}
+    # A micro-batch that runs again, since its commit was lost, adds nothing.
+    for found in (tmp_path / "c" / "commits").iterdir():
+        if found.name.strip(".").split(".")[0] == "1":
+            found.unlink()
+    run()
+    assert hours()["DEMO_A", at(1, 9)] == (12, 2, True, "CLOSED")
+    for i in range(6):
+        send(("DEMO_B", at(1 + i % 3, 10, i), "-0.5"), ("DEMO_A", at(1, 12, i), "1"))
+    assert len(Segments(lake, "spend").live()) <= 6
+    streams.end_spend(lake, "spend")
+    got = hours()
+    assert {s[3] for s in got.values()} == {"CLOSED"}
+    want = {}
+    for w, t, c in sent:
+        if w.startswith("DEMO_") and t:
+            key = (w, t.replace(minute=0))
+            want[key] = want.get(key, 0) + 3 * Decimal(c)
+    assert {k: v[0] for k, v in got.items()} == want
+    # What comes after the end opens the last hours again.
+    send(("DEMO_A", at(3, 10, 30), "1"),)
+    assert hours()["DEMO_A", at(3, 10)][3] == "OPEN"
+
+
+def test_spend_of_no_input(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    schema = "warehouse_name string, start_time timestamp, credits_used decimal(18,6)"
+    spark.createDataFrame([("X", datetime(2024, 1, 1), Decimal(1))], schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    streams.stream_spend(stream, lake, "spend", checkpoint=str(tmp_path / "c")).awaitTermination()
+    assert streams.spend_hours(lake, "spend").collect() == []
+
+
 def test_index_keeps_the_newest_word_on_a_document(spark, tmp_path):
     corpus = search.Corpus("id", "title", (), "1 hour")
     schema, path = "id string, title string, search_text string, version int", str(tmp_path / "in")
