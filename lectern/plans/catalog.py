@@ -813,19 +813,32 @@ def _(tb):
     return streams.spend_hours(lake, "spend").selectExpr(*_SPEND_COLS)
 
 
-@register("stream_search_refresh")
-def _(tb):
-    """Documents that come again, changed or as they were, replace what the index had of them."""
+def _refreshed(tb: Testbed, landings: int) -> DataFrame:
+    """Answers of an index that the activity reached in ``landings`` landings, with some documents sent again in one more."""
     lake, landed = _lake(tb, "stream"), scratch_dir(tb.spark, "landing")
     source = search.activity_search_source(tb.activity())
     text = F.when(F.expr(AGAIN["changed"]), F.concat("search_text", F.lit(" again"))).otherwise(F.col("search_text"))
     again = source.where(AGAIN["sent"]).withColumn("search_text", F.when(~F.expr(AGAIN["emptied"]), text))
     # In its own micro-batch the newer of two copies counts.
     both = again.withColumn("version", F.lit(3)).unionByName(source.where(AGAIN["sent"]).withColumn("version", F.lit(2)))
+    first = source.withColumn("version", F.lit(1))
+    turn = F.pmod(F.xxhash64("activity_id"), landings)
     corpus = search.ACTIVITY_CORPUS
     # Each landing has as many files as Spark makes, and is one micro-batch of a run on the same checkpoint.
-    for part in (source.withColumn("version", F.lit(1)), both):
+    for part in [*(first.where(turn == i) for i in range(landings)), both]:
         part.write.mode("append").parquet(landed)
         stream = tb.spark.readStream.schema(part.schema).parquet(landed)
         streams.stream_index(stream, corpus, lake, "activity", checkpoint=f"{lake.root}/checkpoint", order=["version"]).awaitTermination()
     return search.search(streams.stored_index(lake, "activity", corpus), _questions(source, "activity_type", "device_type"))
+
+
+@register("stream_search_refresh")
+def _(tb):
+    """Documents that come again, changed or as they were, replace what the index had of them."""
+    return _refreshed(tb, 1)
+
+
+@register("search_many_refreshes")
+def _(tb):
+    """As stream_search_refresh after more micro-batches, some of whose segments are merged."""
+    return _refreshed(tb, 5)

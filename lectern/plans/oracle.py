@@ -832,4 +832,5 @@ def oracle_sql() -> dict[str, str]:
                 f"THEN {TEXTS['activity_logs']} || ' again' ELSE {TEXTS['activity_logs']} END")
     sql["stream_search_refresh"] = _bm25(
         f"SELECT activity_id AS doc_id, activity_type AS title, {now_text} AS txt FROM activity_logs", activity_asked, "activity_logs")
+    sql["search_many_refreshes"] = sql["stream_search_refresh"]
     return sql

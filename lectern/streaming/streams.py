@@ -10,6 +10,7 @@ import zlib
 from collections.abc import Iterable
 from datetime import datetime, timedelta
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,34 +165,65 @@ def spend_hours(lake: Lake, name: str, *, delay: timedelta = timedelta(hours=1),
         F.coalesce(usd > F.lit(limit), F.lit(False)).alias("spike"), F.when(closed, "CLOSED").otherwise("OPEN").alias("state"))
 
 
+#: An index in segments: what each micro-batch said of its documents (``seen``), and their ``docs`` and ``postings``.
+INDEX_COLUMNS = "doc_id string, batch bigint, title string, doc_len int, term string, tf bigint"
+
+
+def _index_schema(attributes: str) -> str:
+    return f"{INDEX_COLUMNS}{', ' + attributes if attributes else ''}, part string"
+
+
+def _newest_word(rows: DataFrame) -> DataFrame:
+    """Of every document what its last micro-batch here said; that it was seen stays, since older segments may hold it."""
+    last = rows.where("part = 'seen'").groupBy("doc_id").agg(F.max("batch").alias("batch"))
+    kept = rows.join(last, ["doc_id", "batch"], "left_semi").drop("seg")
+    return kept.sortWithinPartitions("part", "term", "doc_id")
+
+
 def stream_index(source: DataFrame, corpus: search.Corpus, lake: Lake, name: str, *, checkpoint: str,
                  order: Iterable[str]) -> StreamingQuery:
     """Keep a stored index current with the documents of every micro-batch.
 
     Of copies in one micro-batch the last by ``order`` counts, and a later micro-batch replaces what earlier ones say of its
-    documents. Run it as often as the corpus' target lag asks. Each micro-batch owns one partition.
+    documents. Run it as often as the corpus' target lag asks. A micro-batch adds one segment, and segments are merged by levels: a
+    posting is rewritten once per level, replaced documents go when they meet their replacement, and the number of segments grows
+    with the logarithm of the micro-batches. The list of segments notes the micro-batch, so one that runs again adds nothing.
     """
-    order = list(order)
+    order, table = list(order), Segments(lake, name)
+    stream = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
+    attributes = ", ".join(f"attr_{a} {source.schema[a].dataType.simpleString()}" for a in corpus.attributes)
+    schema = _index_schema(attributes)
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        last = upsert.latest_per_key(batch, [corpus.id], order=order)
-        index = search.build_index(last, corpus)
-        seen = last.select(F.col(corpus.id).alias("doc_id"))
-        for part, df in (("seen", seen), ("docs", index.docs), ("postings", index.postings)):
-            folder, number = f"{name}/{part}", F.lit(batch_id).cast("bigint")
-            lake.drop_partition(folder, f"batch={batch_id}")
-            lake.replace_partitions(folder, df.withColumn("batch", number), "batch")
+        info = table.info()
+        if info.get(stream, -1) < batch_id:
+            # Streams over one index take turns; what comes later replaces what came before.
+            number = info.get("batches", 0) + 1
+            path = f"{table.base}/staging/{stream}"
+            upsert.latest_per_key(batch, [corpus.id], order=order).write.mode("overwrite").parquet(path)
+            last = lake.spark.read.parquet(path)
+            index = search.build_index(last, corpus)
+            seen = last.select(F.col(corpus.id).alias("doc_id"))
+            parts = [df.withColumn("part", F.lit(part)) for part, df in (("seen", seen), ("docs", index.docs), ("postings", index.postings))]
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).withColumn("batch", F.lit(number))
+            columns = [F.col(c).cast(t) for c, t in (x.split(" ", 1) for x in schema.split(", ")) if c in rows.columns]
+            table.add(rows.select(columns), f"{stream}-{batch_id}", "part",
+                      info={stream: batch_id, "batches": number, "attributes": attributes})
+        table.merge(schema, _newest_word, "part")
 
     return source.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stored_index(lake: Lake, name: str, corpus: search.Corpus) -> search.Index:
     """The index with only the newest word on each document; a document whose text became NULL is gone."""
-    read = lambda part: lake.spark.read.parquet(lake.path(f"{name}/{part}"))
-    seen = read("seen")
+    table = Segments(lake, name)
+    schema, live = _index_schema(table.info().get("attributes", "")), table.live()
+    read = lambda part: table.read(schema, segments=live, column="part", values=[part])
+    seen = read("seen").select("doc_id", "batch")
     newest = seen.groupBy("doc_id").agg(F.max("batch").alias("newest"), F.min("batch").alias("oldest"))
-    # Only documents that came again have old rows to leave out.
+    # Only documents that came again since their segments were merged have old rows to leave out.
     again = newest.where("newest > oldest").select("doc_id", "newest")
     old = seen.join(again, "doc_id").where("batch < newest").select("doc_id", "batch")
-    docs, postings = (read(part).join(old, ["doc_id", "batch"], "left_anti").drop("batch") for part in ("docs", "postings"))
-    return search.Index(docs, postings, corpus.attributes)
+    docs, postings = (read(part).join(old, ["doc_id", "batch"], "left_anti") for part in ("docs", "postings"))
+    attrs = [f"attr_{a}" for a in corpus.attributes]
+    return search.Index(docs.select("doc_id", "title", "doc_len"), postings.select("term", "doc_id", "doc_len", *attrs, "tf"), corpus.attributes)

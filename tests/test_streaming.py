@@ -150,6 +150,39 @@ def test_index_keeps_the_newest_word_on_a_document(spark, tmp_path):
     assert streams.stored_index(lake, "docs", corpus).docs.count() == 2
 
 
+def test_index_of_many_refreshes_stays_in_few_segments(spark, tmp_path):
+    corpus = search.Corpus("id", "title", ("kind",), "1 hour")
+    schema, path = "id string, title string, search_text string, kind string, version int", str(tmp_path / "in")
+    lake, now = Lake(spark, str(tmp_path / "lake")), {}
+    words = ["red", "green", "blue", "fox", "bird", "sea"]
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        streams.stream_index(stream, corpus, lake, "docs", checkpoint=str(tmp_path / "c"), order=["version"]).awaitTermination()
+
+    for i in range(21):
+        rows = [(f"d{(i * 5 + j) % 23}", f"t{i}", None if (i + j) % 7 == 0 else f"{words[i % 6]} {words[j % 6]} n{i}", "even" if j % 2 else "odd", i)
+                for j in range(4)]
+        now.update((r[0], r) for r in rows)
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+        if i == 10:
+            run()
+    run()
+    live = Segments(lake, "docs").live()
+    assert len(live) <= 6 and max(s.level for s in live) == 2
+    index, plain = streams.stored_index(lake, "docs", corpus), search.build_index(spark.createDataFrame(list(now.values()), schema), corpus)
+    asked = spark.createDataFrame([(w, w) for w in [*words, "n3", "n20"]], "query_id string, query string")
+    for where in (None, {"kind": ["odd"]}):
+        got, want = (sorted(map(tuple, search.search(x, asked, where=where).collect())) for x in (index, plain))
+        assert got == want and got
+    # The last micro-batch runs again and adds nothing.
+    last = max((f for f in (tmp_path / "c" / "commits").iterdir() if f.name.isdigit()), key=lambda f: int(f.name))
+    for f in (last, last.with_name(f".{last.name}.crc")):
+        f.unlink(missing_ok=True)
+    run()
+    assert Segments(lake, "docs").live() == live
+
+
 def test_search_refresh_lands_in_parallel(spark, sf_dir, monkeypatch):
     """Each of the two landings is one micro-batch, of as many files as its source has partitions."""
     from pyspark.sql import DataFrameWriter
