@@ -3,31 +3,34 @@
 A document is the weighted set of its five-word shingles (one shingle of all words, if there are fewer), of weight tf * idf with
 ``idf = 1 + ln(N / df) / ln(N)``, which lies between 1 and 2: a rare shingle counts twice a universal one. df and N are over all documents.
 
-1. Documents are dealt into chunks. A chunk sends the sorted hashes of its distinct shingles to ranges of the hash space as differences;
+1. Documents are dealt into chunks by doc_id and text. A chunk sends the sorted hashes of its distinct shingles to ranges of the hash space as differences;
    a range adds up df and answers each chunk with those of its shingles that other documents have too.
    So a shingle travels in about four bytes, once, and the texts are shuffled once for both passes over a chunk.
 2. Weighted Jaccard similarity t needs a share t of a document's weight in shingles with df >= 2. Documents below that have no partner, exactly,
    and go no further. For the others a chunk draws ROWS * BANDS consistent weighted samples and keeps the set.
-3. Equal texts become one class. Classes that share a band are candidates; connected candidates form a group, of which each set is
-   sent to one task. Groups above TILE sets first compare all with their most central set; what that leaves open by the triangle
-   inequality is compared in pairs of tiles. Only pairs that share a band and are not connected yet are compared, by exact weighted Jaccard.
+3. Equal texts become one class. Classes that share a band are candidates; connected candidates form a group. In every group all sets are
+   compared with the most central one, then the pairs that share a band and are not connected yet, by exact weighted Jaccard. A group of up to
+   TILE sets and TILE_BYTES of hashes does both in one task; in larger ones the centre travels to the sets, and what that leaves open by the
+   triangle inequality meets in pairs of tiles.
 4. Connected components of the verified links, over class representatives; members follow their class.
 
 No task holds a group of unbounded size and no list of pairs is made; links go out as spanning forests.
 
-Defined results: null and empty texts, and those of white space, are like no other; rows without a doc_id are kept and have no group; rows of one
-doc_id are one document with all their texts; texts with the same words in order are equal; an empty table gives no rows; other columns are ignored.
+Defined results: null and empty texts, and those of white space, are like no other; rows without a doc_id are kept and have no group; texts with the
+same words in order are equal; an empty table gives no rows; other columns are ignored. To ``near_duplicates`` rows of one doc_id are one document
+with all their texts; ``repeated_texts`` judges each text by itself.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.components import connected_components
@@ -38,8 +41,8 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 20, 4
 BITS = 48
 #: Bytes of text in a chunk, and of the texts whose shingles fall into one range; documents in a chunk.
 CHUNK_BYTES, RANGE_BYTES, CHUNK_DOCS = 8_000_000, 8_000_000, 20_000
-#: Sets that meet in one task, at most two tiles of them.
-TILE = 512
+#: Sets that meet in one task, and bytes of their hashes; at most two tiles of them.
+TILE, TILE_BYTES = 512, 6_000_000
 #: Shingles whose samples are drawn at a time.
 DRAW = 4096
 #: Distinct words that a Python worker keeps.
@@ -47,7 +50,7 @@ KEPT = 200_000
 
 PARTIAL = "range long, chunk long, hashes binary, counts binary"
 SHARED = "chunk long, range long, hashes binary, df binary"
-SETS = "text_key string, docs array<long>, node long, bands array<long>, central double, weight double, hashes binary, tf binary, df binary"
+SETS = "text_key string, digest binary, docs array<long>, first long, bands array<long>, central double, weight double, hashes binary, tf binary, df binary"
 LINKS = "u long, v long"
 _C = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(SHINGLE)]
 
@@ -258,7 +261,7 @@ def _sets(ranges: int, n_docs: int, threshold: float):
             h = hashes[one]
             docs = members[i]
             out.append((
-                xxhash.xxh3_128_hexdigest(" ".join(texts[i].split()).encode()), docs, docs[0],
+                xxhash.xxh3_128_hexdigest(" ".join(texts[i].split()).encode()), hashlib.md5(texts[i].encode()).digest(), docs, docs[0],
                 bands_of(weighted_samples(h, weight[one])), central[i], total[i],
                 h.view(np.uint8).reshape(-1, 8)[:, : BITS // 8].tobytes(), tf[one].astype(np.uint32).tobytes(), df[one].astype(np.uint32).tobytes(),
             ))
@@ -309,6 +312,16 @@ def _verify(n_docs: int, threshold: float):
         met = np.zeros((len(rows), len(rows)), bool)
         keys = np.array(rows["bands"].tolist(), np.int64)
         links = []
+
+        def meet(one: int, rest: np.ndarray) -> None:
+            met[one, rest] = met[rest, one] = True
+            for other in rest[group.compare(one, rest) >= threshold].tolist():
+                if root[other] != root[one]:
+                    links.append((one, other))
+                    root[root == root[other]] = root[one]
+
+        if rows["whole"].iloc[0] and len(rows) > 1:
+            meet(int(central[0]), central[1:])
         for band in range(keys.shape[1]):
             order = np.lexsort((rank, keys[:, band]))
             at = _runs(keys[order, band])
@@ -322,11 +335,7 @@ def _verify(n_docs: int, threshold: float):
                         if (root[bucket] == root[bucket[0]]).all():
                             break
                         continue
-                    met[one, rest] = met[rest, one] = True
-                    for other in rest[group.compare(one, rest) >= threshold].tolist():
-                        if root[other] != root[one]:
-                            links.append((one, other))
-                            root[root == root[other]] = root[one]
+                    meet(one, rest)
         node = rows["node"].to_numpy()
         return pd.DataFrame([(node[a], node[b]) for a, b in links], columns=["u", "v"])
 
@@ -341,8 +350,7 @@ def _star(n_docs: int):
             for row in batch.itertuples():
                 pair = pd.DataFrame({"hashes": [row.hashes, row.centre_hashes], "tf": [row.tf, row.centre_tf], "df": [row.df, row.centre_df]})
                 out.append(float(_Group(pair, n_docs).compare(0, np.array([1]))[0]))
-            yield pd.DataFrame({"node": batch["node"], "text_key": batch["text_key"], "centre": batch["centre"],
-                                "own": batch["text_key"] == batch["centre_key"], "similarity": out})
+            yield pd.DataFrame({"node": batch["node"], "centre": batch["centre"], "similarity": out})
 
     return star
 
@@ -352,84 +360,123 @@ def _shared_df(docs: DataFrame, ranges: int) -> DataFrame:
     return partial.groupBy("range").applyInPandas(_answer, SHARED)
 
 
+def dealt(docs: DataFrame, chunks: int) -> DataFrame:
+    """Rows with their ``chunk``. The text takes part, so a doc_id that many texts share is spread."""
+    return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)))
+
+
 def candidate_sets(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, int]:
     """Texts that can have a partner, with their set and bands; and the number of documents."""
     ship(docs.sparkSession)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     n_docs, n_bytes = named.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     chunks = max(1, math.ceil(n_bytes / CHUNK_BYTES), math.ceil(n_docs / CHUNK_DOCS))
-    dealt = named.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
     ranges = max(1, math.ceil(n_bytes / RANGE_BYTES))
-    shared = _shared_df(dealt, ranges)
-    sets = dealt.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(_sets(ranges, n_docs, threshold), SETS)
+    shared = _shared_df(dealt(named, chunks), ranges)
+    sets = dealt(named, chunks).groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(_sets(ranges, n_docs, threshold), SETS)
     return stored(sets, "shingle-sets"), n_docs
 
 
+def text_classes(sets: DataFrame) -> DataFrame:
+    """node, text_key, first (smallest doc_id and text of the class), bands, volume; nodes are numbered in the order of ``first``."""
+    found = sets.groupBy("text_key").agg(
+        F.min(F.struct(F.col("first").alias("doc_id"), "digest")).alias("first"), F.first("bands").alias("bands"),
+        F.max(F.octet_length("hashes")).alias("volume"))
+    found = stored(found, "text-keys").orderBy("first.doc_id", "first.digest")
+    return stored(found.select(F.monotonically_increasing_id().alias("node"), "text_key", "first", "bands", "volume"), "text-classes")
+
+
+def _tiles(size: str, volume: str) -> Column:
+    return F.greatest(F.ceil(F.col(size) / TILE), F.ceil(F.col(volume) / TILE_BYTES), F.lit(1))
+
+
 def candidate_groups(classes: DataFrame) -> DataFrame:
-    """node, component, size: groups of two or more classes that are connected by common bands."""
+    """node, component, tiles: groups of two or more classes that are connected by common bands."""
     keyed = classes.select("node", F.explode("bands").alias("key"))
     first = keyed.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first != last")
     edges = keyed.join(first.select("key", "first"), "key").where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
     parts = connected_components(edges.distinct(), "bands")
     both = parts.unionByName(parts.select(F.col("component").alias("node"), "component").distinct())
-    sizes = parts.groupBy("component").agg((F.count("*") + 1).alias("size"))
-    return stored(both.join(sizes, "component"), "groups")
+    both = stored(both.join(classes.select("node", "volume"), "node"), "group-volumes")
+    sizes = both.groupBy("component").agg(F.count("*").alias("size"), F.sum("volume").alias("volume"))
+    return stored(both.drop("volume").join(sizes.select("component", _tiles("size", "volume").alias("tiles")), "component"), "groups")
 
 
-def verified_links(sets: DataFrame, groups: DataFrame, n_docs: int, threshold: float = THRESHOLD) -> DataFrame:
+def verified_links(sets: DataFrame, classes: DataFrame, groups: DataFrame, n_docs: int, threshold: float = THRESHOLD) -> DataFrame:
     """u, v: a spanning forest of the links between classes."""
-    grouped = sets.join(groups, "node").select("component", "size", "node", "text_key", "central", "weight", "bands", "hashes", "tf", "df")
-    open_ = grouped.where(F.col("size") <= TILE)
-    large = groups.where(F.col("size") > TILE)
+    named = classes.join(groups, "node").select("text_key", "first.doc_id", F.col("first.digest").alias("of"), "component", "tiles", "node")
+    # The set of a class is that of its first text; other chunks may hold the class too.
+    grouped = sets.join(named, "text_key").where("first = doc_id and digest = of").select(
+        "component", "tiles", "node", "central", "bands", "hashes", "tf", "df", F.lit(True).alias("whole"))
+    open_ = grouped.where("tiles = 1")
+    large = groups.where("tiles > 1")
     linked = None
     if not large.isEmpty():
-        wide = stored(grouped.where(F.col("size") > TILE), "large-groups")
+        wide = stored(grouped.where("tiles > 1").withColumn("whole", F.lit(False)), "large-groups")
         centre = wide.groupBy("component").agg(F.max_by(
-            F.struct("node", "text_key", "hashes", "tf", "df"), F.struct("central", -F.col("node"), "text_key")).alias("c"))
-        beside = wide.select("component", "node", "text_key", "hashes", "tf", "df").join(centre, "component").select(
-            "component", "node", "text_key", "hashes", "tf", "df", F.col("c.node").alias("centre"), F.col("c.text_key").alias("centre_key"), F.col("c.hashes").alias("centre_hashes"),
+            F.struct("node", "hashes", "tf", "df"), F.struct("central", -F.col("node"))).alias("c"))
+        beside = wide.select("component", "node", "hashes", "tf", "df").join(centre, "component").select(
+            "component", "node", "hashes", "tf", "df", F.col("c.node").alias("centre"), F.col("c.hashes").alias("centre_hashes"),
             F.col("c.tf").alias("centre_tf"), F.col("c.df").alias("centre_df"),
         )
-        stars = stored(beside.mapInPandas(_star(n_docs), "node long, text_key string, centre long, own boolean, similarity double"), "stars")
+        stars = stored(beside.mapInPandas(_star(n_docs), "node long, centre long, similarity double"), "stars")
         linked = stars.where((F.col("similarity") >= threshold) & (F.col("node") != F.col("centre"))).select(
             F.col("node").alias("u"), F.col("centre").alias("v"))
         # 1 - similarity is a metric. What is linked to the centre and further from all that is not than the threshold allows is done.
         away = stars.where(F.col("similarity") < threshold).groupBy("centre").agg(F.max("similarity").alias("nearest"))
-        # A doc_id can have more texts in the group than the central one, and these are open as any other.
         left = stars.join(away, "centre").where(
-            ~F.col("own") & (F.col("nearest") - F.col("similarity") >= threshold - 1 - 1e-9)
-        ).select("node", "text_key", "centre")
-        counts = left.groupBy("centre").agg(F.count("*").alias("size"))
-        rest = stored(left.join(counts, "centre"), "open-sets")
-        open_ = open_.unionByName(
-            wide.drop("size").join(rest.select("node", "text_key", "size"), ["node", "text_key"]).select("component", "size", "node", "text_key", "central", "weight", "bands", "hashes", "tf", "df")
-        )
+            (F.col("node") != F.col("centre")) & (F.col("nearest") - F.col("similarity") >= threshold - 1 - 1e-9)).select("node")
+        rest = stored(wide.drop("tiles").join(left, "node"), "open-sets")
+        counts = rest.groupBy("component").agg(F.count("*").alias("size"), F.sum(F.octet_length("hashes")).alias("volume"))
+        rest = rest.join(counts.select("component", _tiles("size", "volume").alias("tiles")), "component")
+        open_ = open_.unionByName(rest.select(*open_.columns))
     # Tile i meets each tile j >= i; a set of tile t goes to the pairs (t, j) and (i, t).
-    tiles = F.ceil(F.col("size") / TILE)
-    tile = F.pmod(F.xxhash64("node"), tiles)
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), tiles - 1), lambda j: F.struct(
+    tile = F.pmod(F.xxhash64("node"), F.col("tiles"))
+    pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda j: F.struct(
         F.least(j, F.col("tile")).alias("i"), F.greatest(j, F.col("tile")).alias("j")))
-    dealt = open_.withColumn("tile", tile).select("*", F.explode(pairs).alias("pair"))
-    found = dealt.groupBy("component", "pair").applyInPandas(_verify(n_docs, threshold), LINKS)
+    paired = open_.withColumn("tile", tile).select("*", F.explode(pairs).alias("pair"))
+    found = paired.groupBy("component", "pair").applyInPandas(_verify(n_docs, threshold), LINKS)
     return found if linked is None else found.unionByName(linked)
 
 
+def _linked(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts of documents with their class (doc_id, digest, node), classes, and links between classes."""
+    sets, n_docs = candidate_sets(docs, threshold)
+    classes = text_classes(sets)
+    found = stored(verified_links(sets, classes, candidate_groups(classes), n_docs, threshold), "text-links")
+    held = sets.select("text_key", "digest", F.explode("docs").alias("doc_id"))
+    member = stored(held.join(classes.select("text_key", "node"), "text_key").select("doc_id", "digest", "node"), "members")
+    return member, classes, found
+
+
+def _with_first(member: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with the first document and text of their group, which is that of its smallest node."""
+    parts = connected_components(links, "text-components")
+    firsts = classes.select("node", "first").join(parts, "node", "left")
+    own = classes.select(F.col("node").alias("component"), F.col("first").alias("leader"))
+    firsts = firsts.join(own, "component", "left").select("node", F.coalesce("leader", "first").alias("leader"))
+    return member.join(firsts, "node").select("doc_id", "digest", "leader")
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, group_id (smallest doc_id of its group), kept (doc_id = group_id): one row per document."""
-    sets, n_docs = candidate_sets(docs, threshold)
-    classes = stored(sets.groupBy("text_key").agg(F.min("node").alias("node"), F.first("bands").alias("bands")), "text-classes")
-    groups = candidate_groups(classes)
-    found = stored(verified_links(sets, groups, n_docs, threshold), "text-links")
-    member = stored(
-        sets.select("text_key", F.explode("docs").alias("doc_id")).join(classes.select("text_key", "node"), "text_key").select("doc_id", "node"),
-        "members",
-    )
+    member, classes, found = _linked(docs, threshold)
     # Several texts under one doc_id are one document.
-    same = member.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u != v").select("u", "v")
-    parts = connected_components(found.unionByName(same), "text-components")
-    grouped = member.join(parts, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "node")).alias("group_id"))
+    same = member.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("v")).where("u != v")
+    texts = member.join(same.select("doc_id", F.col("u").alias("least")), "doc_id").where("node != least")
+    links = found.unionByName(texts.select(F.col("node").alias("u"), F.col("least").alias("v")))
+    grouped = _with_first(member, classes, links).groupBy("doc_id").agg(F.min("leader.doc_id").alias("group_id"))
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     out = named.join(grouped, "doc_id", "left").select("doc_id", F.coalesce("group_id", "doc_id").alias("group_id"))
     unnamed = docs.where("doc_id is null").select(
         F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("long").alias("group_id"), F.lit(True).alias("kept"))
     return out.withColumn("kept", F.col("doc_id") == F.col("group_id")).unionByName(unnamed)
+
+
+def repeated_texts(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, digest (md5 of the text, binary): the texts that are near copies of one with a smaller doc_id, or digest for equal ones.
+
+    Different texts of one doc_id are judged apart.
+    """
+    grouped = _with_first(*_linked(docs, threshold))
+    return grouped.where("doc_id != leader.doc_id or digest != leader.digest").select("doc_id", "digest").distinct()

@@ -183,11 +183,12 @@ def test_near_dedup_edges(spark):
     assert near(spark, []) == {}
 
 
-def test_near_dedup_of_one_large_group(spark, monkeypatch):
+@pytest.mark.parametrize("tiles", [("TILE", 16), ("TILE_BYTES", 20_000), ("TILE", 512)])
+def test_near_dedup_of_one_large_group(spark, monkeypatch, tiles):
     """Copies with some words changed each, in a group of many tiles, and strangers that share its passages."""
     from llm_reference import near_duplicate_groups
 
-    for name, value in (("TILE", 16), ("CHUNK_BYTES", 20_000), ("RANGE_BYTES", 9_000)):
+    for name, value in (tiles, ("CHUNK_BYTES", 20_000), ("RANGE_BYTES", 9_000)):
         monkeypatch.setattr(minhash_dedup, name, value)
     rng = random.Random(4)
     base = [f"w{i}" for i in range(200)]
@@ -216,6 +217,21 @@ def test_near_dedup_of_a_second_text_of_the_central_document(spark, monkeypatch)
     assert near(spark, rows) == got
 
 
+def test_near_dedup_of_a_doc_id_with_a_third_of_all_rows(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "CHUNK_DOCS", 50)
+    rows = [(7, " ".join(f"h{d}-{i}" for i in range(30))) for d in range(300)]
+    rows += [(100 + d, " ".join([f"c{d}-{i}" for i in range(30)])) for d in range(300)]
+    rows += [(500 + d, rows[d if d < 3 else 297 + d][1] + " end") for d in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    chunks = minhash_dedup.dealt(docs, 18).groupBy("chunk").count()
+    assert chunks.count() == 18 and chunks.agg(F.max("count")).first()[0] < 100
+    got = near(spark, rows)
+    assert {d for d, (g, _) in got.items() if g == 7} == {7, 500, 501, 502}
+    assert all(got[500 + d][0] == 100 + d - 3 for d in range(3, 300))
+    repeated = minhash_dedup.repeated_texts(docs).collect()
+    assert sorted(r["doc_id"] for r in repeated) == list(range(500, 800))
+
+
 def test_weighted_samples_estimate_similarity():
     rng = np.random.default_rng(0)
     names = rng.integers(0, 1 << 48, 400).astype(np.uint64)
@@ -530,6 +546,20 @@ def test_stages_on_odd_documents(spark, tmp_path):
     assert sorted((r["doc_id"] or -1) for r in alone) == [-1, 1, 3, 4, 5]
 
 
+def test_dedup_stage_judges_texts_of_one_doc_id_apart(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(100))
+    rows = [
+        (1, "one text of six words here", "en", "s", 1), (1, base, "en", "t", 2), (1, base + " end", "en", "s", 3), (2, "one text of six words here", "en", "s", 1),
+        (0, base + " more", "de", "s", 4), (3, None, "en", "s", 1), (3, None, "de", "s", 1), (3, "of three", None, "s", 1), (4, "", "en", "b", 1), (4, "", "en", "a", 1),
+        (None, base, "en", "s", 1), (None, base, "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, DOCS).withColumns({"own": F.lit(1), "of": F.lit(2), "digest": F.lit("x"), "fate": F.lit("drop")})
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    left = sorted([tuple(r)[:5] for r in got.collect()], key=str)
+    assert left == sorted([rows[i] for i in (0, 4, 6, 7, 9, 10, 11)], key=str)
+
+
 def test_token_stage_decodes_what_it_encodes(spark, tmp_path):
     texts = ["plain words", "éàü 漢字 🙂\n\ttabs", "", None]
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
