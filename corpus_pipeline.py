@@ -21,17 +21,21 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies, once; documents without a doc_id stay."""
-    groups = stored(minhash_dedup.near_duplicates(docs.select("doc_id", "text")), "dedup-groups")
-    dropped = groups.where("not kept").select("doc_id")
-    alone = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    again = docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id")
-    if again.isEmpty():
-        return alone
-    # Rows that share a doc_id are one document, of which the smallest row stays.
-    again = stored(again, "repeated-ids")
-    first = alone.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return alone.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(first.select("row.*"))
+    """One text of each group of near copies: that of the smallest doc_id. Rows without a doc_id, or with a null text, stay.
+
+    Different texts of one doc_id are judged as different documents. Of rows with one doc_id and text (or none), the smallest stays.
+    """
+    dropped = stored(minhash_dedup.repeated_texts(docs.select("doc_id", "text")), "repeated-texts")
+    digest = F.unhex(F.md5("text"))
+    key = docs.select("doc_id", digest.alias("digest")).where("doc_id is not null")
+    again = key.groupBy("doc_id", "digest").count().where("count > 1").drop("count").withColumn("fate", F.lit("again"))
+    fates = stored(dropped.withColumn("fate", F.lit("drop")).unionByName(again.join(dropped, ["doc_id", "digest"], "left_anti")), "fates")
+    fates = fates.select(F.col("doc_id").alias("of"), "digest", "fate")
+    row = F.struct(*docs.columns).alias("row")
+    judged = docs.select(row, digest.alias("own")).join(fates, (F.col("row.doc_id") == F.col("of")) & F.col("own").eqNullSafe(F.col("digest")), "left")
+    one = judged.where("fate is null").select("row.*")
+    first = judged.where("fate = 'again'").groupBy("of", "own").agg(F.min("row").alias("row"))
+    return one.unionByName(first.select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
