@@ -17,6 +17,7 @@ from lectern.operators import (
     aggregates, cost, extract, metrics, quality, reports, runlog, search, upsert, views,
 )
 from lectern.plans import jobs
+from lectern.plans.constraints import Constraints
 from lectern.plans.rollups import Rollups
 from lectern.schemas import DQ_ISSUES_SCHEMA, ENTITIES, GRADE_BANDS, RUN_EVENT_SCHEMA
 from lectern.session import scratch_dir, use_utc
@@ -641,6 +642,25 @@ def _(tb):
     return _flat_grades(jobs.analytics(lake)).drop("calculated_at")
 
 
+@register("job_constraints")
+def _(tb):
+    """Constraint counts that followed two batches: students that come after their enrollments, and re-sent enrollments."""
+    lake = _lake(tb, "constraints")
+    for dim in ("courses", "assignments"):
+        lake.replace(f"curated/{ENTITIES[dim].table}", tb.curated(dim))
+    lake.replace(f"curated/{ENTITIES['students'].table}", stored_target(tb, "students"))
+    for entity in ("submissions", "activity_logs"):
+        spec = ENTITIES[entity]
+        lake.replace(f"curated/{spec.table}", tb.curated(entity).withColumn("part", jobs.month_of(spec.partition_time)), "part")
+    spec = ENTITIES["enrollments"]
+    lake.replace(f"curated/{spec.table}", stored_target(tb, "enrollments").withColumn("part", jobs.month_of(spec.partition_time)), "part")
+    Constraints(lake).refresh()
+    for entity in ("students", "enrollments"):
+        _landed(tb, lake, entity, "second", LATER, where=RESENT[entity])
+        Constraints(lake).refresh()
+    return Constraints(lake).report()
+
+
 @register("job_quality_checks")
 def _(tb):
     lake = _lake(tb, "quality")

@@ -516,7 +516,7 @@ def oracle_sql() -> dict[str, str]:
         f"{big('count(c.course_key)')} AS with_course_key, {big('count(x.student_id)')} AS with_student_id, {big('count(s.student_key)')} "
         "AS with_student_key FROM enrollments x LEFT JOIN students s ON x.student_id = s.student_id LEFT JOIN courses c ON x.course_id = c.course_id",
         "enrollments", "students", "courses")
-    sql["constraint_report"] = _constraints()
+    sql["constraint_report"] = sql["job_constraints"] = _constraints()
     sql["table_counts"] = _counts({e: e for e in ENTITIES}, *ENTITIES)
     sql["raw_table_counts"] = _counts({f"raw_{e}": e for e in ENTITIES}, *ENTITIES)
     sql["data_summary"] = with_ctes(
