@@ -24,6 +24,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """One text of each group of near copies: that of the smallest doc_id. Rows without a doc_id, or with a null text, stay.
 
     Different texts of one doc_id are judged as different documents. Of rows with one doc_id and text (or none), the smallest stays.
+    Rows are shuffled once, to what was found about their text; those without a doc_id are not.
     """
     dropped = stored(minhash_dedup.repeated_texts(docs.select("doc_id", "text")), "repeated-texts")
     digest = F.unhex(F.md5("text"))
@@ -31,11 +32,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = key.groupBy("doc_id", "digest").count().where("count > 1").drop("count").withColumn("fate", F.lit("again"))
     fates = stored(dropped.withColumn("fate", F.lit("drop")).unionByName(again.join(dropped, ["doc_id", "digest"], "left_anti")), "fates")
     fates = fates.select(F.col("doc_id").alias("of"), "digest", "fate")
-    row = F.struct(*docs.columns).alias("row")
-    judged = docs.select(row, digest.alias("own")).join(fates, (F.col("row.doc_id") == F.col("of")) & F.col("own").eqNullSafe(F.col("digest")), "left")
-    one = judged.where("fate is null").select("row.*")
-    first = judged.where("fate = 'again'").groupBy("of", "own").agg(F.min("row").alias("row"))
-    return one.unionByName(first.select("row.*"))
+    # The same named rows on the left of both joins, so that Spark shuffles them once for the two.
+    named = docs.where("doc_id is not null").select(F.struct(*docs.columns).alias("row"), digest.alias("own"))
+    same = (F.col("row.doc_id") == F.col("of")) & F.col("own").eqNullSafe(F.col("digest"))
+    one = named.join(fates, same, "left_anti")
+    first = named.join(fates.where("fate = 'again'"), same).groupBy("of", "own").agg(F.min("row").alias("row"))
+    return docs.where("doc_id is null").unionByName(one.select("row.*")).unionByName(first.select("row.*"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ by that time are the training order.
 
 The cumulative count does not run over a whole source in one task: each source is cut into 65,536 ranges of the order key, ranges are summed
 first, and a window runs inside a range only. The key is a digest of doc_id and text, so rows that share a doc_id are dealt out too. The table of sources has one row per distinct source; it alone is ordered in
-one task.
+one task. Whole rows are shuffled twice: to their range, where the window and the join with the range's offset both find them, and into
+training order.
 
 Defined results: null text has size 0; size 0 is never taken; null sources are one source; rows with the same
 doc_id are separate documents, each with a place of its own by its text; rows alike in doc_id and text are interchangeable; an empty table gives an empty plan; other columns travel in the struct ``doc``.
@@ -36,6 +37,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def _place(source: Column, range_: Column) -> list[Column]:
+    """The range of a source in columns without nulls, on which a window and a join agree; a null-safe join would deal rows out by other keys."""
+    return [range_.alias("range"), F.coalesce(source, F.lit("")).alias("name"), source.isNull().alias("unnamed")]
+
+
+PLACE = ["range", "name", "unnamed"]
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """source, turn (place in the list of weights), source_size, target: from rows of (source, size)."""
     per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -81,8 +90,8 @@ def plan_mix(
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
                          F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))))
     rows = docs.select(
-        F.struct("*").alias("doc"), "doc_id", F.col("source"), word_count(F.col("text")).alias("size"), key.alias("key"),
-        F.conv(F.substring(key, 1, 4), 16, 10).cast("int").alias("range"),
+        F.struct("*").alias("doc"), "doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"),
+        *_place(F.col("source"), F.conv(F.substring(key, 1, 4), 16, 10).cast("int")),
     )
     # Texts are read once for the sums of (source, range); everything before the last join works on these.
     sums = stored(rows.groupBy("source", "range").agg(F.sum("size").alias("size")), "mix-sums")
@@ -91,15 +100,15 @@ def plan_mix(
     offsets = (
         sums.select("source", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
         .alias("o").join(targets.alias("t"), F.expr("o.source <=> t.source"))
-        .select("o.source", "o.range", "o.offset", "t.turn", "t.source_size", "t.target")
+        .select(*_place(F.col("o.source"), F.col("o.range")), "o.offset", "t.turn", "t.source_size", "t.target")
     )
-    inside = Window.partitionBy("d.source", "d.range").orderBy("key", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*PLACE).orderBy("key", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     need = F.floor(F.col("target") + 0.5)
     rest = need - F.floor(need / F.col("source_size")) * F.col("source_size")
     part = F.least(F.greatest(rest - F.col("start"), F.lit(0)), F.col("size"))
     taken = F.when(F.col("source_size") > 0, F.floor(need / F.col("source_size")) * F.col("size") + part).otherwise(0)
-    joined = rows.alias("d").join(offsets.alias("o"), F.expr("d.source <=> o.source and d.range = o.range"))
-    return joined.withColumn("start", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))).select(
+    summed = rows.withColumn("start", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    return summed.join(offsets, PLACE).withColumn("start", F.col("offset") + F.col("start")).select(
         "doc", "doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "start", "turn"
     )
 

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -565,3 +566,53 @@ def test_token_stage_decodes_what_it_encodes(spark, tmp_path):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], DOCS)
     got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encode(spark, docs, str(tmp_path)).collect()}
     assert got == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in enumerate(texts)}
+
+
+def whole_row_shuffles(frame, column):
+    """How many shuffles that really ran carried ``column``: reused ones count once."""
+    frame.collect()
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = frame._jdf.queryExecution().explainString(mode)
+    final = plan.split("== Initial Plan ==")[0]
+    ran = re.findall(r"\bExchange \((\d+)\)", final)
+    assert "== Final Plan ==" in final and ran
+    return sum(1 for i in ran if re.search(rf"^\({i}\) Exchange\s*\nInput \[\d+\]: \[.*\b{column}#", plan, re.M))
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as of tables that are too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def rows_of_sources(copies):
+    rows = [(i, " ".join(f"w{i}-{j}" for j in range(20 + i % 9)), "en", ["hot", "b", "", None][0 if i % 3 else i % 4], 1) for i in range(120)]
+    return rows + [(200 + i, rows[i][1], "en", "b", 1) for i in range(10)] + rows[50 : 50 + copies] + [(None, rows[3][1], "en", "b", 1)] * 2
+
+
+def test_mix_shuffles_whole_rows_twice(spark, no_broadcast):
+    docs = spark.createDataFrame(rows_of_sources(5), DOCS)
+    plan = mix.plan_mix(docs)
+    assert whole_row_shuffles(plan, "doc") == 1
+    assert whole_row_shuffles(mix.realise(plan), "doc") == 2
+    # Each source hands out its words without gaps, the unnamed one and the one named by an empty text apart.
+    per = {}
+    for r in plan.collect():
+        per.setdefault(r["doc"]["source"], []).append(r)
+    assert set(per) == {"hot", "b", "", None}
+    for found in per.values():
+        spans = sorted({(r["start"], r["size"]) for r in found})
+        assert [a for a, _ in spans] == [sum(n for _, n in spans[:i]) for i in range(len(spans))]
+        assert len(spans) == len(found) and sum(n for _, n in spans) == found[0]["source_size"]
+
+
+@pytest.mark.parametrize("copies", [0, 5])
+def test_dedup_stage_shuffles_whole_rows_once(spark, tmp_path, no_broadcast, copies):
+    rows = rows_of_sources(copies)
+    got = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, DOCS), str(tmp_path))
+    # The groups of repeated rows meet in a second shuffle, which holds those rows only and comes after their selection.
+    assert whole_row_shuffles(got, "own") - bool(copies) == 1
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(rows[:120] + [(None, *rows[3][1:2], "en", "b", 1)] * 2, key=str)
